@@ -66,3 +66,26 @@ def governed(cfg: StarConfig = DEFAULT) -> Registry:
         PeerAverage("category_avg_sell_through", "sell_through", member="dim_product.sku",
                     peer="dim_product.category", exclude=tuple(cfg.unknown_labels)),
     ])
+
+
+def metric_catalog(spark, registry: Registry):
+    """One row per governed metric: kind, definition, display format, description.
+    (Metadata only; a small literal relation built from the registry.)"""
+    from confluo.plans.metrics import Count as _C, Formula as _F, PeerAverage as _P, SemiAdditive as _S, Sum as _Su
+    rows = []
+    for name, m in registry.metrics.items():
+        if isinstance(m, _Su):
+            kind, d = "sum", f"sum({m.fact}.{m.column})" + (f" where {dict(m.where)}" if m.where else "")
+        elif isinstance(m, _C):
+            kind, d = "count", f"count({m.fact})" + (f" where {dict(m.where)}" if m.where else "")
+        elif isinstance(m, _S):
+            kind, d = "semi_additive", f"avg over {m.over} of sum({m.fact}.{m.column})"
+        elif isinstance(m, _P):
+            kind, d = "peer_average", f"avg of {m.base} per {m.member} within {m.peer}, excluding {list(m.exclude)}"
+        elif isinstance(m, _F):
+            kind, d = "formula", f"f({', '.join(m.deps)})"
+        else:
+            kind, d = type(m).__name__, ""
+        fmt, desc = FORMATS.get(name, (None, None))
+        rows.append((name, kind, d, fmt, desc))
+    return spark.createDataFrame(rows, "metric string, kind string, definition string, format string, description string")

@@ -229,12 +229,23 @@ class Conformer:
         return xw.resolve(settled, self.listing_map, "listingId", "listing_id",
                           unknown=self.cfg.unmapped_label, row_id="orderId")
 
+    def resolve_retailer_sales(self, sales: DataFrame) -> DataFrame:
+        """Retailer lines (batch or stream) resolved by exact description;
+        unmatched descriptions keep a null SKU."""
+        m = self.local_full.select(F.col("ITEM_DESC").alias("desc"), F.col("c_sku").alias("sku"))
+        return xw.resolve(sales, m, "ITEM_DESC", "desc", row_id="SALE_ID")
+
+    def retailer_source(self, resolved: DataFrame) -> SourceMap:
+        c = self.cfg
+        return SourceMap(resolved, {
+            "date_key": date_key(parse_text_date("SALE_DATE", c.text_date_format)),
+            "sku": F.col("sku"), "location_id": F.col("STORE_CODE"), "qty": F.col("QTY"),
+            "gross_amount": F.col("TOTAL_AMT"), "net_amount": F.col("TOTAL_AMT")},
+            tags={"source": c.source_retailer, "channel": c.channel_retailer})
+
     @cached_property
     def retailer_sales(self) -> DataFrame:
-        """Retailer lines resolved by exact description; unmatched keep a null SKU."""
-        L = self.landed
-        m = self.local_full.select(F.col("ITEM_DESC").alias("desc"), F.col("c_sku").alias("sku"))
-        return xw.resolve(L.rt_sales, m, "ITEM_DESC", "desc", row_id="SALE_ID")
+        return self.resolve_retailer_sales(self.landed.rt_sales)
 
     @cached_property
     def fact_sales(self) -> DataFrame:
@@ -250,11 +261,7 @@ class Conformer:
             "net_amount": F.col("payoutAmount")},
             tags={"source": c.source_marketplace, "location_id": c.marketplace_location_id,
                   "channel": c.channel_marketplace})
-        rt = SourceMap(self.retailer_sales, {
-            "date_key": date_key(parse_text_date("SALE_DATE", c.text_date_format)),
-            "sku": F.col("sku"), "location_id": F.col("STORE_CODE"), "qty": F.col("QTY"),
-            "gross_amount": F.col("TOTAL_AMT"), "net_amount": F.col("TOTAL_AMT")},
-            tags={"source": c.source_retailer, "channel": c.channel_retailer})
+        rt = self.retailer_source(self.retailer_sales)
         return unify([erp, mp, rt], SALES_SCHEMA)
 
     @cached_property
