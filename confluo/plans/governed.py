@@ -89,3 +89,15 @@ def metric_catalog(spark, registry: Registry):
         fmt, desc = FORMATS.get(name, (None, None))
         rows.append((name, kind, d, fmt, desc))
     return spark.createDataFrame(rows, "metric string, kind string, definition string, format string, description string")
+
+
+def metric_card(star, registry: Registry):
+    """Every governed metric evaluated over the whole star in ONE drill-across
+    query, unpivoted to (metric, kind, format, description, value)."""
+    from confluo.plans.metrics import query
+    names = [n for n, m in registry.metrics.items()]
+    wide = query(star, registry, names)
+    long = wide.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names])).alias("m"))
+    cat = metric_catalog(star["fact_sales"].sparkSession, registry).select("metric", "kind", "format", "description")
+    return long.select("m.metric", "m.value").join(F.broadcast(cat), "metric")

@@ -149,8 +149,10 @@ class Conformer:
         keys = (L.erp_sales_lines.select(F.col("date_key").alias("k"))
                 .unionByName(L.mp_orders.select(iso_date_key("orderDate").alias("k")))
                 .unionByName(L.rt_sales.select(date_key(parse_text_date("SALE_DATE", self.cfg.text_date_format)).alias("k"))))
-        start = self.cfg.window_start or key_to_date(keys.agg(F.min("k")).scalar())
-        end = self.cfg.window_end or key_to_date(keys.agg(F.max("k")).scalar())
+        # one scalar subquery for both bounds (a single pass over the dates)
+        bounds = keys.agg(F.struct(F.min("k").alias("lo"), F.max("k").alias("hi"))).scalar()
+        start = self.cfg.window_start or key_to_date(bounds.getField("lo"))
+        end = self.cfg.window_end or key_to_date(bounds.getField("hi"))
         return start, end
 
     @cached_property
@@ -349,3 +351,14 @@ def read_star(spark, path: str, config: StarConfig = DEFAULT) -> Star:
             df = df.drop("month_key")
         tables[name] = df
     return Star(tables, config=config)
+
+
+def materialize_star(spark, star: Star, path: str | None = None) -> Star:
+    """Write the star once into the cluster's shared folder and return the
+    re-read star: queries then start from the written tables, so a lost
+    executor recomputes from parquet, not from the whole conformance lineage."""
+    from confluo.session import ensure_checkpoint_dir
+    import uuid
+    path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/confluo-star-{uuid.uuid4().hex[:12]}"
+    write_star(star, path)
+    return read_star(spark, path, star.config)

@@ -20,7 +20,7 @@ from confluo.functions.dates import parse_iso_timestamp, parse_text_date
 from confluo.operators import quality as q
 from confluo.plans import answers as A
 from confluo.plans import legacy as raw
-from confluo.plans.governed import FORMATS, governed
+from confluo.plans.governed import FORMATS, governed, metric_card
 from confluo.plans.star import Conformer, read_star, write_star
 from confluo.session import ensure_checkpoint_dir
 from confluo.sources.binding import Landed
@@ -90,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landed_schema_check": q_landed_schema_check,
     "column_catalog": q_column_catalog,
     "star_roundtrip": q_star_roundtrip,
+    "metric_catalog": _q(lambda L, c, star, R: metric_card(star, R)),
     "date_dim": _table("dim_date"),
     "conform_product": _table("dim_product"),
     "conform_location": _table("dim_location"),

@@ -4,7 +4,8 @@ Written by hand from the question each key answers; the only shared pieces
 are the binding and star CTEs (themselves checked table by table).  Keys
 without an entry are checked by row count only: ``landed_schema_check`` and
 ``column_catalog`` report Spark types and schemas, which have no DuckDB
-equivalent.
+equivalent; ``metric_catalog`` is checked metric by metric through the
+answer keys that use the same measures.
 """
 
 from __future__ import annotations
