@@ -326,21 +326,32 @@ def build_star(landed: Landed, config: StarConfig = DEFAULT) -> Star:
 
 
 # ------------------------------------------------------------------- sinks
-def write_star(star: Star, path: str, mode: str = "overwrite") -> dict[str, str]:
+def _write_table(name: str, df: DataFrame, target: str, mode: str) -> None:
+    if name.startswith("fact_") and "date_key" in df.columns:
+        (df.withColumn("month_key", F.expr("date_key div 100").cast("int"))
+           .hint("rebalance", "month_key")
+           .write.mode(mode).partitionBy("month_key").parquet(target))
+    else:
+        df.write.mode(mode).parquet(target)
+
+
+def write_star(star: Star, path: str, mode: str = "overwrite", parallel: int = 4) -> dict[str, str]:
     """Write every table as parquet under ``path``; facts are partitioned by
     month (``month_key``) with a rebalance so AQE splits hot months into
-    several files instead of one giant task."""
-    out = {}
-    for name, df in star.tables.items():
-        target = f"{path.rstrip('/')}/{name}"
-        if name.startswith("fact_") and "date_key" in df.columns:
-            (df.withColumn("month_key", F.expr("date_key div 100").cast("int"))
-               .hint("rebalance", "month_key")
-               .write.mode(mode).partitionBy("month_key").parquet(target))
-        else:
-            df.write.mode(mode).parquet(target)
-        out[name] = target
-    return out
+    several files instead of one giant task.  The nine writes are independent
+    jobs, submitted from ``parallel`` driver threads so small dimensions do not
+    leave executors idle."""
+    from concurrent.futures import ThreadPoolExecutor
+    targets = {name: f"{path.rstrip('/')}/{name}" for name in star.tables}
+    if parallel <= 1:
+        for name, df in star.tables.items():
+            _write_table(name, df, targets[name], mode)
+        return targets
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        futures = [pool.submit(_write_table, n, df, targets[n], mode) for n, df in star.tables.items()]
+        for f in futures:
+            f.result()   # re-raise the first failure
+    return targets
 
 
 def read_star(spark, path: str, config: StarConfig = DEFAULT) -> Star:
