@@ -62,16 +62,18 @@ def landed_schema_check(tables: Mapping[str, DataFrame], expected: Mapping[str,
         aggs = [F.count(F.lit(1)).alias("__rows")]
         for c, fmt in bad_cols.items():
             aggs.append(F.count_if(F.col(c).isNotNull() & F.try_to_date(F.col(c), fmt).isNull()).alias(f"__bad_{c}"))
-        stats = df.agg(*aggs)
+        stats = df.agg(*aggs)          # one pass over the table
+        items = []
         for c, t in cols.items():
             a = actual.get(c)
             bad = F.col(f"__bad_{c}") if c in bad_cols else F.lit(0).cast("bigint")
-            parts.append(stats.select(
+            items.append(F.struct(
                 F.lit(tname).alias("table_name"), F.lit(c).alias("column_name"),
                 F.lit(t.simpleString()).alias("expected_type"),
                 F.lit(a.simpleString() if a else None).cast("string").alias("actual_type"),
                 F.col("__rows").alias("rows"), bad.alias("unparsed_rows"),
                 (F.lit(a == t) & (bad == 0)).alias("ok")))
+        parts.append(stats.select(F.explode(F.array(*items)).alias("r")).select("r.*"))
     return reduce(lambda x, y: x.unionByName(y), parts)
 
 
@@ -93,15 +95,16 @@ def column_catalog(tables: Mapping[str, DataFrame], descriptions: Mapping[str, s
     descriptions = descriptions or {}
     parts = []
     for tname, df in tables.items():
-        stats = df.agg(F.count(F.lit(1)).alias("__rows"),
+        stats = df.agg(F.count(F.lit(1)).alias("__rows"),   # one pass over the table
                        *[F.count(F.col(f"`{f.name}`")).alias(f"__nn{i}") for i, f in enumerate(df.schema.fields)])
-        for i, f in enumerate(df.schema.fields):
-            parts.append(stats.select(
-                F.lit(tname).alias("table_name"), F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                F.lit(default_agg(f.name, f.dataType)).alias("default_agg"),
-                F.lit(descriptions.get(f.name)).cast("string").alias("description"),
-                F.col("__rows").alias("rows"), F.col(f"__nn{i}").alias("non_null")))
+        items = [F.struct(
+            F.lit(tname).alias("table_name"), F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.lit(default_agg(f.name, f.dataType)).alias("default_agg"),
+            F.lit(descriptions.get(f.name)).cast("string").alias("description"),
+            F.col("__rows").alias("rows"), F.col(f"__nn{i}").alias("non_null"))
+            for i, f in enumerate(df.schema.fields)]
+        parts.append(stats.select(F.explode(F.array(*items)).alias("r")).select("r.*"))
     return reduce(lambda x, y: x.unionByName(y), parts)
 
 
