@@ -197,11 +197,16 @@ def row_counts(L: Landed, c: Conformer, star) -> DataFrame:
 
 def coverage_report(star) -> DataFrame:
     cfg = DEFAULT
-    s = star["fact_sales"]
+    # both sales subjects in one grouped pass over the sales fact
+    s = star["fact_sales"].where(F.col("source").isin(cfg.source_marketplace, cfg.source_retailer))
+    mp = F.col("source") == cfg.source_marketplace
+    unknown = F.when(mp, F.col("sku") == cfg.unmapped_label).otherwise(F.col("sku").isNull())
+    sales = (s.groupBy(F.when(mp, "marketplace_sales").otherwise("retailer_sales").alias("subject"))
+             .agg(F.count_if(unknown).alias("unknown_rows"), F.count(F.lit(1)).alias("total_rows"))
+             .withColumn("unknown_share", F.try_divide(F.col("unknown_rows").cast("double"),
+                                                       F.col("total_rows").cast("double"))))
     parts = [
-        q.coverage(s.where(F.col("source") == cfg.source_marketplace), "marketplace_sales",
-                   F.col("sku") == cfg.unmapped_label),
-        q.coverage(s.where(F.col("source") == cfg.source_retailer), "retailer_sales", F.col("sku").isNull()),
+        sales,
         q.coverage(star["fact_helpdesk"], "helpdesk_tickets", F.col("sku") == cfg.unresolved_label),
         q.coverage(star["fact_service"], "work_orders", F.col("sku") == cfg.unresolved_label),
         q.coverage(star["fact_service_parts"], "parts_usage", F.col("sku") == cfg.unresolved_label),
