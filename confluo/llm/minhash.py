@@ -12,19 +12,20 @@ import numpy as np
 from .textbuf import U, mix
 
 RING = 1 << 20
-_views: dict[int, np.ndarray] = {}
+_tables: dict[int, np.ndarray] = {}
 
 
-def _view(size: int) -> np.ndarray:
-    if size not in _views:
-        table = np.random.default_rng(20).permutation(RING).astype(np.uint32)
-        _views[size] = np.lib.stride_tricks.sliding_window_view(np.concatenate([table, table[:size]]), size)
-    return _views[size]
+def table(size: int) -> np.ndarray:
+    """The second permutation, followed by its first ``size`` numbers."""
+    if size not in _tables:
+        numbers = np.random.default_rng(20).permutation(RING).astype(np.uint32)
+        _tables[size] = np.concatenate([numbers, numbers[:size]])
+    return _tables[size]
 
 
 def signature(elements: np.ndarray, size: int) -> np.ndarray:
     """``size`` coordinates of a non-empty set of 64-bit hashes."""
-    places, view = ((mix(elements + U(0x51ED270B)) >> U(24)) & U(RING - 1)).astype(np.int64), _view(size)
+    places, view = ((mix(elements + U(0x51ED270B)) >> U(24)) & U(RING - 1)).astype(np.int64), np.lib.stride_tricks.sliding_window_view(table(size), size)
     out = view[places[:2048]].min(axis=0)
     for k in range(2048, len(places), 2048):
         np.minimum(out, view[places[k : k + 2048]].min(axis=0), out=out)

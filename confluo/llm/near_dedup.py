@@ -18,6 +18,7 @@ linked, rows that repeat an id are rows of their own.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -70,15 +71,16 @@ def signatures(df: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
     return map_arrow(df.select(id_col, F.xxhash64(text), text), run, f"id {kind}, hash long, n long, set binary, bands array<bigint>")
 
 
-def candidate_edges(sets: DataFrame, key: str = "set", n: str = "n", percent: int = 80) -> DataFrame:
-    """Edges (a, b) whose components hold every link, from rows with ``key``, size ``n`` and ``bands``."""
-    rows = sets.select(F.col(key).alias("set"), F.col(n).alias("n"), F.explode("bands").alias("bucket"))
+def candidate_edges(sets: DataFrame, percent: int = 80, meet: int = 2) -> DataFrame:
+    """Edges (a, b) whose components hold every link, from rows with ``set`` (a name of any orderable type), size ``n`` and
+    ``bands``. A pair in small buckets must ``meet`` in so many, and its sizes must allow ``percent``."""
+    rows = sets.select("set", "n", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("held"), F.min("set").alias("least")).filter(F.col("held") > 1)
     members = written(rows.join(shared, "bucket"), "members")
     few = members.filter(F.col("held") <= FEW).groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("set", "n"))).alias("all"))
     pairs = few.select("all", F.posexplode("all").alias("at", "a")).select("a", F.explode(F.slice("all", F.col("at") + 2, FEW)).alias("b"))
     near = F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent
-    pairs = pairs.filter(near).select(F.col("a.set").alias("a"), F.col("b.set").alias("b")).groupBy("a", "b").count().filter(F.col("count") > 1).select("a", "b")
+    pairs = pairs.filter(near).select(F.col("a.set").alias("a"), F.col("b.set").alias("b")).groupBy("a", "b").count().filter(F.col("count") >= meet).select("a", "b")
     stars = members.filter((F.col("held") > FEW) & (F.col("set") != F.col("least"))).select(F.col("set").alias("a"), F.col("least").alias("b")).distinct()
     return pairs.unionByName(stars)
 
@@ -91,20 +93,23 @@ def dealt(nodes: DataFrame) -> DataFrame:
     units = 1 + int(sizes.agg(F.sum("total")).first()[0] or 0) // BLOCK_ELEMENTS
     parts = F.ceil(F.greatest(F.col("many") / BLOCK_TEXTS, F.col("total") / BLOCK_ELEMENTS, F.lit(1))).cast("long")
     rows = nodes.join(sizes.select("group", parts.alias("parts")), "group").withColumn("own", F.pmod(F.xxhash64("set"), "parts"))
-    alone = F.array(F.struct(F.lit(None).cast("binary").alias("g"), F.pmod(F.xxhash64("group"), F.lit(units)).alias("i"), F.lit(0).cast("long").alias("j")))
+    kind = nodes.schema["group"].dataType
+    alone = F.array(F.struct(F.lit(None).cast(kind).alias("g"), F.pmod(F.xxhash64("group"), F.lit(units)).alias("i"), F.lit(0).cast("long").alias("j")))
     paired = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda x: F.struct(F.col("group").alias("g"), F.least("own", x).alias("i"), F.greatest("own", x).alias("j")))
     return rows.withColumn("units", F.when(F.col("parts") == 1, alone).otherwise(paired)).drop("parts", "own")
 
 
-def exact_links(rows: DataFrame, make_sets, percent: int) -> DataFrame:
+def exact_links(rows: DataFrame, make_sets: Callable, percent: int) -> DataFrame:
     """Spanning forests (a, b) of the exact links within the groups, from rows with ``units``, ``group``, ``set``, ``text``.
 
-    ``make_sets`` turns bytes and offsets into sets; a row whose text doesn't make the set it is named for is left out."""
+    ``make_sets`` turns bytes and offsets into sets. Of rows with one name, the first counts."""
+    kind = rows.schema["set"].dataType.simpleString()
+    arrow = {"binary": pa.binary(), "bigint": pa.int64()}[kind]
 
     def run(table: pa.Table) -> pa.Table:
         table = table.take(pc.sort_indices(table, [("group", "ascending"), ("set", "ascending")]))
         groups, names, sets = table["group"].to_pylist(), table["set"].to_pylist(), make_sets(*utf8(table["text"]))
-        own = [k for k in range(len(names)) if digest(sets[k]) == names[k] and (not k or names[k] != names[k - 1])]
+        own = [k for k in range(len(names)) if not k or names[k] != names[k - 1]]
         a, b, start = [], [], 0
         for k in range(1, len(own) + 1):
             if k == len(own) or groups[own[k]] != groups[own[start]]:
@@ -112,11 +117,11 @@ def exact_links(rows: DataFrame, make_sets, percent: int) -> DataFrame:
                     a.append(names[own[start + x]])
                     b.append(names[own[start + y]])
                 start = k
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        return pa.table({"a": pa.array(a, arrow), "b": pa.array(b, arrow)})
 
     ship(rows.sparkSession)
     each = rows.select(F.explode("units").alias("unit"), "group", "set", "text").select("unit.*", "group", "set", "text")
-    return each.groupBy("g", "i", "j").applyInArrow(run, "a binary, b binary")
+    return each.groupBy("g", "i", "j").applyInArrow(run, f"a {kind}, b {kind}")
 
 
 def components(df: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 4, percent: int = 80) -> DataFrame:

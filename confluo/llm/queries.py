@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, near_dedup, secret_scan
+from . import bpe, decontaminate, langid, line_dedup, near_dedup, secret_scan
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,12 +41,17 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(F.concat_ws(",", F.transform(own, line)), 256).alias("base_sha256"), F.concat_ws(",", F.transform("spans", line)).alias("spans"))
 
 
+def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontamination,
     "op3_bpe_round_trip": bpe_round_trip,
     "op5_minhash_near_dedup": near_duplicates,
     "op8_language_id": language_id,
     "op9_secret_scan": secrets,
+    "op10_line_dedup": fuzzy_lines,
 }
 
 ORACLE: dict[str, str] = {}
