@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .components import connected_components
 from .minhash import RING, band_keys, table
 from .near_dedup import candidate_edges, dealt, exact_links
-from .shared import map_arrow, written
+from .shared import bitmap, in_bitmap, map_arrow, written
 from .textbuf import LOWER, U, blocks, gather, mix, powers, utf8
 
 SIZE, LEAST = 9, 10
@@ -110,21 +110,15 @@ def _lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
 
 def _texts(df: DataFrame, text: str, names: DataFrame) -> DataFrame:
     """(name, text) of the lines named in ``names``, and of a few others."""
-    bit = F.col("set").bitwiseAND((1 << FILTER_BITS) - 1) + 1
-    parts = names.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
-    wanted = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
-    for p in parts:
-        bits = np.frombuffer(p["bits"], np.uint8)
-        wanted[(p["part"] - 1) * 4096 :][: len(bits)] = bits
+    wanted = bitmap(names, "set", FILTER_BITS)
 
     def run(batches):
         for batch in batches:
             buf, offs = utf8(batch.column(0))
             for a, b in blocks(offs):
                 lines = Lines(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-                at = lines.name & ((1 << FILTER_BITS) - 1)
                 _, some = np.unique(lines.name, return_index=True)
-                some = some[(wanted[at[some] >> 3] >> (at[some] & 7).astype(np.uint8)) & 1 == 1]
+                some = some[in_bitmap(wanted, lines.name[some])]
                 yield pa.RecordBatch.from_arrays([pa.array(lines.name[some]), pa.array([lines.text(k) for k in some], pa.binary()).cast(pa.string())], names=["name", "text"])
 
     return map_arrow(df.select(text), run, "name long, text string")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, line_dedup, near_dedup, secret_scan
+from . import bpe, decontaminate, langid, line_dedup, near_dedup, repeats, secret_scan
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.components(_table(spark, sf_dir, "documents"))
 
 
+def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.cut(_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontamination,
     "op3_bpe_round_trip": bpe_round_trip,
     "op5_minhash_near_dedup": near_duplicates,
+    "op7_suffix_array_dedup": repeated_strings,
     "op8_language_id": language_id,
     "op9_secret_scan": secrets,
     "op10_line_dedup": fuzzy_lines,

@@ -8,7 +8,9 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _LOCAL: list[str] = []
@@ -59,3 +61,20 @@ def map_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFra
     """mapInArrow, with this package at hand on the executors."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
+
+
+def bitmap(names: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A filter of fixed size, 2**bits bits, of the low bits of a long column: built by the executors, sent back once."""
+    bit = F.col(column).bitwiseAND((1 << bits) - 1) + 1
+    parts = names.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    out = np.zeros(1 << bits >> 3, np.uint8)
+    for p in parts.collect():
+        some = np.frombuffer(p["bits"], np.uint8)
+        out[(p["part"] - 1) * 4096 :][: len(some)] = some
+    return out
+
+
+def in_bitmap(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Which of the longs may be in the bitmap; no member is missed."""
+    at = names & (len(bits) * 8 - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
