@@ -14,7 +14,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -162,19 +163,11 @@ class Merger:
         return np.array([x for x in ids if x >= 0], np.int64)
 
 
-class Codec:
-    """Texts to ids and back, with what is remembered of pieces."""
+class Pieces:
+    """Texts to ids by pieces: ``split`` parts a text, ``merge`` gives the ids of pieces; both stay remembered."""
 
-    def __init__(self, path: str, pattern: str):
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.merger, self.split = Merger(ranks), regex.compile(pattern)
-        size = max(ranks.values()) + 1
-        by_id = [b""] * size
-        for t, r in ranks.items():
-            by_id[r] = t
-        self.bytes_of = Ragged(by_id)
-        self.digits_of = Ragged([b"%d," % i for i in range(size)])
+    def __init__(self, split: Callable[[str], list[str]], merge: Callable[[list[str]], list]):
+        self.split, self.merge = split, merge
         self.forget()
 
     def forget(self) -> None:
@@ -185,15 +178,15 @@ class Codec:
         """All ids, and n + 1 bounds of the texts."""
         if len(self.known) > REMEMBERED:
             self.forget()
-        pieces = [self.split.findall(t) for t in texts]
+        pieces = [self.split(t) for t in texts]
         new = list(set().union(*pieces) - self.known.keys())
         if new:
-            got = self.merger.encode([p.encode() for p in new])
+            got = self.merge(new)
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
             lengths = np.fromiter(map(len, got), np.int64, len(got))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
-            self.ids = np.concatenate([self.ids, *got]).astype(np.int32)
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(got), np.int32, int(lengths.sum()))])
         where = self.known.__getitem__
         at = np.fromiter((where(p) for ps in pieces for p in ps), np.int64, sum(map(len, pieces)))
         lengths = self.lengths[at]
@@ -202,6 +195,22 @@ class Codec:
         return self.ids[gather(self.starts[at], lengths)], total[bounds]
 
 
+class Codec(Pieces):
+    """A rank file's texts to ids and back."""
+
+    def __init__(self, path: str, pattern: str):
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.merger = Merger(ranks)
+        super().__init__(regex.compile(pattern).findall, lambda new: [x.tolist() for x in self.merger.encode([p.encode() for p in new])])
+        size = max(ranks.values()) + 1
+        by_id = [b""] * size
+        for t, r in ranks.items():
+            by_id[r] = t
+        self.bytes_of = Ragged(by_id)
+        self.digits_of = Ragged([b"%d," % i for i in range(size)])
+
+
 class Ragged:
     """Byte strings by number, gathered by table lookup."""
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, line_dedup, near_dedup, repeats, secret_scan
+from . import bpe, decontaminate, langid, line_dedup, near_dedup, repeats, secret_scan, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.through_files(_table(spark, sf_dir, "documents"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.components(_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontamination,
     "op3_bpe_round_trip": bpe_round_trip,
+    "op4_token_files": token_output,
     "op5_minhash_near_dedup": near_duplicates,
     "op7_suffix_array_dedup": repeated_strings,
     "op8_language_id": language_id,
