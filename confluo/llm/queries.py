@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, line_dedup, near_dedup, repeats, secret_scan, token_files
+from . import bpe, decontaminate, langid, licenses, line_dedup, near_dedup, repeats, secret_scan, token_files, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,14 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings"))
+
+
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
@@ -55,13 +63,15 @@ def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontamination,
+    "op2_license_scan": license_scan,
     "op3_bpe_round_trip": bpe_round_trip,
     "op4_token_files": token_output,
     "op5_minhash_near_dedup": near_duplicates,
+    "op6_exact_top_k": exact_top_k,
     "op7_suffix_array_dedup": repeated_strings,
     "op8_language_id": language_id,
     "op9_secret_scan": secrets,
     "op10_line_dedup": fuzzy_lines,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_license_scan": licenses.oracle()}
