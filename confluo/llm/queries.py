@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, langid, licenses, line_dedup, near_dedup, repeats, secret_scan, token_files, topk
+from .oracle import ORACLE as ORACLE
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,14 +48,17 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
-def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan(_table(spark, sf_dir, "documents"))
+def spans_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Counts of the base rules' spans, the digest of their list, and the list of all spans as text."""
     base = [r.kind for r in secret_scan.BASE]
     line = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))
-    own = F.filter("spans", lambda x: x["kind"].isin(base))
     count = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
-    counts = [count(k) for k in base]
-    return found.select("doc_id", *counts, F.sha2(F.concat_ws(",", F.transform(own, line)), 256).alias("base_sha256"), F.concat_ws(",", F.transform("spans", line)).alias("spans"))
+    own = F.transform(F.filter("spans", lambda x: x["kind"].isin(base)), line)
+    return found.select(id_col, *[count(k) for k in base], F.sha2(F.concat_ws(",", own), 256).alias("base_sha256"), F.concat_ws(",", F.transform("spans", line)).alias("spans"))
+
+
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans_digest(secret_scan.scan(_table(spark, sf_dir, "documents")))
 
 
 def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,5 +77,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": secrets,
     "op10_line_dedup": fuzzy_lines,
 }
-
-ORACLE: dict[str, str] = {"op2_license_scan": licenses.oracle()}

@@ -1,0 +1,257 @@
+"""Each operator against plain Python: odd rows, the sf0.001 tables, empty tables, clashing columns."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from confluo.llm import bpe, components, decontaminate, langid, licenses, line_dedup, near_dedup, queries, repeats, secret_scan, suffixes, token_files, topk
+
+from . import brute
+
+DOCS = "doc_id long, text string"
+#: Columns that clash with names the operators use inside.
+CLASH = ["id", "hash", "n", "set", "line", "spans", "key", "words", "start", "lang_pred", "score", "component", "bytes", "kept"]
+
+
+def some_docs():
+    rnd = random.Random(7)
+    base = [f"w{rnd.randrange(900)}" for _ in range(90)]
+    rows = [(1, None), (2, ""), (3, "a"), (4, "   \n\t "), (5, "a b c É x"), (5, "a b c É x"), (None, "A  b-C"), (6, "é" * 300), (7, "x" * 700)]
+    rows += [(8, 'api_KEY: "abcdef" AKIA' + "A1" * 9 + " token=abc " + "0a" * 14 + " ſecret=abcdefgh password = 'qwertyuiop'"), (9, "zß 中文 \U0001f600 " * 12)]
+    for k in range(60):
+        words = list(base)
+        for _ in range(rnd.randrange(12)):
+            words[rnd.randrange(90)] = f"x{rnd.randrange(9)}"
+        rows.append((20 + k, " ".join(words[:45]) + "\n" + " ".join(words[45:])))
+    return rows
+
+
+def digest(df, *columns):
+    return brute.in_order(df.select(*columns).collect())
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = some_docs()
+    df = spark.createDataFrame(rows, DOCS)
+    return rows, df.select("*", *[F.lit("clash").alias(c) for c in CLASH])
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="module")
+def table(spark, sf_small):
+    df = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").cache()
+    return [tuple(r) for r in df.collect()], df
+
+
+ITEMS = [(10, "a b c"), (9, "..."), (8, None), (7, "w1 " * 12), (6, "é x"), (5, "A b c")]
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, -1])
+def test_decontamination(spark, docs, empty, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    out = lambda d, b: digest(decontaminate.report(d, b), "doc_id", "n_words", "n_hit", F.size("items"), F.sha2(F.concat_ws(",", "items"), 256), "contaminated")
+    assert out(docs[1], bench) == brute.decontamination(docs[0], ITEMS)
+    assert out(empty, bench) == []
+    assert out(docs[1], bench.limit(0)) == brute.decontamination(docs[0], [])
+
+
+def test_decontamination_drops_and_cuts(spark, docs):
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    bad = {r for r in docs[0] if brute.decontamination([r], ITEMS)[0][5]}
+    kept = decontaminate.drop_documents(docs[1], bench)
+    assert kept.columns == docs[1].columns
+    assert brute.in_order(kept.select("doc_id", "text").collect()) == brute.in_order(r for r in docs[0] if r not in bad)
+    cut = decontaminate.cut_spans(docs[1], bench)
+    assert cut.columns == docs[1].columns
+    assert not any(x[5] for x in brute.decontamination([tuple(r) for r in cut.select("doc_id", "text").collect()], ITEMS))
+    assert cut.filter("doc_id = 5").first()["text"] == "É x" and cut.filter("doc_id = 1").first()["text"] is None
+
+
+def test_licenses(docs, empty, table, spark):
+    rows = [(1, "x\nReleased under  the MIT license\ny z"), (2, "All rights reserved"), (3, "\n\nreleased under\nTHE mit license!\n\nmore"), (4, licenses.TEMPLATES[2][1].replace(" ", "\n")), (5, None), (6, "Released under the GNU license or the MIT one")]
+    df = spark.createDataFrame(rows, DOCS)
+    assert digest(licenses.scan(df), "doc_id", "license", "dice") == brute.licenses(rows, licenses.TEMPLATES, licenses.THRESHOLD)
+    for own, data in (docs, table):
+        assert digest(licenses.scan(data), "doc_id", "license", "dice") == brute.licenses(own, licenses.TEMPLATES, licenses.THRESHOLD)
+    assert licenses.scan(empty).count() == 0
+
+
+def test_bpe(docs, empty, table):
+    for rows, df in (docs, table):
+        assert digest(bpe.round_trip(df), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == brute.bpe(rows)
+    assert bpe.round_trip(empty).count() == 0
+    back = bpe.decode(bpe.encode(docs[1]), out="out")
+    assert back.columns == [c for c in docs[1].columns if c != "text"] + ["out"]
+    assert brute.in_order((r["doc_id"], bytes(r["out"]).decode()) for r in back.collect()) == brute.in_order((d, t or "") for d, t in docs[0])
+
+
+def test_bpe_of_long_and_random_pieces():
+    rnd = random.Random(3)
+    texts = ["a" * 3000, " " * 900, "ab" * 400, "".join(rnd.choice("abcdefghij") for _ in range(4000)), "".join(chr(rnd.choice([32, 10, 97, 0x4E00 + rnd.randrange(5000), 0x1F600, 0x301, 48])) for _ in range(3000))]
+    own = bpe.codec(bpe.public_tokenizers.path(bpe.RANKS), bpe.PATTERN)
+    ids, bounds = own.encode(texts)
+    got = brute.in_order((k, len(x), brute.sha(",".join(map(str, x.tolist()))), brute.sha(own.bytes_of(x, np.array([0, len(x)]))[0])) for k, x in enumerate(np.split(ids, bounds[1:-1])))
+    assert got == brute.bpe(list(enumerate(texts)))
+
+
+def test_token_files(spark, empty, table, monkeypatch):
+    rnd = random.Random(2)
+    letters = [" ", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", "　", "a", "b", "!", "1", "é", "中", "'", "s", "<|endoftext|>"]
+    rows = [(1, None), (2, ""), (3, "a")] + [(k, "".join(rnd.choice(letters) for _ in range(rnd.randrange(50)))) for k in range(10, 900)]
+    monkeypatch.setattr(token_files, "BLOCK_IDS", 2000)
+    df = spark.createDataFrame(rows, DOCS).withColumn("ids", F.lit(1))
+    assert digest(token_files.through_files(df), "doc_id", "start", "n_tokens", "ids_crc32") == brute.token_files(rows)
+    assert token_files.through_files(empty).count() == 0
+    assert digest(token_files.through_files(table[1]), "doc_id", "start", "n_tokens", "ids_crc32") == brute.token_files(table[0])
+    values = np.array([0, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1, 5], np.uint32)
+    assert (token_files.unpack(*token_files.pack(values), len(values)) == values).all()
+
+
+def test_near_duplicates(docs, empty, table, monkeypatch):
+    out = lambda df: digest(near_dedup.components(df), "doc_id", "n_shingles", "component_id", "kept")
+    assert out(table[1]) == brute.near_duplicates(table[0])
+    assert out(empty) == []
+    monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", 10)  # several blocks for one group
+    assert out(docs[1]) == brute.near_duplicates(docs[0])
+    kept = near_dedup.keep_one(docs[1], size=4)
+    assert kept.columns == docs[1].columns
+    gone = {x[0] for x in brute.near_duplicates(docs[0]) if not x[3]}
+    assert gone and digest(kept, "doc_id", "text") == brute.in_order(r for r in docs[0] if r[0] not in gone)
+
+
+def test_components(spark):
+    rnd = random.Random(4)
+    edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(400 + k, 401 + k) for k in range(70)] + [(500, 500)]
+    union = brute.Union(600)
+    for a, b in edges:
+        union.join(a, b)
+    got = components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    least = {}
+    for x in sorted(linked):
+        least.setdefault(union.top(x), x)
+    assert sorted(map(tuple, got)) == [(x, least[union.top(x)]) for x in sorted(linked)]
+
+
+def test_top_k(spark, sf_small):
+    rnd = np.random.default_rng(1)
+    rows = [(0, [1.0, 2.0]), (1, None), (2, [float("nan"), 1.0]), (20, [1.0, 2.0]), (3, [1.0, 2.0]), (4, []), (5, [1.0]), (40, [3.0]), (None, [1.0, 2.0]), (6, [None, 1.0]), (7, [float("inf"), 1.0])]
+    rows += [(100 + k, rnd.normal(size=8).round(2).tolist()) for k in range(400)] + [(600 + k, [0.5] * 8) for k in range(50)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1)).withColumn("id", F.lit(2))
+    assert digest(topk.search(df), "query_id", "rank", "vec_id", "score") == brute.top_k(rows)
+    assert topk.search(df.limit(0)).count() == 0
+
+
+def test_top_k_in_blocks(spark, monkeypatch):
+    rnd = np.random.default_rng(2)
+    rows = [(k, rnd.normal(size=6).tolist()) for k in range(900)]
+    monkeypatch.setattr(topk, "QUERIES", 10)
+    monkeypatch.setattr(topk, "CANDIDATES", 200)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert digest(topk.search(df), "query_id", "rank", "vec_id", "score") == brute.top_k(rows)
+
+
+def test_suffix_arrays(monkeypatch):
+    rnd = random.Random(1)
+    for limit in (2048, 4, 10**6):
+        monkeypatch.setattr(suffixes, "BUCKETS", limit)
+        for _ in range(150):
+            kinds = rnd.choice([1, 2, 3, 200])
+            b = bytes(rnd.randrange(1, 1 + kinds) for _ in range(rnd.randrange(1, 90)))
+            s = np.concatenate([np.frombuffer(b, np.uint8).astype(np.int64) + 1, [0]])
+            order = suffixes.suffix_array(s, 257)
+            assert order.tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
+            text = np.concatenate([np.frombuffer(b, np.uint8), np.zeros(1, np.uint8)])
+            previous, length = suffixes.common_prefixes(text, order)
+            for i, j in zip(order[1:].tolist(), order[:-1].tolist(), strict=True):
+                n = 0
+                while max(i, j) + n < len(text) and text[i + n] == text[j + n]:
+                    n += 1
+                assert (previous[i], length[i]) == (j, n)
+
+
+def test_repeats(spark, docs, empty, table):
+    out = lambda df, **k: brute.in_order((r[0], r.n_bytes, r.n_removed, r.n_spans, brute.sha(bytes(r.kept))) for r in repeats.cut(df, **k).collect())
+    for rows, df in (docs, table):
+        assert out(df) == brute.repeats(rows)
+    assert out(empty) == []
+    rnd = random.Random(5)
+    rows = [(k, "".join(rnd.choice("ab") for _ in range(rnd.randrange(80)))) for k in range(60)] + [(99, "é" * 20 + "xyz" * 9), (98, "xyz" * 9), (98, "xyz" * 9)]
+    assert out(spark.createDataFrame(rows, DOCS), span=12, gram=4) == brute.repeats(rows, 12)
+
+
+def test_long_texts_are_dealt_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BLOCK", 1000)
+    rnd = random.Random(6)
+    long = "".join(rnd.choice("abcdefgh ") for _ in range(5000))
+    rows = [(1, long), (2, "q" + long[700:2900]), (3, long[4000:])]
+    got = brute.in_order((r[0], r.n_bytes, r.n_removed, r.n_spans, brute.sha(bytes(r.kept))) for r in repeats.cut(spark.createDataFrame(rows, DOCS)).collect())
+    assert got == brute.repeats(rows)
+
+
+def test_secrets(docs, empty, table):
+    out = lambda df: digest(queries.spans_digest(secret_scan.scan(df)), "doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+    for rows, df in (docs, table):
+        assert out(df) == brute.secrets(rows)
+    assert out(empty) == []
+
+
+def test_more_secrets(spark):
+    rows = [(1, "x ghp_" + "aB3" * 12 + " y"), (2, "é -----BEGIN RSA PRIVATE KEY----- xoxb-1234567890"), (3, "AIza" + "x" * 35)]
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in secret_scan.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {1: [("github", 2, 42)], 2: [("private", 2, 33), ("slack", 34, 49)], 3: [("google", 0, 39)]}
+
+
+def test_automaton_finds_what_the_rules_find():
+    rnd = random.Random(8)
+    parts = ["password", "Token", "api_key", "apikey", "=", ":", " ", "  ", '"', "'", "AKIA", "AKI", "0123456789abcdef", "A1B2C3D4", "\n", ",", "é", "zz", "passwd", "secret"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(40))) for _ in range(400)]
+    buf = np.frombuffer("".join(texts).encode(), np.uint8)
+    offs = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    found = secret_scan.find(secret_scan.compile_rules(secret_scan.BASE), secret_scan.BASE, buf, offs)
+    got = [(k, *[sum(f[2] == r for f in own) for r in range(3)], brute.sha(",".join(f"{secret_scan.BASE[r].kind}:{s}:{e}" for s, e, r in own))) for k, own in enumerate(found)]
+    assert brute.in_order(got) == brute.secrets(list(enumerate(texts)))
+
+
+def test_language_id(spark, sf_check, empty, docs):
+    df = spark.read.parquet(f"{sf_check}/documents.parquet")
+    lang = {r["doc_id"]: r["lang"] for r in df.select("doc_id", "lang").collect()}
+    got = langid.identify(df).filter("held_out").collect()
+    assert got and np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in got]) > 0.98
+    assert all(0 <= r["score"] <= 1 for r in got)
+    # the label of a row is no input of its prediction, and held-out labels teach nothing
+    other = df.withColumn("lang", F.when(langid.held_out(), F.lit("xx")).otherwise(F.col("lang")))
+    assert brute.in_order(langid.identify(other).filter("held_out").collect()) == brute.in_order(got)
+    odd = langid.identify(docs[1].withColumn("lang", F.when(F.col("doc_id") > 9, "en"))).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in odd if r["doc_id"] in (1, 2, 4)} == {1: "und", 2: "und", 4: "und"} and len(odd) == len(docs[0])
+    assert langid.identify(empty.withColumn("lang", F.lit("en"))).count() == 0
+    none = langid.identify(docs[1].withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {(r["lang_pred"], r["score"]) for r in none} == {("und", 0.0)}
+
+
+def test_lines(spark, docs, empty, table):
+    out = lambda df: digest(line_dedup.report(df), "doc_id", "n_lines", "n_removed", "removed")
+    rows = [(1, None), (2, ""), (3, "short\nshort"), (4, "The quick brown fox jumps over the lazy dog today\nÉa the quick"), (5, "the quick brown fox jumps over the lazy dog todaY!\n\nelse but not the same thing"), (6, "Éa the quick\nÉa The quick"), (None, "else but not the same thing")]
+    df = spark.createDataFrame(rows, DOCS).withColumn("lines", F.lit("clash")).withColumn("line", F.lit(1))
+    assert out(df) == brute.lines(rows)
+    assert out(table[1]) == brute.lines(table[0])
+    assert out(empty) == []
+    kept = line_dedup.drop_lines(df)
+    assert kept.columns == df.columns
+    assert {r["doc_id"]: r["text"] for r in kept.collect()} == {1: None, 2: "", 3: "short\nshort", 4: rows[3][1], None: rows[6][1]}
+
+
+def test_lines_of_odd_documents(docs):
+    unique = list({r: r for r in docs[0]}.values())
+    got = digest(line_dedup.report(docs[1].dropDuplicates(["doc_id", "text"])), "doc_id", "n_lines", "n_removed", "removed")
+    assert got == brute.lines(unique)
