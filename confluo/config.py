@@ -35,6 +35,14 @@ class StarConfig:
     retailer_only_prefix: str = "RTX-"
     # 1-based position where the numeric part of a retailer code starts
     retailer_code_digits_from: int = 5
+    # products that only the retailer carries, and its stores
+    only_category: str = "House Label"
+    only_subcategory: str = "Local Range"
+    only_brand: str = "House"
+    only_class: str = "C"
+    only_supplier: str = "Direct to Store"
+    store_type: str = "Retail Store"
+    store_country: str = "Store Network"
     # ---- business parameters ------------------------------------------------
     event_date: _dt.date = _dt.date(2000, 1, 1)
     # inclusive date window of the date dimension; None = derive from the facts

@@ -50,12 +50,35 @@ def _spread(key: Column, row_id: Column | None) -> Column:
         F.concat(F.lit(_NO_MATCH), row_id.cast("string")))
 
 
+def _winner(mapping_df: DataFrame, code: str = "__code") -> DataFrame:
+    """One key for each code: the smallest."""
+    return mapping_df.where(F.col(code).isNotNull()).groupBy(code).agg(F.min("__key").alias("__key"))
+
+
+def duplicate_codes(mapping_df: DataFrame, code: str, key: str = "sku") -> DataFrame:
+    """Codes that map to several keys: the code, how many keys, and the one that wins."""
+    return (mapping_df.where(F.col(code).isNotNull()).groupBy(F.col(code).alias("code"))
+            .agg(F.countDistinct(key).alias("keys"), F.min(key).alias("winner")).where(F.col("keys") > 1))
+
+
+def mapping_check(maps: dict[str, DataFrame], key: str = "sku") -> DataFrame:
+    """One row for each code map (named for its code column): pairs, codes, and codes with several keys."""
+    out = None
+    for code, m in maps.items():
+        per = m.where(F.col(code).isNotNull()).groupBy(code).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(key).alias("k"))
+        row = per.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("pairs"), F.count(F.lit(1)).alias("codes"),
+                      F.count_if(F.col("k") > 1).alias("duplicated")).select(F.lit(code).alias("map"), "pairs", "codes", "duplicated")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def resolve(fact: DataFrame, mapping_df: DataFrame, fact_code: str, map_code: str,
             key_col: str = "sku", out_col: str = "sku", unknown: str | None = None,
             row_id: str | None = None) -> DataFrame:
     """Left-join ``fact`` to a (code -> key) mapping; unmatched rows get ``unknown``
-    (or keep null when ``unknown`` is None)."""
-    m = mapping_df.select(F.col(map_code).alias("__code"), F.col(key_col).alias("__key"))
+    (or keep null when ``unknown`` is None).  A code mapped twice goes to its
+    smallest key, so no fact row is ever doubled; ``duplicate_codes`` reports it."""
+    m = _winner(mapping_df.select(F.col(map_code).alias("__code"), F.col(key_col).alias("__key")))
     joined = fact.join(
         m, _spread(F.col(fact_code), F.col(row_id) if row_id else None) == F.col("__code"), "left")
     key = F.col("__key") if unknown is None else F.coalesce(F.col("__key"), F.lit(unknown))
@@ -68,8 +91,8 @@ def resolve_text(fact: DataFrame, ref_col: str, names: DataFrame, name_col: str,
                  key_col: str = "sku", out_col: str = "sku", unknown: str | None = None,
                  row_id: str | None = None) -> DataFrame:
     """Free-text resolution: upper(trim(ref)) = upper(trim(name)); blank refs never
-    match; unmatched rows get ``unknown``."""
-    m = names.select(normalise(name_col).alias("__norm"), F.col(key_col).alias("__key"))
+    match; unmatched rows get ``unknown``; a name of several keys goes to the smallest."""
+    m = _winner(names.select(normalise(name_col).alias("__norm"), F.col(key_col).alias("__key")), "__norm")
     ref = normalise(ref_col)
     joined = fact.join(m, _spread(ref, F.col(row_id) if row_id else None) == F.col("__norm"), "left")
     key = F.col("__key") if unknown is None else F.coalesce(F.col("__key"), F.lit(unknown))
@@ -78,7 +101,7 @@ def resolve_text(fact: DataFrame, ref_col: str, names: DataFrame, name_col: str,
 
 def fallback_key(code_col: str, prefix: str, digits_from: int) -> Column:
     """Synthesised local key: prefix + the code's characters from ``digits_from`` on."""
-    return F.concat(F.lit(prefix), F.substring(F.col(code_col), digits_from, 1 << 20))
+    return F.concat(F.lit(prefix), F.expr(f"substring(`{code_col}`, {int(digits_from)})"))
 
 
 def with_fallback(local: DataFrame, local_map: DataFrame, code_col: str, map_code: str,

@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from confluo.plans.metrics import AtLeast, Between, HalfOpen, NotIn, Registry, query
+from confluo.plans.metrics import BELOW, AtLeast, Between, HalfOpen, NotIn, Registry, query
+from confluo.config import DEFAULT
 from confluo.plans.star import Star
 
 
@@ -25,8 +26,8 @@ class Params:
     parts_category: str = "SMALL"
     sales_day_text: str = "03/02/1998"
     since_key: int = 20000101
-    min_units: int = 500
-    top_n: int = 5
+    min_units: int = DEFAULT.min_units_for_rate
+    top_n: int = DEFAULT.top_n
     period_keys: tuple[int, int] = (19980101, 19980630)
     period_dates: tuple[str, str] = ("1998-04-01", "1998-07-01")
     networks: tuple[str, ...] = ("Distribution Center", "Retail Store")
@@ -135,13 +136,15 @@ def stockout_risk_sku(inventory_daily: DataFrame) -> DataFrame:
 
 def a_class_at_risk(star: Star) -> DataFrame:
     """A-class products that have open complaints AND are at stockout risk
-    (latest daily snapshot of some location at or below safety stock)."""
+    (latest daily snapshot of some location at or below safety stock, or latest
+    weekly count of some store at or below the near-zero bound)."""
     p = star["dim_product"].where(F.col("abc_class") == "A").select("sku", "product_name")
     oc = (star["fact_helpdesk"].where(F.col("is_complaint") & F.col("is_open"))
           .groupBy("sku").agg(F.count(F.lit(1)).alias("open_complaints")))
-    daily = star["fact_inventory"].where(F.col("grain") == "daily")
-    risk = (latest_snapshot(daily).where(F.col("on_hand_qty") <= F.col("safety_stock"))
-            .select("sku").distinct())
+    latest = latest_snapshot(star["fact_inventory"], keys=("sku", "location_id", "grain"))
+    at_risk = F.when(F.col("grain") == "daily", F.col("on_hand_qty") <= F.col("safety_stock")).otherwise(
+        F.col("on_hand_qty") <= star.config.near_zero_count)
+    risk = latest.where(at_risk).select("sku").distinct()
     return p.join(oc, "sku").join(risk, "sku", "left_semi")
 
 
@@ -169,25 +172,26 @@ def after_sale_rate(star: Star, R: Registry) -> DataFrame:
 
 
 # ---------------------------------------------------------- benchmarks
-def category_benchmark(star: Star, R: Registry) -> DataFrame:
+def category_benchmark(star: Star, R: Registry, below: bool = False) -> DataFrame:
     return query(star, R, ["sell_through", "category_avg_sell_through"],
                  by=["dim_product.sku", "dim_product.category"],
-                 where={"sku": NotIn(_unknowns(star))})
+                 where={"sku": NotIn(_unknowns(star))}, below=below)
 
 
 def overstocked_products(star: Star, R: Registry, top_n=P.top_n) -> DataFrame:
     """Products selling through slower than their category; ranked by their own
     ratio (slowest first), not by the gap; benchmark shown beside each."""
-    b = category_benchmark(star, R)
-    return (b.where(F.col("sell_through") < F.col("category_avg_sell_through"))
+    b = category_benchmark(star, R, below=True)
+    flag = "category_avg_sell_through" + BELOW
+    return (b.where(F.col(flag)).drop(flag)
             .orderBy(F.col("sell_through").asc(), F.col("sku").asc()).limit(top_n))
 
 
 def overstock_by_class(star: Star, R: Registry) -> DataFrame:
     b = query(star, R, ["sell_through", "category_avg_sell_through"],
               by=["dim_product.sku", "dim_product.category", "dim_product.abc_class"],
-              where={"sku": NotIn(_unknowns(star))})
-    below = F.col("sell_through") < F.col("category_avg_sell_through")
+              where={"sku": NotIn(_unknowns(star))}, below=True)
+    below = F.col("category_avg_sell_through" + BELOW)
     return (b.where(F.col("sell_through").isNotNull())
             .groupBy("abc_class").agg(F.count_if(below).alias("below_benchmark"),
                                       F.count(F.lit(1)).alias("products")))
@@ -207,13 +211,27 @@ def ratio_metrics(star: Star, R: Registry) -> DataFrame:
 def star_join(star: Star, fact: str = "fact_sales") -> DataFrame:
     """Fact rows with the attributes of every related dimension (left joins:
     the row count is unchanged).  Bounded dimensions are broadcast; the
-    product dimension is joined by key without a hint."""
+    product dimension is joined by key without a hint.  Rows without a key and
+    the rows of the unknown members, which may be a third of all, get a key of
+    their own that matches nothing, so they spread over all partitions; the
+    unknown members' attributes (two rows) come by broadcast."""
     out = star[fact]
+    row = F.xxhash64(*[F.col(c) for c in out.columns]).cast("string")
     for fk, dim, dk in star.edges(fact):
         d = star[dim]
         keep = [c for c in d.columns if c not in out.columns or c == dk]
         d = d.select(*keep).withColumnRenamed(dk, f"__{dim}_key")
+        key = F.col(f"__{dim}_key")
         if dim in star.bounded:
-            d = F.broadcast(d)
-        out = out.join(d, F.col(fk) == F.col(f"__{dim}_key"), "left").drop(f"__{dim}_key")
+            out = out.join(F.broadcast(d), F.col(fk) == key, "left").drop(key)
+            continue
+        unknown = [x for x in _unknowns(star)]
+        hot = F.col(fk).isNull() | F.col(fk).isin(unknown)
+        known = d.where(~key.isin(unknown))
+        out = out.withColumn("__row", row).join(known, F.when(hot, F.concat(F.lit("\u0000"), "__row")).otherwise(F.col(fk)) == key, "left")
+        out = out.drop(key).drop("__row")
+        attributes = [c for c in d.columns if c != f"__{dim}_key"]
+        few = F.broadcast(d.where(key.isin(unknown)).select(key, *[F.col(c).alias(f"__u_{c}") for c in attributes]))
+        out = out.join(few, F.col(fk) == key, "left").drop(key)
+        out = out.withColumns({c: F.coalesce(c, f"__u_{c}") for c in attributes}).drop(*[f"__u_{c}" for c in attributes])
     return out

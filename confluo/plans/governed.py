@@ -1,4 +1,4 @@
-"""The governed metric registry: twenty named measures over the star."""
+"""The governed metric registry: the named measures over the star."""
 
 from __future__ import annotations
 
@@ -11,28 +11,28 @@ from confluo.plans.metrics import (Count, Formula, PeerAverage, Registry, SemiAd
 # metric name -> (display format, description); formats follow the usual
 # spreadsheet patterns: '#,##0' integer money/units, '0.0%' share, '0.00' ratio
 FORMATS = {
-    "revenue_gross": ("#,##0", "Gross revenue, all sources."),
-    "revenue_net": ("#,##0", "Net revenue (marketplace net of fees)."),
-    "units_sold": ("#,##0", "Units sold, all sources."),
-    "erp_revenue": ("#,##0", "Net revenue of the ERP source."),
-    "marketplace_net_revenue": ("#,##0", "Marketplace revenue after fees."),
-    "marketplace_gross_revenue": ("#,##0", "Marketplace revenue before fees."),
-    "retailer_revenue": ("#,##0", "Net revenue of the acquired retailer."),
-    "stockout_rows": ("#,##0", "Daily snapshot rows in stockout."),
-    "snapshot_rows": ("#,##0", "Daily snapshot rows."),
-    "stockout_rate": ("0.0%", "Share of daily snapshot rows in stockout."),
-    "avg_on_hand": ("#,##0", "Mean over dates with data of the summed on-hand units."),
-    "sell_through": ("0.00", "Units sold over average on-hand units."),
-    "tickets": ("#,##0", "Helpdesk tickets."),
-    "open_complaints": ("#,##0", "Open tickets in the product complaint category."),
-    "tickets_per_1k": ("0.0", "Tickets per 1,000 units sold."),
-    "service_parts_used": ("#,##0", "Service parts used."),
-    "parts_per_100": ("0.0", "Service parts per 100 units sold."),
-    "unattributable_revenue": ("#,##0", "Net revenue on the unknown product members."),
-    "attributable_share": ("0.0%", "Share of net revenue tied to a real product."),
-    "complaints": ("#,##0", "Tickets in the product complaint category."),
-    "after_sale_per_1k": ("0.0", "Complaints plus parts used per 1,000 units sold."),
-    "category_avg_sell_through": ("0.00", "Mean sell-through of the products of the category."),
+    "revenue_gross": ("#,##0", "What buyers paid, before any fee is taken off."),
+    "revenue_net": ("#,##0", "What reaches us: gross amounts, and for the marketplace its payouts."),
+    "units_sold": ("#,##0", "Quantity over all sales rows."),
+    "erp_revenue": ("#,##0", "Part of revenue_net booked through the ERP."),
+    "marketplace_net_revenue": ("#,##0", "Part of revenue_net paid out by the marketplace."),
+    "marketplace_gross_revenue": ("#,##0", "Order value on the marketplace, commission and fulfilment included."),
+    "retailer_revenue": ("#,##0", "Part of revenue_net from the store network."),
+    "stockout_rows": ("#,##0", "How many daily counts found an empty shelf."),
+    "snapshot_rows": ("#,##0", "How many daily counts there are."),
+    "stockout_rate": ("0.0%", "stockout_rows over snapshot_rows."),
+    "avg_on_hand": ("#,##0", "Stock added up over places for each day, then averaged over the days that have counts."),
+    "sell_through": ("0.00", "units_sold over avg_on_hand."),
+    "tickets": ("#,##0", "Number of helpdesk contacts."),
+    "open_complaints": ("#,##0", "Complaints that nobody has closed."),
+    "tickets_per_1k": ("0.0", "tickets over units_sold, times 1,000."),
+    "service_parts_used": ("#,##0", "Quantity of parts that field service fitted."),
+    "parts_per_100": ("0.0", "service_parts_used over units_sold, times 100."),
+    "unattributable_revenue": ("#,##0", "Part of revenue_net on the unknown members."),
+    "attributable_share": ("0.0%", "One minus unattributable_revenue over revenue_net."),
+    "complaints": ("#,##0", "Contacts filed under the complaint category."),
+    "after_sale_per_1k": ("0.0", "complaints and service_parts_used together over units_sold, times 1,000."),
+    "category_avg_sell_through": ("0.00", "Plain average of sell_through over a category's products, whatever product filters are set."),
 }
 
 

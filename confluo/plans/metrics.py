@@ -39,6 +39,10 @@ from confluo.plans.star import Star
 
 
 # ----------------------------------------------------------------- filters
+# suffix of the column that tells whether a row is below its peer average
+BELOW = "__below"
+
+
 @dataclass(frozen=True)
 class Between:
     """Inclusive range."""
@@ -63,6 +67,26 @@ class AtLeast:
     lo: Any
 
 
+def _months(ref, spec):
+    """The months (yyyymm) that a filter on a day, or on a calendar column, can meet; None if it says nothing."""
+    name = ref.column if ref.kind == "fact" else f"{ref.dim}.{ref.column}"
+    if name in ("month_key", "dim_date.month_key"):
+        return spec if name.startswith("dim_date") else None
+    if name in ("date_key", "dim_date.date_key"):
+        month = lambda x: int(x) // 100
+    elif name == "dim_date.date":
+        month = lambda x: x.year * 100 + x.month
+    elif name == "dim_date.year" and isinstance(spec, int):
+        return Between(spec * 100 + 1, spec * 100 + 12)
+    else:
+        return None
+    if isinstance(spec, (Between, HalfOpen)):
+        return Between(month(spec.lo), month(spec.hi))
+    if isinstance(spec, AtLeast):
+        return AtLeast(month(spec.lo))
+    return None if spec is None or isinstance(spec, (NotIn, list, tuple, set, frozenset)) else month(spec)
+
+
 def predicate(c: Column, spec) -> Column:
     if isinstance(spec, Between):
         return c.between(spec.lo, spec.hi)
@@ -220,6 +244,7 @@ class MetricQuery:
     order: Sequence[tuple[str, str]] = ()
     limit: int | None = None
     keep_empty: bool = False
+    below: bool = False
     _where: tuple = field(init=False, default=())
 
     def __post_init__(self):
@@ -275,6 +300,10 @@ class MetricQuery:
         for r, s in common:
             if r.kind == "fact":
                 df = df.where(predicate(F.col(r.column), s))
+            # a written fact is stored by month: say which months a date filter can meet
+            months = _months(r, s) if "month_key" in df.columns else None
+            if months is not None:
+                df = df.where(predicate(F.col("month_key"), months))
 
         values = {}
         for m in measures:
@@ -370,12 +399,21 @@ class MetricQuery:
         names = [_bare(g) for g in self.by]
         peer_name = _bare(pm.peer)
         if peer_name not in names:
-            return result.withColumn(pm.name, F.lit(None).cast("double"))
-        others = [g for g in self.by if _bare(g) != peer_name and not g.startswith(pm.dim + ".")
-                  and _bare(g) != _bare(pm.member)]
+            return result.withColumns({pm.name: F.lit(None).cast("double"), pm.name + BELOW: F.lit(None).cast("boolean")})
         member_bare = _bare(pm.member)
-        where = [(c, s) for c, s in self._where
-                 if not c.startswith(pm.dim + ".") and c != member_bare]
+        facts = sorted({m.fact for m in self.registry.closure([pm.base]) if isinstance(m, BASE)})
+
+        def of_dim(ref):
+            """Whether ``ref``, qualified or bare, means a column (or the key) of the peer dimension."""
+            for fact in facts:
+                r = self._resolve(fact, ref)
+                if r is not None and (r.dim == pm.dim if r.kind == "dim" else any(
+                        fk == r.column and d == pm.dim for fk, d, _ in self.star.edges(fact))):
+                    return True
+            return False
+
+        others = [g for g in self.by if _bare(g) != peer_name and not of_dim(g)]
+        where = [(c, s) for c, s in self._where if not of_dim(c)]
         if pm.exclude:
             where.append((pm.member, NotIn(tuple(pm.exclude))))
         keys = [peer_name, *[_bare(g) for g in others]]
@@ -393,11 +431,16 @@ class MetricQuery:
         else:
             sub = MetricQuery(self.star, self.registry, [pm.base], by=[pm.member, pm.peer, *others],
                               where=where).run()
-        # rounded to 9 decimals: a mean of doubles depends on summation order in
-        # its last bits; the rounding makes the benchmark reproducible
-        bench = sub.groupBy(*keys).agg(F.round(F.avg(pm.base), 9).alias(pm.name))
+        # exact: ratios become whole numbers of 1e-12, whose sum depends on no
+        # order, and a member is below its peers if n times its own is less than
+        # that sum; a member alone, or among equals, is never below
+        whole = F.floor(F.col(pm.base) * 1e12 + 0.5).cast("decimal(38,0)")
+        bench = sub.groupBy(*keys).agg(F.sum(whole).alias("__sum"), F.count(pm.base).alias("__n"))
         cond = reduce(lambda a, b: a & b, [result[k].eqNullSafe(bench[k]) for k in keys])
-        return result.join(bench, cond, "left").select(result["*"], bench[pm.name])
+        mean = (F.col("__sum").cast("double") / F.col("__n") / 1e12).alias(pm.name)
+        below = (whole * F.col("__n") < F.col("__sum")).alias(pm.name + BELOW)
+        joined = result.join(bench, cond, "left").select(result["*"], "__sum", "__n")
+        return joined.select(*result.columns, mean, below)
 
     def run(self) -> DataFrame:
         closure = self.registry.closure(self.metrics)
@@ -408,7 +451,8 @@ class MetricQuery:
             elif isinstance(m, PeerAverage):
                 out = self._peer(m, out)
         names = [_bare(g) for g in self.by]
-        out = out.select(*names, *[_present(out, m) for m in self.metrics])
+        flags = [c for c in out.columns if c.endswith(BELOW)] if self.below else []
+        out = out.select(*names, *[_present(out, m) for m in self.metrics], *flags)
         if not self.keep_empty and self.metrics:
             out = out.where(reduce(lambda a, b: a | b, [F.col(m).isNotNull() for m in self.metrics]))
         if self.having is not None:
@@ -431,5 +475,6 @@ def _present(df: DataFrame, name: str) -> Column:
 
 def query(star: Star, registry: Registry, metrics: Sequence[str], by: Sequence[str] = (),
           where=None, having: Column | None = None, order: Sequence[tuple[str, str]] = (),
-          limit: int | None = None) -> DataFrame:
-    return MetricQuery(star, registry, list(metrics), list(by), where, having, list(order), limit).run()
+          limit: int | None = None, below: bool = False) -> DataFrame:
+    """``below`` adds, for each peer average asked for, whether the row is below it (``<name>__below``)."""
+    return MetricQuery(star, registry, list(metrics), list(by), where, having, list(order), limit, below=below).run()

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from confluo.config import DEFAULT
 from confluo.functions.dates import date_key as to_key
 from confluo.functions.dates import parse_iso_timestamp, parse_text_date
+from confluo.operators import crosswalk as xw
 from confluo.operators import quality as q
 from confluo.plans import answers as A
 from confluo.plans import legacy as raw
@@ -100,6 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unknown_members": _q(lambda L, c, star, R: star["dim_product"]
                           .where(F.col("sku").isin(*DEFAULT.unknown_labels))
                           .select("sku", "product_name", "category")),
+    "mapping_check": _q(lambda L, c, star, R: xw.mapping_check({
+        "local_code": c.local_map, "itm_code": c.item_map, "listing_id": c.listing_map})),
     "crosswalk_clean": _q(lambda L, c, star, R: c.xref_clean.select("sku", "itm_code", "local_code", "listing_id")),
     "local_only_products": _q(lambda L, c, star, R: c.retailer_only_products.select(
         F.col("local_code").alias("LOCAL_CODE"), "product_name", "list_price", "sku")),

@@ -22,7 +22,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -48,8 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as is.  Only when it is unset (local tests) do we set a
-    scratch folder of our own.
+    folder and is used as is.  Only when it is unset on a local master (tests) do
+    we set a scratch folder of our own; elsewhere it is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -57,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
             spark.sparkContext, "getCheckpointDir") else None
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     path = fallback or tempfile.mkdtemp(prefix="confluo-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(path)
     try:   # some sessions reject setting core configs at runtime; the context setting is what counts

@@ -15,6 +15,11 @@ Design notes for scale:
   except the helpdesk text (events x part on the key, one shuffle join) and
   the one-row part count used through a scalar subquery;
 * codes are built with ``format_string('%06d')`` which never truncates;
+* every row of ``part``, ``supplier``, ``lineitem`` and ``orders`` belongs to a
+  system: line items flagged ``R`` are the retailer's, all others (a null flag
+  included) the ERP's; all orders are the marketplace's.  Events are assigned
+  by type: every event is a helpdesk ticket, signups are also work orders and
+  purchases are also parts usages;
 * inventory snapshots are generated with ``explode`` per product row (a
   generator, not a cross join), so they grow linearly with ``part``.
 """
@@ -29,9 +34,12 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
 
-# Inventory window of the bound systems: 28 daily snapshots starting here.
+# Inventory window of the bound systems: daily snapshots from here on, for so
+# many days (parameters of Landed; every product and every location is counted).
 INVENTORY_START = "1999-12-18"
 INVENTORY_DAYS = 28
+# The ERP books single units; a line item's quantity is in pairs.
+UNITS_PER_LINE_QTY = 2
 # Event timestamps are moved back this many years so that all facts share
 # one calendar with orders and line items.
 EVENT_SHIFT_YEARS = 24
@@ -61,17 +69,20 @@ def _shifted(ts: str) -> Column:
     return F.col(ts) - F.expr(f"INTERVAL {EVENT_SHIFT_YEARS} YEARS")
 
 
-def _cents_price(amount: str, qty: str) -> Column:
+def _cents_price(amount: Column, qty: Column) -> Column:
     """Unit price in whole cents: floor(amount*100/qty)/100 as DECIMAL(18,2)."""
-    return (F.floor(F.col(amount) * 100 / F.col(qty)) / 100).cast(MONEY)
+    return (F.floor(amount * 100 / qty) / 100).cast(MONEY)
 
 
 class Landed:
     """Lazy landed tables of the five systems, bound to ``sf_dir``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str,
+                 inventory_start: str = INVENTORY_START, inventory_days: int = INVENTORY_DAYS):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.inventory_start = inventory_start
+        self.inventory_days = inventory_days
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -80,6 +91,7 @@ class Landed:
     @cached_property
     def products(self) -> DataFrame:
         k = F.col("p_partkey")
+        n_suppliers = self.raw("supplier").agg(F.count(F.lit(1))).scalar()   # scalar subquery
         return self.raw("part").select(
             k.alias("product_key"),
             _code("SKU-%06d", k).alias("sku"),
@@ -92,7 +104,7 @@ class Landed:
             F.round(F.col("p_retailprice").cast(MONEY) * F.lit(0.6).cast("decimal(2,1)"), 2)
              .cast(MONEY).alias("standard_unit_cost"),
             F.col("p_retailprice").cast(MONEY).alias("list_price"),
-            (k % 10).alias("supplier_key"),
+            (k % n_suppliers).alias("supplier_key"),
         )
 
     @cached_property
@@ -124,7 +136,8 @@ class Landed:
 
     @cached_property
     def erp_sales_lines(self) -> DataFrame:
-        li = self.raw("lineitem").where(F.col("l_returnflag") == "N")
+        li = self.raw("lineitem").where(~F.col("l_returnflag").eqNullSafe("R"))
+        units = F.col("l_quantity") * UNITS_PER_LINE_QTY
         ch = F.col("l_orderkey") % 5
         return li.select(
             F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
@@ -133,24 +146,23 @@ class Landed:
             _code("SKU-%06d", "l_partkey").alias("sku"),
             _code("LOC-%02d", F.col("l_suppkey") % 15).alias("location_id"),
             F.when(ch <= 1, "Online").when(ch == 2, "Retail").otherwise("Wholesale").alias("channel"),
-            F.col("l_quantity").cast("bigint").alias("qty_sold"),
-            _cents_price("l_extendedprice", "l_quantity").alias("unit_price"),
+            units.cast("bigint").alias("qty_sold"),
+            _cents_price(F.col("l_extendedprice"), units).alias("unit_price"),
         )
 
-    def _snapshots(self) -> DataFrame:
-        """products (key % 10 = 0) x 5 locations x 28 days, by explode."""
-        p = self.raw("part").where(F.col("p_partkey") % 10 == 0)
-        g = (p.select("p_partkey", "p_size",
-                      F.explode(F.sequence(F.lit(0), F.lit(20), F.lit(5))).alias("loc"))
-              .select("*", F.explode(F.sequence(F.lit(1), F.lit(INVENTORY_DAYS))).alias("day")))
+    def _snapshots(self, first_loc: int, last_loc: int, every: int) -> DataFrame:
+        """All products x locations first..last x each ``every``-th day, by explode."""
+        g = (self.raw("part")
+             .select("p_partkey", "p_size", F.explode(F.sequence(F.lit(first_loc), F.lit(last_loc))).alias("loc"))
+             .select("*", F.explode(F.sequence(F.lit(1), F.lit(self.inventory_days), F.lit(every))).alias("day")))
         return g.select(
             "p_partkey", "p_size", "loc", "day",
-            F.date_add(F.lit(INVENTORY_START).cast("date"), F.col("day") - 1).alias("snap_date"),
+            F.date_add(F.lit(self.inventory_start).cast("date"), F.col("day") - 1).alias("snap_date"),
             ((F.col("p_partkey") * 7 + F.col("loc") * 13 + F.col("day") * 5) % 97).cast("bigint").alias("on_hand"))
 
     @cached_property
     def erp_inventory(self) -> DataFrame:
-        s = self._snapshots().where(F.col("loc") < 15)
+        s = self._snapshots(0, 14, 1)
         return s.select(
             F.date_format("snap_date", "yyyyMMdd").cast("int").alias("date_key"),
             _code("SKU-%06d", "p_partkey").alias("sku"),
@@ -200,19 +212,24 @@ class Landed:
         j = e.join(p, F.col("user_id") == F.col("p_partkey"), "left")
         eid = F.col("event_id")
         name = F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
-        text = (F.when(eid % 25 == 0, F.lit(""))
-                 .when(eid % 12 == 0, F.concat(F.col("p_name"), F.col("p_partkey").cast("string")))
+        # the text's kind depends on neither the category (id % 6) nor the status
+        kind = F.floor(eid / 24) % 25
+        is_open = F.floor(eid / 6) % 4 == 0
+        text = (F.when(kind == 0, F.lit(""))
+                 .when(kind.isin(1, 2), F.concat(F.col("p_name"), F.col("p_partkey").cast("string")))
+                 .when(kind == 3, name)
+                 .when(kind == 4, F.concat(F.lit(" "), name, F.lit("  ")))
                  .otherwise(F.concat(F.lit("  "), F.upper(name), F.lit(" "))))
         created = _shifted("ts")
         return j.select(
             F.concat(F.lit("T-"), eid.cast("string")).alias("ticketId"),
             _iso(created).alias("createdAt"),
-            F.when(eid % 4 == 0, F.lit(None).cast("string"))
+            F.when(is_open, F.lit(None).cast("string"))
              .otherwise(_iso(created + F.expr("INTERVAL 2 DAYS"))).alias("closedAt"),
             F.when(F.col("p_partkey").isNull(), F.lit(None).cast("string")).otherwise(text).alias("productText"),
             (eid % 6 + 1).cast("bigint").alias("categoryId"),
             F.when(eid % 3 == 0, "High").when(eid % 3 == 1, "Medium").otherwise("Low").alias("priority"),
-            F.when(eid % 4 == 0, "open").otherwise("closed").alias("status"),
+            F.when(is_open, "open").otherwise("closed").alias("status"),
             F.when(eid % 2 == 0, "email").otherwise("phone").alias("channel"),
         )
 
@@ -240,13 +257,10 @@ class Landed:
             F.lit("active").alias("status"))
         return primary.unionByName(dup)
 
-    def _mp_orders_base(self) -> DataFrame:
-        return self.raw("orders").where(F.col("o_orderstatus") == "P")
-
     @cached_property
     def mp_orders(self) -> DataFrame:
         n_parts = self.raw("part").agg(F.count(F.lit(1))).scalar()   # scalar subquery
-        o = self._mp_orders_base()
+        o = self.raw("orders")
         key = F.col("o_orderkey")
         k = key % n_parts
         return o.select(
@@ -260,7 +274,7 @@ class Landed:
 
     @cached_property
     def mp_settlements(self) -> DataFrame:
-        o = self._mp_orders_base().where(F.col("o_orderkey") % 101 != 0)
+        o = self.raw("orders").where(F.col("o_orderkey") % 101 != 0)
         key = F.col("o_orderkey")
         gross = F.col("o_totalprice").cast(MONEY)
         commission = F.round(gross * F.lit(0.10).cast("decimal(2,2)"), 2).cast(MONEY)
@@ -305,13 +319,13 @@ class Landed:
             _code("STR-%02d", F.col("l_suppkey") % 10 + 15).alias("STORE_CODE"),
             _code("ITEM %06d", "l_partkey").alias("ITEM_DESC"),
             F.col("l_quantity").cast("bigint").alias("QTY"),
-            _cents_price("l_extendedprice", "l_quantity").alias("UNIT_PRICE"),
+            _cents_price(F.col("l_extendedprice"), F.col("l_quantity")).alias("UNIT_PRICE"),
             F.col("l_extendedprice").cast(MONEY).alias("TOTAL_AMT"),
         )
 
     @cached_property
     def rt_stock_counts(self) -> DataFrame:
-        s = self._snapshots().where((F.col("loc") >= 15) & (F.col("day") % 7 == 1))
+        s = self._snapshots(15, 24, 7)
         return s.select(
             F.date_format("snap_date", "dd/MM/yyyy").alias("COUNT_DATE"),
             _code("STR-%02d", "loc").alias("STORE_CODE"),

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from confluo.operators.facts import unify
 from confluo.plans.star import SALES_SCHEMA, Conformer
 
 
@@ -22,10 +21,9 @@ def retailer_sales_stream(conformer: Conformer, landing_dir: str,
     """Streaming DataFrame of conformed sales rows from CSV files under ``landing_dir``."""
     spark = conformer.spark
     schema = conformer.landed.rt_sales.schema
-    src = (spark.readStream.schema(schema).option("header", True)
+    src = (spark.readStream.schema(schema).option("header", True).option("mode", "FAILFAST")
            .option("maxFilesPerTrigger", max_files_per_trigger).csv(landing_dir))
-    resolved = conformer.resolve_retailer_sales(src)
-    return unify([conformer.retailer_source(resolved)], SALES_SCHEMA)
+    return conformer.conform("retailer_sales", SALES_SCHEMA, src)
 
 
 def start_append(stream: DataFrame, output_dir: str, checkpoint_dir: str,

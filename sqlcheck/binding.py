@@ -19,7 +19,7 @@ BINDING_CTES: dict[str, str] = {
          CASE WHEN p_size <= 12 THEN 'A' WHEN p_size <= 25 THEN 'B' ELSE 'C' END AS abc_class,
          CAST(round(CAST(p_retailprice AS DECIMAL(18,2)) * CAST(0.6 AS DECIMAL(2,1)), 2) AS DECIMAL(18,2)) AS standard_unit_cost,
          CAST(p_retailprice AS DECIMAL(18,2)) AS list_price,
-         p_partkey % 10 AS supplier_key
+         p_partkey % (SELECT count(*) FROM supplier) AS supplier_key
   FROM part""",
     "suppliers": """
   SELECT s_suppkey AS supplier_key, printf('SUP-%05d', s_suppkey) AS supplier_id,
@@ -40,15 +40,14 @@ BINDING_CTES: dict[str, str] = {
          printf('LOC-%02d', l_suppkey % 15) AS location_id,
          CASE WHEN l_orderkey % 5 <= 1 THEN 'Online' WHEN l_orderkey % 5 = 2 THEN 'Retail'
               ELSE 'Wholesale' END AS channel,
-         CAST(l_quantity AS BIGINT) AS qty_sold,
-         CAST(floor(l_extendedprice * 100 / l_quantity) / 100 AS DECIMAL(18,2)) AS unit_price
-  FROM lineitem WHERE l_returnflag = 'N'""",
+         CAST(l_quantity * 2 AS BIGINT) AS qty_sold,
+         CAST(floor(l_extendedprice * 100 / (l_quantity * 2)) / 100 AS DECIMAL(18,2)) AS unit_price
+  FROM lineitem WHERE l_returnflag IS DISTINCT FROM 'R'""",
     "inv_snapshots": """
   SELECT p_partkey, p_size, l.loc, d.day,
          DATE '1999-12-18' + CAST(d.day - 1 AS INTEGER) AS snap_date,
          CAST((p_partkey * 7 + l.loc * 13 + d.day * 5) % 97 AS BIGINT) AS on_hand
-  FROM part CROSS JOIN range(0, 21, 5) AS l(loc) CROSS JOIN range(1, 29) AS d(day)
-  WHERE p_partkey % 10 = 0""",
+  FROM part CROSS JOIN range(0, 25) AS l(loc) CROSS JOIN range(1, 29) AS d(day)""",
     "erp_inventory": """
   SELECT CAST(strftime(snap_date, '%Y%m%d') AS INTEGER) AS date_key,
          printf('SKU-%06d', p_partkey) AS sku, printf('LOC-%02d', loc) AS location_id,
@@ -75,15 +74,17 @@ BINDING_CTES: dict[str, str] = {
     "hd_tickets": f"""
   SELECT 'T-' || CAST(e.event_id AS VARCHAR) AS ticketId,
          strftime(e.ts - INTERVAL 24 YEAR, {ISO}) AS createdAt,
-         CASE WHEN e.event_id % 4 = 0 THEN NULL
+         CASE WHEN (e.event_id // 6) % 4 = 0 THEN NULL
               ELSE strftime(e.ts - INTERVAL 24 YEAR + INTERVAL 2 DAY, {ISO}) END AS closedAt,
          CASE WHEN p.p_partkey IS NULL THEN NULL
-              WHEN e.event_id % 25 = 0 THEN ''
-              WHEN e.event_id % 12 = 0 THEN p.p_name || CAST(p.p_partkey AS VARCHAR)
+              WHEN (e.event_id // 24) % 25 = 0 THEN ''
+              WHEN (e.event_id // 24) % 25 <= 2 THEN p.p_name || CAST(p.p_partkey AS VARCHAR)
+              WHEN (e.event_id // 24) % 25 = 3 THEN p.p_name || ' ' || CAST(p.p_partkey AS VARCHAR)
+              WHEN (e.event_id // 24) % 25 = 4 THEN ' ' || p.p_name || ' ' || CAST(p.p_partkey AS VARCHAR) || '  '
               ELSE '  ' || upper(p.p_name || ' ' || CAST(p.p_partkey AS VARCHAR)) || ' ' END AS productText,
          CAST(e.event_id % 6 + 1 AS BIGINT) AS categoryId,
          CASE e.event_id % 3 WHEN 0 THEN 'High' WHEN 1 THEN 'Medium' ELSE 'Low' END AS priority,
-         CASE WHEN e.event_id % 4 = 0 THEN 'open' ELSE 'closed' END AS status,
+         CASE WHEN (e.event_id // 6) % 4 = 0 THEN 'open' ELSE 'closed' END AS status,
          CASE WHEN e.event_id % 2 = 0 THEN 'email' ELSE 'phone' END AS channel
   FROM events e LEFT JOIN part p ON e.user_id = p.p_partkey""",
     "hd_categories": """
@@ -107,8 +108,7 @@ BINDING_CTES: dict[str, str] = {
               ELSE printf('ML-%06d', o_orderkey % n.cnt) END AS listingId,
          CAST(o_orderkey % 5 + 1 AS BIGINT) AS qty,
          CAST(o_totalprice AS DECIMAL(18,2)) AS grossAmount
-  FROM orders CROSS JOIN (SELECT count(*) AS cnt FROM part) n
-  WHERE o_orderstatus = 'P'""",
+  FROM orders CROSS JOIN (SELECT count(*) AS cnt FROM part) n""",
     "mp_settlements": """
   SELECT 'ST-' || CAST(o_orderkey AS VARCHAR) AS settlementId,
          'MP-' || CAST(o_orderkey AS VARCHAR) AS orderId,
@@ -118,7 +118,7 @@ BINDING_CTES: dict[str, str] = {
   FROM (SELECT o_orderkey, o_orderdate, CAST(o_totalprice AS DECIMAL(18,2)) AS g,
                CAST(round(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.10 AS DECIMAL(2,2)), 2) AS DECIMAL(18,2)) AS c,
                CAST(round(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.86 AS DECIMAL(2,2)), 2) AS DECIMAL(18,2)) AS py
-        FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 101 <> 0) s""",
+        FROM orders WHERE o_orderkey % 101 <> 0) s""",
     "rt_products": """
   SELECT printf('RTL-%06d', p_partkey) AS LOCAL_CODE, printf('ITEM %06d', p_partkey) AS ITEM_DESC,
          p_type AS CATEGORY, CAST(p_retailprice AS DECIMAL(18,2)) AS UNIT_PRICE

@@ -55,11 +55,13 @@ _ST = f"""
 _ST2 = """
   SELECT sku, category, abc_class, CAST(units_sold AS DOUBLE) / NULLIF(avg_on_hand, 0) AS sell_through FROM st"""
 _BENCH = """
-  SELECT category, round(avg(sell_through), 9) AS b FROM st2 GROUP BY category"""
+  SELECT category, sum(CAST(floor(sell_through * 1e12 + 0.5) AS HUGEINT)) AS s, count(sell_through) AS n
+  FROM st2 GROUP BY category"""
 _BENCH_ROWS = """
-  SELECT s.sku, s.category, s.abc_class, s.sell_through, b.b AS category_avg_sell_through
+  SELECT s.sku, s.category, s.abc_class, s.sell_through, CAST(b.s AS DOUBLE) / b.n / 1e12 AS category_avg_sell_through,
+         CAST(floor(s.sell_through * 1e12 + 0.5) AS HUGEINT) * b.n < b.s AS below
   FROM st2 s LEFT JOIN bench b ON s.category IS NOT DISTINCT FROM b.category
-  WHERE s.sell_through IS NOT NULL OR b.b IS NOT NULL"""
+  WHERE s.sell_through IS NOT NULL OR b.n > 0"""
 
 
 def _semi_by(dim_join: str, group: str, where: str = "TRUE") -> str:
@@ -85,6 +87,11 @@ ORACLE: dict[str, str] = {
     "unified_inventory": Q("SELECT * FROM fact_inventory"),
     "helpdesk_flags": Q("SELECT * FROM fact_helpdesk"),
     "unknown_members": Q(f"SELECT sku, product_name, category FROM dim_product WHERE sku IN {UNK}"),
+    "mapping_check": Q(" UNION ALL ".join(f"""
+SELECT '{code}' AS map, CAST(coalesce(sum(n), 0) AS BIGINT) AS pairs, count(*) AS codes,
+       count(*) FILTER (WHERE k > 1) AS duplicated
+FROM (SELECT {code}, count(*) AS n, count(DISTINCT sku) AS k FROM xref_clean
+      WHERE trim(coalesce({code}, '')) <> '' GROUP BY 1)""" for code in ("local_code", "itm_code", "listing_id"))),
     "crosswalk_clean": Q("SELECT sku, itm_code, local_code, listing_id FROM xref_clean"),
     "local_only_products": Q(f"""
 SELECT r.LOCAL_CODE, {initcap('r.ITEM_DESC')} AS product_name, r.UNIT_PRICE AS list_price,
@@ -225,10 +232,10 @@ JOIN (SELECT sku, count(*) AS open_complaints FROM fact_helpdesk
       WHERE is_complaint AND is_open GROUP BY sku) oc ON p.sku = oc.sku
 WHERE p.abc_class = 'A'
   AND p.sku IN (SELECT sku FROM (SELECT sku, on_hand_qty, safety_stock,
-                                        row_number() OVER (PARTITION BY sku, location_id
-                                                           ORDER BY date_key DESC) AS rn
-                                 FROM fact_inventory WHERE grain = 'daily')
-                WHERE rn = 1 AND on_hand_qty <= safety_stock)"""),
+                                        grain, row_number() OVER (PARTITION BY sku, location_id, grain
+                                                                  ORDER BY date_key DESC) AS rn
+                                 FROM fact_inventory)
+                WHERE rn = 1 AND on_hand_qty <= CASE WHEN grain = 'daily' THEN safety_stock ELSE 0 END)"""),
     "tickets_by_product": Q(f"SELECT sku, {_b('sum(1)')} AS tickets FROM fact_helpdesk GROUP BY sku"),
     "tickets_exact": Q("""
 SELECT p.sku, count(*) AS tickets
@@ -237,7 +244,7 @@ FROM hd_tickets t JOIN products p ON t.productText = p.product_name GROUP BY p.s
 SELECT coalesce(t.sku, u.sku) AS sku, t.tickets, u.units AS units_sold,
        {_ratio('t.tickets', 'u.units', '1000.0')} AS tickets_per_1k
 FROM t FULL JOIN u ON t.sku = u.sku
-WHERE u.units >= 500 AND t.tickets IS NOT NULL""",
+WHERE u.units >= 1000 AND t.tickets IS NOT NULL""",
         t=f"SELECT sku, {_b('sum(1)')} AS tickets FROM fact_helpdesk WHERE sku NOT IN {UNK} GROUP BY sku",
         u=f"SELECT sku, {_b('sum(qty)')} AS units FROM fact_sales WHERE sku NOT IN {UNK} GROUP BY sku"),
     "parts_attach": Q(f"""
@@ -281,10 +288,10 @@ WHERE complaints IS NOT NULL OR service_parts_used IS NOT NULL OR units_sold IS
                             st=_ST, st2=_ST2, bench=_BENCH, rows_=_BENCH_ROWS),
     "overstocked_products": Q("""
 SELECT sku, category, sell_through, category_avg_sell_through FROM rows_
-WHERE sell_through < category_avg_sell_through
+WHERE below
 ORDER BY sell_through ASC, sku ASC LIMIT 5""", st=_ST, st2=_ST2, bench=_BENCH, rows_=_BENCH_ROWS),
     "overstock_by_class": Q("""
-SELECT abc_class, count(*) FILTER (WHERE sell_through < category_avg_sell_through) AS below_benchmark,
+SELECT abc_class, count(*) FILTER (WHERE below) AS below_benchmark,
        count(*) AS products
 FROM rows_ WHERE sell_through IS NOT NULL GROUP BY abc_class""",
                             st=_ST, st2=_ST2, bench=_BENCH, rows_=_BENCH_ROWS),

@@ -60,9 +60,9 @@ STAR_CTES: dict[str, str] = {
                     max(listing_id) AS listing_id
              FROM xref_clean GROUP BY sku) c ON p.sku = c.sku
   UNION ALL
-  SELECT 'RTX-' || substr(r.LOCAL_CODE, 5), {initcap('r.ITEM_DESC')}, 'Retailer Own Brand',
-         'Own Brand', 'Retailer', 'C', CAST(NULL AS DECIMAL(18,2)), r.UNIT_PRICE,
-         'Acquired Retailer', NULL, r.LOCAL_CODE, NULL, true
+  SELECT 'RTX-' || substr(r.LOCAL_CODE, 5), {initcap('r.ITEM_DESC')}, 'House Label',
+         'Local Range', 'House', 'C', CAST(NULL AS DECIMAL(18,2)), r.UNIT_PRICE,
+         'Direct to Store', NULL, r.LOCAL_CODE, NULL, true
   FROM rt_products r
   WHERE NOT EXISTS (SELECT 1 FROM local_map m WHERE m.local_code = r.LOCAL_CODE)
   UNION ALL
@@ -74,7 +74,7 @@ STAR_CTES: dict[str, str] = {
   SELECT location_id, location_name, region, location_type, country, 'ERP' AS source FROM locations
   UNION ALL
   SELECT STORE_CODE, {initcap('STORE_NAME')}, {initcap('REGION')}, 'Retail Store',
-         'Acquired Network', 'RETAILER' FROM rt_stores
+         'Store Network', 'RETAILER' FROM rt_stores
   UNION ALL
   SELECT 'LOC-MP', 'Online Marketplace', 'Online', 'Marketplace', 'Global', 'MARKETPLACE'""",
     "dim_channel": """

@@ -5,6 +5,7 @@ import os
 
 import pytest
 
+from confluo.registry import QUERIES as REGISTERED
 from tests.compare import compare, duck
 
 _spec = importlib.util.spec_from_file_location(
@@ -12,8 +13,9 @@ _spec = importlib.util.spec_from_file_location(
 entry = importlib.util.module_from_spec(_spec)
 _spec.loader.exec_module(entry)
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+# the training-data operators have their own tests
+QUERIES = {k: v for k, v in entry.queries().items() if k in REGISTERED}
+ORACLE = {k: v for k, v in entry.oracle_sql().items() if k in REGISTERED}
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +28,7 @@ def test_query_matches_oracle(spark, sf_small, con, key):
     df = QUERIES[key](spark, sf_small)
     ok, msg = compare(df, ORACLE[key], sf_small, con)
     assert ok, f"{key}: {msg}"
+    assert not msg.startswith("0 rows"), f"{key}: a match of two empty results proves nothing"
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
