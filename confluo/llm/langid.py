@@ -25,6 +25,7 @@ from .textbuf import U, blocks, utf8
 ORDERS, BITS = 3, 18
 #: Bounds of the sample: rows of a label, rows in all, landmarks of a label.
 PER_LABEL, MOST, LANDMARKS = 300, 6000, 32
+PARTS = 64
 RIDGE = 0.1
 UNKNOWN = "und"
 #: Bytes as the kernel sees them: small letters, and one blank for all that isn't a letter.
@@ -120,8 +121,13 @@ def _letters(text: str) -> Column:
 def fit(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "lang") -> Model | None:
     """Trains on the sample described above; only its sets of n-grams come to the driver."""
     usable = df.filter(F.col(label).isNotNull() & ~held_out(id_col))
-    first = Window.partitionBy("__label").orderBy(F.xxhash64("__id"), "__id")
-    some = usable.filter(_letters(text)).select(F.col(id_col).alias("__id"), F.col(label).cast("string").alias("__label")).distinct().withColumn("__rank", F.row_number().over(first)).filter(F.col("__rank") <= PER_LABEL)
+    order = [F.xxhash64("__id"), F.col("__id")]
+    # a label may hold most rows: the first of each of many parts, then the first of those
+    part = Window.partitionBy("__label", F.pmod(F.xxhash64(F.lit("part"), "__id"), F.lit(PARTS))).orderBy(*order)
+    first = Window.partitionBy("__label").orderBy(*order)
+    some = usable.filter(_letters(text)).select(F.col(id_col).alias("__id"), F.col(label).cast("string").alias("__label")).distinct()
+    for window in (part, first):
+        some = some.withColumn("__rank", F.row_number().over(window)).filter(F.col("__rank") <= PER_LABEL)
     some = some.orderBy("__rank", "__label").limit(MOST)
     rows = usable.select(F.col(id_col).alias("__id"), F.col(label).cast("string").alias("__label"), F.col(text).alias("__text"))
     rows = rows.join(F.broadcast(some), ["__id", "__label"]).select("__rank", "__label", "__text")
