@@ -21,6 +21,7 @@ from confluo.operators import crosswalk as xw
 from confluo.operators import quality as q
 from confluo.plans import answers as A
 from confluo.plans import legacy as raw
+from confluo.plans import raw_twins as twins
 from confluo.plans.governed import FORMATS, governed, metric_card
 from confluo.plans.star import Conformer, read_star, write_star
 from confluo.session import ensure_checkpoint_dir
@@ -101,6 +102,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unknown_members": _q(lambda L, c, star, R: star["dim_product"]
                           .where(F.col("sku").isin(*DEFAULT.unknown_labels))
                           .select("sku", "product_name", "category")),
+    "month_total_raw": _q(lambda L, c, star, R: twins.month_total(L, P.month_key)),
+    "stockout_rate_raw": _q(lambda L, c, star, R: twins.stockout_rate_raw(L)),
+    "after_sale_by_product_raw": _q(lambda L, c, star, R: twins.after_sale_by_product(L)),
+    "after_sale_by_category_raw": _q(lambda L, c, star, R: twins.after_sale_by_category(L)),
+    "sell_through_by_product_raw": _q(lambda L, c, star, R: twins.sell_through_by_product(L)),
+    "store_network_raw": _q(lambda L, c, star, R: twins.store_network(L, P.since_key)),
+    "channel_parity": _q(lambda L, c, star, R: twins.channel_parity(A.revenue_by_channel(star, R), L, P.quarter)),
     "mapping_check": _q(lambda L, c, star, R: xw.mapping_check({
         "local_code": c.local_map, "itm_code": c.item_map, "listing_id": c.listing_map})),
     "crosswalk_clean": _q(lambda L, c, star, R: c.xref_clean.select("sku", "itm_code", "local_code", "listing_id")),

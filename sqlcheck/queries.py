@@ -11,6 +11,7 @@ answer keys that use the same measures.
 from __future__ import annotations
 
 from sqlcheck.compose import with_ctes
+from sqlcheck.raw import RAW
 from sqlcheck.star import STAR_CTES, initcap, iso_key, text_key
 
 UNK = "('UNMAPPED', 'UNRESOLVED')"
@@ -405,3 +406,5 @@ FROM raw_totals r FULL JOIN star_totals s ON r.source = s.source""",
         star_totals="""
   SELECT source, CAST(sum(gross_amount) AS DECIMAL(38,2)) AS gross FROM fact_sales GROUP BY source"""),
 }
+
+ORACLE |= RAW
