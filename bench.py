@@ -69,6 +69,10 @@ def main() -> None:
     }
     for name, fn in answers.items():
         timed(name, lambda fn=fn: fn().collect())
+    # resolution and join keys, whole results
+    from confluo.registry import QUERIES
+    for name in ("resolve_text", "resolve_listing", "resolve_description", "star_join", "raw_star_join"):
+        timed(name, lambda name=name: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
