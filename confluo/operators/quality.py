@@ -51,38 +51,51 @@ def parity(raw_totals: DataFrame, star_totals: DataFrame, key: str, value: str)
 
 def landed_schema_check(tables: Mapping[str, DataFrame], expected: Mapping[str, Mapping[str, T.DataType]],
                         text_dates: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
-    """Per expected column: declared vs actual type, and for day-first text date
-    columns the number of rows that do not parse (they must stay strings)."""
+    """Per expected column of the landed files (all text): the declared type, the
+    rows, how many values don't parse as it (day-first text dates: as a date), and
+    whether the column is there and all of them do."""
     text_dates = text_dates or {}
     parts = []
     for tname, cols in expected.items():
-        df = tables[tname]
-        actual = {f.name: f.dataType for f in df.schema.fields}
-        bad_cols = {c: fmt for c, fmt in ([text_dates[tname]] if tname in text_dates else [])}
-        aggs = [F.count(F.lit(1)).alias("__rows")]
-        for c, fmt in bad_cols.items():
-            aggs.append(F.count_if(F.col(c).isNotNull() & F.try_to_date(F.col(c), fmt).isNull()).alias(f"__bad_{c}"))
-        stats = df.agg(*aggs)          # one pass over the table
-        items = []
-        for c, t in cols.items():
-            a = actual.get(c)
-            bad = F.col(f"__bad_{c}") if c in bad_cols else F.lit(0).cast("bigint")
-            items.append(F.struct(
-                F.lit(tname).alias("table_name"), F.lit(c).alias("column_name"),
-                F.lit(t.simpleString()).alias("expected_type"),
-                F.lit(a.simpleString() if a else None).cast("string").alias("actual_type"),
-                F.col("__rows").alias("rows"), bad.alias("unparsed_rows"),
-                (F.lit(a == t) & (bad == 0)).alias("ok")))
+        df, (dated, fmt) = tables[tname], text_dates.get(tname, (None, None))
+
+        def unparsed(c, t, dated=dated, fmt=fmt):
+            value = F.try_to_date(F.col(c), fmt) if c == dated else F.col(c).try_cast(t)
+            return F.count_if(F.col(c).isNotNull() & value.isNull())
+
+        present = [c for c in cols if c in df.columns]
+        stats = df.agg(F.count(F.lit(1)).alias("__rows"), *[unparsed(c, cols[c]).alias(f"__bad_{c}") for c in present])   # one pass
+        items = [F.struct(
+            F.lit(tname).alias("table_name"), F.lit(c).alias("column_name"), F.lit(t.simpleString()).alias("expected_type"),
+            F.col("__rows").alias("rows"), (F.col(f"__bad_{c}") if c in present else F.col("__rows")).alias("unparsed_rows"),
+            (F.lit(c in present) & ((F.col(f"__bad_{c}") if c in present else F.lit(0)) == 0)).alias("ok")) for c, t in cols.items()]
         parts.append(stats.select(F.explode(F.array(*items)).alias("r")).select("r.*"))
     return reduce(lambda x, y: x.unionByName(y), parts)
 
 
-KEY_HINTS = ("_key", "_id", "sku", "code")
+def require_landed(check: DataFrame) -> DataFrame:
+    """The check's rows; a row that isn't ok fails the job that reads them."""
+    said = F.concat(F.lit("landed column doesn't fit its type: "), "table_name", F.lit("."), "column_name")
+    return check.withColumn("ok", F.when(F.col("ok"), F.lit(True)).otherwise(F.raise_error(said).cast("boolean")))
+
+
+KEY_ENDS = ("_key", "_id", "sku", "code")
+# what the conformed columns mean, in our own words
+DESCRIPTIONS = {
+    "date_key": "Day of the row as yyyymmdd.", "sku": "Product of the row; a label where none was found.",
+    "location_id": "Place of the row.", "channel": "Way the sale came about.", "source": "System the row came from.",
+    "qty": "Units of the row.", "gross_amount": "Price paid.", "net_amount": "Price paid less marketplace fees.",
+    "on_hand_qty": "Units counted.", "safety_stock": "Units that should never be undercut.", "is_stockout": "1 if none were left.",
+    "grain": "Whether a count is daily or weekly.", "product_name": "Name of the product.", "category": "Group of products or of tickets.",
+    "abc_class": "Importance of the product.", "list_price": "Price on the list.", "supplier_name": "Who delivers it.",
+    "is_retailer_only": "True for products that only the stores carry.", "location_type": "Kind of place.",
+    "is_complaint": "True for tickets of the complaint category.", "is_open": "True while nobody has closed the ticket.",
+    "labor_hours": "Hours worked.", "qty_used": "Parts fitted.", "month_key": "Month as yyyymm."}
 
 
 def default_agg(name: str, dtype: T.DataType) -> str:
     """Numeric measures sum; key-like and calendar columns do not aggregate."""
-    if any(h in name for h in KEY_HINTS) or name in ("year", "quarter", "month", "day", "fiscal_year"):
+    if name.endswith(KEY_ENDS) or name in ("year", "quarter", "month", "day", "fiscal_year"):
         return "none"
     if isinstance(dtype, (T.IntegralType, T.FractionalType, T.DecimalType)):
         return "sum"
@@ -91,8 +104,9 @@ def default_agg(name: str, dtype: T.DataType) -> str:
 
 def column_catalog(tables: Mapping[str, DataFrame], descriptions: Mapping[str, str] | None = None) -> DataFrame:
     """Per table column: type, default aggregation, description and a profile
-    (rows, non-null values) computed in one pass per table."""
-    descriptions = descriptions or {}
+    (rows, non-null values) computed in one pass per table; keys are hidden
+    from report builders."""
+    descriptions = DESCRIPTIONS if descriptions is None else descriptions
     parts = []
     for tname, df in tables.items():
         stats = df.agg(F.count(F.lit(1)).alias("__rows"),   # one pass over the table
@@ -102,6 +116,7 @@ def column_catalog(tables: Mapping[str, DataFrame], descriptions: Mapping[str, s
             F.lit(f.dataType.simpleString()).alias("data_type"),
             F.lit(default_agg(f.name, f.dataType)).alias("default_agg"),
             F.lit(descriptions.get(f.name)).cast("string").alias("description"),
+            F.lit(f.name.endswith("_key")).alias("hidden"),
             F.col("__rows").alias("rows"), F.col(f"__nn{i}").alias("non_null"))
             for i, f in enumerate(df.schema.fields)]
         parts.append(stats.select(F.explode(F.array(*items)).alias("r")).select("r.*"))

@@ -22,11 +22,11 @@ from confluo.operators import quality as q
 from confluo.plans import answers as A
 from confluo.plans import legacy as raw
 from confluo.plans import raw_twins as twins
-from confluo.plans.governed import FORMATS, governed, metric_card
+from confluo.plans.governed import governed, metric_card
 from confluo.plans.star import Conformer, read_star, write_star
 from confluo.session import ensure_checkpoint_dir
 from confluo.sources.binding import Landed
-from confluo.sources.landing import EXPECTED_TYPES, TEXT_DATE_COLUMNS, land_csv
+from confluo.sources.landing import EXPECTED_TYPES, TEXT_DATE_COLUMNS, land_csv, read_landed, write_csv
 
 P = A.P
 
@@ -55,13 +55,15 @@ def q_land_csv(spark, sf_dir):
 
 
 def q_landed_schema_check(spark, sf_dir):
-    L = Landed(spark, sf_dir)
-    return q.landed_schema_check({n: L.table(n) for n in EXPECTED_TYPES}, EXPECTED_TYPES, TEXT_DATE_COLUMNS)
+    """All tables land as CSV; what lies there is checked, and a misfit fails the job."""
+    L, base = Landed(spark, sf_dir), _scratch(spark, "landed")
+    landed = {n: read_landed(spark, write_csv(L.table(n), f"{base}/{n}")) for n in EXPECTED_TYPES}
+    return q.require_landed(q.landed_schema_check(landed, EXPECTED_TYPES, TEXT_DATE_COLUMNS))
 
 
 def q_column_catalog(spark, sf_dir):
     _, _, star, _ = _ctx(spark, sf_dir)
-    return q.column_catalog(star.tables, {k: v[1] for k, v in FORMATS.items()})
+    return q.column_catalog(star.tables)
 
 
 def q_star_roundtrip(spark, sf_dir):

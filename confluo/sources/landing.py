@@ -6,10 +6,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+NULL = "\\N"
 S, L, I, D = T.StringType(), T.LongType(), T.IntegerType(), T.DecimalType(18, 2)
 
-# Declared landed types per table (the subset the conformance relies on).
+# Declared landed types of the columns that the conformance relies on, all 17 tables.
 EXPECTED_TYPES: dict[str, dict[str, T.DataType]] = {
+    "products": {"product_key": L, "sku": S, "product_name": S, "category": S, "abc_class": S, "standard_unit_cost": D,
+                 "list_price": D, "supplier_key": L},
+    "suppliers": {"supplier_key": L, "supplier_id": S, "supplier_name": S, "supplier_country": S},
+    "locations": {"location_key": L, "location_id": S, "location_name": S, "region": S, "location_type": S},
+    "svc_work_orders": {"WorkOrderId": S, "OpenedAt": S, "ItemCode": S, "Status": S, "LaborHours": T.DoubleType()},
+    "svc_parts_usage": {"UsageId": S, "WorkOrderId": S, "ItemCode": S, "QtyUsed": L, "UsedAt": S},
+    "hd_categories": {"categoryId": L, "categoryName": S},
+    "mp_listings": {"listingId": S, "sellerSku": S, "title": S, "listPrice": D, "status": S},
+    "rt_products": {"LOCAL_CODE": S, "ITEM_DESC": S, "CATEGORY": S, "UNIT_PRICE": D},
+    "rt_stores": {"STORE_CODE": S, "STORE_NAME": S, "REGION": S, "SQFT": L},
     "erp_sales_lines": {"date_key": I, "sku": S, "location_id": S, "qty_sold": L, "unit_price": D},
     "erp_inventory": {"date_key": I, "sku": S, "location_id": S, "on_hand_qty": L, "safety_stock": L},
     "mp_orders": {"orderId": S, "orderDate": S, "listingId": S, "qty": L, "grossAmount": D},
@@ -28,14 +39,20 @@ TEXT_DATE_COLUMNS: dict[str, tuple[str, str]] = {
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Blank text is written quoted, null as \\N: they stay apart."""
+    df.write.mode("overwrite").option("header", True).option("nullValue", NULL).csv(path)
     return path
 
 
+def read_landed(spark, path: str) -> DataFrame:
+    """The landed CSV as it lies there: every column text."""
+    return spark.read.option("header", True).option("nullValue", NULL).csv(path)
+
+
 def read_csv(spark, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV with an explicit schema: text dates stay strings; a row that
     does not fit the schema fails the read (FAILFAST) instead of turning null."""
-    return (spark.read.option("header", True).option("mode", "FAILFAST")
+    return (spark.read.option("header", True).option("mode", "FAILFAST").option("nullValue", NULL)
             .schema(schema).csv(path))
 
 

