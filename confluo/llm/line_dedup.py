@@ -1,14 +1,16 @@
 """Fuzzy line deduplication.
 
 Lines (A-Z lower-cased, at least ``LEAST`` characters) become sets of ``SIZE``-character shingles; shorter lines are left
-alone. Equal lines fall together by a 128-bit hash. Circulant MinHash of 16 coordinates in 8 bands of 2 gives candidates:
-so short a band is enough because shingles of 9 characters are rarely shared by chance, and a pair of similarity 0.8
-misses all bands with a chance of 0.0003. Candidate groups, exact Jaccard verification on the full sets and the
+alone. Equal lines fall together by a 128-bit hash. Circulant MinHash of 30 coordinates in 10 bands of 3 gives candidates:
+a pair of similarity 0.8 misses all bands with a chance of 0.0008, one of 0.85 with 0.00008, and shingles of 9 characters
+are so rarely shared by chance that unlike lines hardly meet in three coordinates (in two, chance ties a tenth of all
+lines into one group). Candidate groups, exact Jaccard verification on the full sets and the
 distributed union-find are those of the document operator. Of each component the first line stays, by document id, then
 place in the text; the others are removed with their line breaks.
 
-A second pass over the texts fetches the candidate lines; a bitmap of fixed size keeps other lines out of its shuffle. It
-only saves work: a false positive costs a row, and no line is missed.
+Two more passes over the texts, which only hash whole lines, fetch the candidate lines and the places of lines that have
+copies or links; a bitmap of fixed size keeps other lines out of their shuffles. It only saves work: a false positive
+costs a row, and no line is missed.
 
 A null or empty text has no lines to remove. Rows that repeat an id and a text share a fate. ``drop_lines`` drops
 a row that loses lines and keeps only blank ones, since all it held stands elsewhere.
@@ -22,20 +24,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .minhash import RING, band_keys, table
+from .minhash import band_keys, table
 from .near_dedup import candidate_edges, dealt, exact_links
 from .shared import bitmap, in_bitmap, map_arrow, written
 from .textbuf import LOWER, U, blocks, gather, mix, powers, utf8
 
 SIZE, LEAST = 9, 10
-BANDS, ROWS = 8, 2
+BANDS, ROWS = 10, 3
+#: Places of the ring: many times the shingles of all but the longest lines (a crowded ring makes unlike lines alike), in a
+#: table that stays in a processor's cache.
+RING = 1 << 18
 FILTER_BITS = 24
 
 
 class Lines:
-    """The lines of a block of texts, in code points: of the long enough ones, places and shingle hashes."""
+    """The lines of a block of texts, in code points: of the long enough ones, places, names and, if asked for, the
+    hashes of their shingles."""
 
-    def __init__(self, buf: np.ndarray, offs: np.ndarray):
+    def __init__(self, buf: np.ndarray, offs: np.ndarray, shingled: bool = True):
         # a line break after each text parts the texts; breaks within them part their lines
         n = len(offs) - 1
         joined = np.full(len(buf) + n, 10, np.uint8)
@@ -57,22 +63,26 @@ class Lines:
         weighed *= powers(len(points))[0]
         np.cumsum(weighed, out=sums[1:])
         inverse = powers(len(points))[1]
-        at = gather(starts, self.count)
-        self.first = np.cumsum(self.count) - self.count
-        self.shingles = mix((sums[np.minimum(at + SIZE, np.repeat(ends, self.count))] - sums[at]) * inverse[at])
-        whole = (sums[ends] - sums[starts]) * inverse[starts] if len(starts) else np.zeros(0, U)
-        self.name = mix(whole + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93)).view(np.int64)
-
-    def second(self) -> np.ndarray:
-        """Another 64 bits of each line's hash: the sum of its shingles' hashes."""
-        return np.add.reduceat(self.shingles, self.first).view(np.int64) if len(self.first) else np.zeros(0, np.int64)
+        salt = (ends - starts).astype(U) * U(0xD6E8FEB86659FD93)
+        self.name = mix((sums[ends] - sums[starts]) * inverse[starts] + salt).view(np.int64)
+        self.points, self.starts, self.ends, self.salt = points, starts, ends, salt
+        if shingled:
+            at = gather(starts, self.count)
+            self.first = np.cumsum(self.count) - self.count
+            self.shingles = mix((sums[np.minimum(at + SIZE, np.repeat(ends, self.count))] - sums[at]) * inverse[at])
+
+    def more(self) -> np.ndarray:
+        """Another 64 bits of each line's hash: the characters' own scattered codes, weighed alike."""
+        sums = np.zeros(len(self.points) + 1, U)
+        np.cumsum(mix(self.points.astype(U) + U(0x2545F491)) * powers(len(self.points))[0], out=sums[1:])
+        return mix((sums[self.ends] - sums[self.starts]) * powers(len(self.points))[1][self.starts] - self.salt).view(np.int64)
 
     def bands(self) -> np.ndarray:
         places = ((self.shingles >> U(20)) & U(RING - 1)).astype(np.int64)
         out = np.empty((len(self.first), BANDS * ROWS), np.uint32)
-        ring = table(BANDS * ROWS)
+        ring = table(BANDS * ROWS, RING)
         for k in range(BANDS * ROWS if len(self.first) else 0):
-            out[:, k] = np.minimum.reduceat(ring[k:].take(places), self.first)
+            out[:, k] = np.minimum.reduceat(ring[k:].take(places, mode="clip"), self.first)
         return band_keys(out, BANDS, ROWS)
 
     def text(self, k: int) -> bytes:
@@ -91,21 +101,36 @@ def line_sets(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _lines(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """One row for each long line: id, the text's hash, line number, the line's hash (name, more), its size and bands."""
+def _signatures(df: DataFrame, text: str) -> DataFrame:
+    """(name, more, n, bands) of each block's different long lines, with how often each is ``held`` there."""
 
     def run(batches):
         for batch in batches:
-            buf, offs = utf8(batch.column(2))
+            buf, offs = utf8(batch.column(0))
             for a, b in blocks(offs):
                 lines = Lines(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-                rows = pa.array(a + lines.row[lines.long])
-                keys = lines.bands()
+                _, first, held = np.unique(lines.name, return_index=True, return_counts=True)
+                keys = lines.bands()[first]
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.ravel(), pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(lines.number[lines.long], pa.int32()), pa.array(lines.name), pa.array(lines.second()), pa.array(lines.count, pa.int64()), bands], names=["id", "hash", "line", "name", "more", "n", "bands"])
+                yield pa.RecordBatch.from_arrays([pa.array(lines.name[first]), pa.array(lines.more()[first]), pa.array(held, pa.int64()), pa.array(lines.count[first], pa.int64()), bands], names=["name", "more", "held", "n", "bands"])
+
+    return map_arrow(df.select(text), run, "name long, more long, held long, n long, bands array<bigint>")
+
+
+def _places(df: DataFrame, id_col: str, text: str, wanted: np.ndarray) -> DataFrame:
+    """(id, the text's hash, line number, name, more) of the long lines whose name may be wanted."""
+
+    def run(batches):
+        for batch in batches:
+            buf, offs = utf8(batch.column(2))
+            for a, b in blocks(offs):
+                lines = Lines(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a], False)
+                some = np.flatnonzero(in_bitmap(wanted, lines.name))
+                rows = pa.array(a + lines.row[lines.long[some]])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(lines.number[lines.long[some]], pa.int32()), pa.array(lines.name[some]), pa.array(lines.more()[some])], names=["id", "hash", "line", "name", "more"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return map_arrow(df.select(id_col, F.xxhash64(text), text), run, f"id {kind}, hash long, line int, name long, more long, n long, bands array<bigint>")
+    return map_arrow(df.select(id_col, F.xxhash64(text), text), run, f"id {kind}, hash long, line int, name long, more long")
 
 
 def _texts(df: DataFrame, text: str, names: DataFrame) -> DataFrame:
@@ -116,7 +141,7 @@ def _texts(df: DataFrame, text: str, names: DataFrame) -> DataFrame:
         for batch in batches:
             buf, offs = utf8(batch.column(0))
             for a, b in blocks(offs):
-                lines = Lines(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
+                lines = Lines(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a], False)
                 _, some = np.unique(lines.name, return_index=True)
                 some = some[in_bitmap(wanted, lines.name[some])]
                 yield pa.RecordBatch.from_arrays([pa.array(lines.name[some]), pa.array([lines.text(k) for k in some], pa.binary()).cast(pa.string())], names=["name", "text"])
@@ -125,10 +150,8 @@ def _texts(df: DataFrame, text: str, names: DataFrame) -> DataFrame:
 
 
 def removals(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """(id, hash, n_long, lines): for each document with long lines how many it has, and the numbers of those to remove."""
-    rows = written(_lines(df, id_col, text), "lines")
-    place = F.struct("id", "hash", "line")
-    distinct = rows.groupBy("name", "more").agg(F.min(place).alias("place"), F.count("*").alias("held"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
+    """(id, hash, lines): for each document that loses lines their numbers."""
+    distinct = _signatures(df, text).groupBy("name", "more").agg(F.sum("held").alias("held"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
     distinct = written(distinct, "distinct")
     groups = connected_components(candidate_edges(distinct.select(F.col("name").alias("set"), "n", "bands"), percent=0, meet=1))
     nodes = groups.join(distinct.select("name", "n"), F.col("node") == F.col("name")).select(F.col("component").alias("group"), F.col("name").alias("set"), "n")
@@ -136,15 +159,15 @@ def removals(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent:
     texts = _texts(df, text, nodes).groupBy("name").agg(F.any_value("text").alias("text"))
     links = exact_links(texts.join(nodes, F.col("name") == F.col("set")), line_sets, percent)
     found = connected_components(links)
-    # a line without links is a class by its full hash, linked ones by their component
-    linked = distinct.select("name", "more", "place", "held").join(found, F.col("name") == F.col("node"), "left")
-    linked = linked.select("name", "more", "place", "held", F.coalesce("component", "name").alias("c"), F.when(F.col("component").isNull(), F.col("more")).alias("d"))
-    classes = linked.filter((F.col("held") > 1) | F.col("d").isNull())
-    first = classes.groupBy("c", "d").agg(F.min("place").alias("first"))
-    classes = classes.join(first, classes["c"].eqNullSafe(first["c"]) & classes["d"].eqNullSafe(first["d"])).select("name", "more", "first")
-    marked = rows.select("id", "hash", "line", "name", "more").join(classes, ["name", "more"], "left")
-    gone = F.col("first").isNotNull() & (place != F.col("first"))
-    return marked.groupBy("id", "hash").agg(F.countDistinct("line").alias("n_long"), F.sort_array(F.collect_set(F.when(gone, F.col("line")))).alias("lines"))
+    # a line without links is a class by its full hash, linked ones by their component; lines alone need no more
+    linked = distinct.select("name", "more", "held").join(found, F.col("name") == F.col("node"), "left")
+    linked = linked.filter((F.col("held") > 1) | F.col("component").isNotNull())
+    classes = written(linked.select("name", "more", F.coalesce("component", "name").alias("c"), F.when(F.col("component").isNull(), F.col("more")).alias("d")), "classes")
+    places = _places(df, id_col, text, bitmap(classes, "name", FILTER_BITS)).join(classes, ["name", "more"]).select("id", "hash", "line", "c", "d")
+    places, place = written(places, "places"), F.struct("id", "hash", "line")
+    first = places.groupBy("c", "d").agg(F.min(place).alias("first"))
+    marked = places.join(first.select(F.col("c").alias("e"), F.col("d").alias("f"), "first"), (F.col("c") == F.col("e")) & F.col("d").eqNullSafe(F.col("f")))
+    return marked.filter(place != F.col("first")).groupBy("id", "hash").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 
 def report(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
@@ -158,7 +181,7 @@ def report(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: i
 def drop_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """``df`` with the removed lines cut from the text, all other columns as they were. Rows that lose
     lines and keep only blank ones go; other texts that lose none stay byte for byte."""
-    gone = removals(df, id_col, text, percent).filter(F.size("lines") > 0).select(F.col("id").alias("__id"), F.col("hash").alias("__hash"), F.col("lines").alias("__lines"))
+    gone = removals(df, id_col, text, percent).select(F.col("id").alias("__id"), F.col("hash").alias("__hash"), F.col("lines").alias("__lines"))
     gone = written(gone, "removed")
     kept = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("__lines", i))
     out = df.join(gone, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left").withColumn("__kept", F.when(F.col("__lines").isNotNull(), kept))

@@ -12,15 +12,15 @@ import numpy as np
 from .textbuf import U, mix
 
 RING = 1 << 20
-_tables: dict[int, np.ndarray] = {}
+_tables: dict[tuple[int, int], np.ndarray] = {}
 
 
-def table(size: int) -> np.ndarray:
-    """The second permutation, followed by its first ``size`` numbers."""
-    if size not in _tables:
-        numbers = np.random.default_rng(20).permutation(RING).astype(np.uint32)
-        _tables[size] = np.concatenate([numbers, numbers[:size]])
-    return _tables[size]
+def table(size: int, ring: int = RING) -> np.ndarray:
+    """The second permutation, of ``ring`` places, followed by its first ``size`` numbers."""
+    if (size, ring) not in _tables:
+        numbers = np.random.default_rng(20).permutation(ring).astype(np.uint32)
+        _tables[size, ring] = np.concatenate([numbers, numbers[:size]])
+    return _tables[size, ring]
 
 
 def signature(elements: np.ndarray, size: int) -> np.ndarray:
