@@ -8,6 +8,12 @@ rest. Scoring is batched matrix products: presence by landmarks, then landmarks
 Rows train a model only if they have a label, hold a letter and aren't held out; the sample takes ``PER_LABEL`` rows of
 each label, first by hash of the id, ``MOST`` in all. Without such rows every prediction is ``und`` with score 0. A null
 text, or one without letters, is ``und`` with score 0.
+
+So is a text unlike the language it is put to (a dump of hex digits, a language no label has). Its *level* is the mean,
+over its n-grams of the highest order with two letters or more, of the logarithm of the share of the label's sample
+rows that hold it. The sample's own levels, each row judged by the others, set the label's floor: halfway from their
+median to the level of a text of unknown n-grams, or twice as far from the median as their ``LOW`` quantile, whichever
+is lower. A label of fewer than ``FEWEST`` rows has no floor, and a text without such n-grams is not held against one.
 """
 
 from __future__ import annotations
@@ -34,6 +40,23 @@ SEEN[97:123] = np.arange(97, 123)
 SEEN[65:91] = np.arange(97, 123)
 SEEN[128:] = np.arange(128, 256)
 ROWS = 256
+#: The floor of a label's levels: a low quantile of its sample's, and the rows it takes to set one.
+LOW, FEWEST = 0.02, 10
+
+
+def _bare() -> np.ndarray:
+    """Which hashed n-grams of the highest order hold fewer than two letters."""
+    key = np.concatenate([(np.arange(256, dtype=np.uint32) << np.uint32(8 * k)) | np.uint32(0x202020 & ~(255 << 8 * k)) for k in range(ORDERS)])
+    out = np.zeros(1 << BITS, bool)
+    out[_hashed(key, ORDERS)] = True
+    return out
+
+
+def _hashed(key: np.ndarray, order: int) -> np.ndarray:
+    return ((key + np.uint32(order << 24)) * np.uint32(2654435761)) >> np.uint32(32 - BITS)
+
+
+BARE = _bare()
 
 
 def grams(buf: np.ndarray, offs: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -49,8 +72,7 @@ def grams(buf: np.ndarray, offs: np.ndarray) -> list[tuple[np.ndarray, np.ndarra
             key = (key[:-1] << np.uint32(8)) | padded[k - 1 :]
         own = row[: len(key)]
         inside = own == row[k - 1 :] if k > 1 else slice(None)
-        hashed = ((key[inside] + np.uint32(k << 24)) * np.uint32(2654435761)) >> np.uint32(32 - BITS)
-        out.append((own[inside], hashed))
+        out.append((own[inside], _hashed(key[inside], k)))
     return out
 
 
@@ -60,13 +82,15 @@ class Model:
     column: np.ndarray  # of each hashed n-gram, -1 if no landmark has it
     landmarks: np.ndarray  # columns x landmarks, scaled
     weights: np.ndarray  # landmarks x labels
+    place: np.ndarray  # of each hashed n-gram in ``above``, the last one if the sample has it not
+    above: np.ndarray  # labels x n-grams: how far an n-gram's level lies above the label's floor
 
-    def scores(self, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
-        """Rows x labels."""
-        n, width = len(offs) - 1, len(self.landmarks)
+    def scores(self, found: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
+        """Rows x labels, from the ``grams`` of n rows."""
+        width = len(self.landmarks)
         present = np.zeros(n * width, np.float32)
         total = np.zeros(n, np.float32)
-        for row, gram in grams(buf, offs):
+        for row, gram in found:
             at = self.column[gram]
             known = at >= 0
             present[row[known].astype(np.int64) * width + at[known]] = 1
@@ -77,9 +101,37 @@ class Model:
         kernel = (present @ self.landmarks) / np.sqrt(np.maximum(total, 1))[:, None]
         return kernel @ self.weights
 
-
-def train(presence: list[np.ndarray], labels: list[str]) -> Model | None:
-    """A model from the rows' sets of hashed n-grams, in the sample's order."""
+    def like(self, found: list[tuple[np.ndarray, np.ndarray]], best: np.ndarray) -> np.ndarray:
+        """Which rows reach the floor of their label."""
+        row, gram = found[-1]
+        some = ~BARE[gram]
+        row = row[some]
+        # the sum has the sign of the mean
+        return np.bincount(row, self.above[best[row], self.place[gram[some]]], minlength=len(best)) >= 0
+
+
+def floors(counted: list[tuple[np.ndarray, np.ndarray]], labels: list[str], names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``place`` and ``above`` of a model, from the rows' hashed n-grams of the highest order and how often each has them."""
+    counted = [(gram[~BARE[gram]], held[~BARE[gram]]) for gram, held in counted]
+    vocabulary = np.unique(np.concatenate([gram for gram, _ in counted]))
+    place = np.full(1 << BITS, len(vocabulary), np.int32)
+    place[vocabulary] = np.arange(len(vocabulary))
+    above = np.zeros((len(names), len(vocabulary) + 1), np.float32)
+    for k, name in enumerate(names):
+        own = [(place[gram], held) for (gram, held), x in zip(counted, labels, strict=True) if x == name and len(gram)]
+        n = len(own)
+        if n < FEWEST:
+            continue
+        rows = np.bincount(np.concatenate([gram for gram, _ in own]), minlength=len(vocabulary) + 1)
+        levels = np.array([np.average(np.log((rows[gram] - 0.5) / n), weights=held) for gram, held in own])
+        middle, low = np.quantile(levels, [0.5, LOW])
+        floor = min((middle + np.log(0.5 / (n + 1))) / 2, 2 * low - middle)
+        above[k] = np.log((rows + 0.5) / (n + 1)) - floor
+    return place, above
+
+
+def train(presence: list[np.ndarray], counted: list[tuple[np.ndarray, np.ndarray]], labels: list[str]) -> Model | None:
+    """A model from the rows' sets of hashed n-grams, and the highest order's with their counts, in the sample's order."""
     names = sorted(set(labels))
     if not names:
         return None
@@ -106,7 +158,7 @@ def train(presence: list[np.ndarray], labels: list[str]) -> Model | None:
     weight = 1.0 / np.array([labels.count(x) for x in labels])
     normal = (space * weight[:, None]).T @ space + RIDGE / len(labels) * np.eye(space.shape[1])
     ridge = np.linalg.solve(normal, (space * weight[:, None]).T @ target)
-    return Model(names, column, marks.astype(np.float32), (to_space @ ridge).astype(np.float32))
+    return Model(names, column, marks.astype(np.float32), (to_space @ ridge).astype(np.float32), *floors(counted, labels, names))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -135,11 +187,15 @@ def fit(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str =
     def run(batches):
         for batch in batches:
             buf, offs = utf8(batch.column(2))
-            sets = [np.unique(np.concatenate([g for _, g in grams(buf[offs[i] : offs[i + 1]], offs[i : i + 2] - offs[i])])) for i in range(len(offs) - 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([s.astype(np.int32).tobytes() for s in sets], pa.binary())], names=["rank", "label", "grams"])
+            each = [[g for _, g in grams(buf[offs[i] : offs[i + 1]], offs[i : i + 2] - offs[i])] for i in range(len(offs) - 1)]
+            high = [np.unique(x[-1], return_counts=True) for x in each]
+            parts = [[np.unique(np.concatenate(x)) for x in each], [g for g, _ in high], [held for _, held in high]]
+            columns = [pa.array([x.astype(np.int32).tobytes() for x in part], pa.binary()) for part in parts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["rank", "label", "grams", "high", "held"])
 
-    got = sorted((r["rank"], r["label"], r["grams"]) for r in map_arrow(rows, run, "rank int, label string, grams binary").collect())
-    return train([np.frombuffer(g, np.int32) for _, _, g in got], [x for _, x, _ in got])
+    got = sorted(tuple(r) for r in map_arrow(rows, run, "rank int, label string, grams binary, high binary, held binary").collect())
+    ints = lambda x: np.frombuffer(x, np.int32)
+    return train([ints(r[2]) for r in got], [(ints(r[3]), ints(r[4])) for r in got], [r[1] for r in got])
 
 
 def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -151,15 +207,17 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
     def run(batches):
         for batch in batches:
             n = batch.num_rows
-            best, score = np.full(n, -1), np.zeros(n)
+            best, score, like = np.full(n, -1), np.zeros(n), np.ones(n, bool)
             buf, offs = utf8(batch.column(at))
             for a, b in blocks(offs) if model else ():
                 for i in range(a, b, ROWS):
                     j = min(b, i + ROWS)
-                    value = model.scores(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+                    found = grams(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+                    value = model.scores(found, j - i)
                     best[i:j] = value.argmax(axis=1)
+                    like[i:j] = model.like(found, best[i:j])
                     score[i:j] = np.clip((1 + value.max(axis=1).astype(np.float64)) / 2, 0, 1)
-            known = np.asarray(batch.column(len(keep)).to_pylist(), bool) & (best >= 0)
+            known = np.asarray(batch.column(len(keep)).to_pylist(), bool) & (best >= 0) & like
             names = [model.labels[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0), pa.float64())], names=[*batch.schema.names[:-1], "lang_pred", "score"])
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import base64
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from confluo.llm import bpe, components, decontaminate, langid, licenses, line_dedup, near_dedup, queries, repeats, secret_scan, suffixes, token_files, topk
 
 from . import brute
@@ -255,3 +257,27 @@ def test_lines_of_odd_documents(docs):
     unique = list({r: r for r in docs[0]}.values())
     got = digest(line_dedup.report(docs[1].dropDuplicates(["doc_id", "text"])), "doc_id", "n_lines", "n_removed", "removed")
     assert got == brute.lines(unique)
+
+
+def junk():
+    rnd = random.Random(11)
+    return ["".join(rnd.choice("0123456789abcdef") for _ in range(n)) for n in (64, 3000)] + [base64.b64encode(rnd.randbytes(n)).decode() for n in (90, 2000)] + ["Съешь же ещё этих мягких французских булок, да выпей чаю. " * 3]
+
+
+def test_texts_unlike_every_language_are_unknown(spark, sf_check):
+    df = spark.read.parquet(f"{sf_check}/documents.parquet").select("doc_id", "text", "lang")
+    more = spark.createDataFrame([(-1 - k, t, "en") for k, t in enumerate(junk())], df.schema)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(df.unionByName(more)).collect()}
+    assert {got[-1 - k] for k in range(len(junk()))} == {("und", 0.0)}
+    clean = {r["doc_id"] for r in df.filter(langid._letters("text")).select("doc_id").collect()}
+    assert clean and all(got[d][0] != "und" for d in clean)
+
+
+def test_the_language_stage(spark, sf_small):
+    df = spark.read.parquet(f"{sf_small}/documents.parquet")
+    more = spark.createDataFrame([(-1 - k, t, None) for k, t in enumerate(junk())], "doc_id long, text string, lang string")
+    both = df.unionByName(more, allowMissingColumns=True)
+    ids = lambda d: {r["doc_id"] for r in corpus_pipeline.known_language(spark, d, sf_small).collect()}
+    assert ids(both) == {r["doc_id"] for r in df.collect()}
+    untaught = both.withColumn("lang", F.lit(None).cast("string"))
+    assert ids(untaught) == {r["doc_id"] for r in both.collect()}
