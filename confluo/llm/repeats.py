@@ -10,6 +10,9 @@ Consecutive windows named for the same place form a *run*; each window lies in e
 3. Equal runs are counted together, before any shuffle. A run that occurs twice is repeated as a whole.
 4. The different runs of all names are dealt to shards by name, so that equal windows meet in one shard. A shard's
    suffix array (induced sorting) and permuted common prefixes show which windows also start elsewhere in it.
+   A *hot* name, whose runs are more than a shard (a passage that many texts hold between other neighbours),
+   is never dealt: its windows are counted by a 128-bit hash of all their bytes, before and after a shuffle that spreads
+   them evenly, and those that recur go back to their runs.
 5. Verdicts go back to the runs' places, and each text is cut once, judged on the input.
 
 Work is in proportion to the bytes; a group of copies costs one run for each name, however many members it has. A null
@@ -128,6 +131,67 @@ def repeated_windows(texts: list[bytes], windows: np.ndarray, span: int) -> list
     return [hit[s : s + w] for s, w in zip(starts.tolist(), windows.tolist(), strict=True)]
 
 
+def window_hashes(texts: list[bytes], windows: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
+    """Text, place and two hashes of the first ``windows`` strings of ``span`` bytes of each text."""
+    buf = np.frombuffer(b"".join(texts), np.uint8)
+    at = gather(np.cumsum([0] + [len(t) for t in texts])[:-1], windows)
+    text = np.repeat(np.arange(len(texts)), windows)
+    weight, inverse = powers(len(buf))
+    out = []
+    for codes in (buf.astype(U) + U(1), mix(buf.astype(U) + U(0x2545F491))):
+        sums = np.concatenate([np.zeros(1, U), np.cumsum(codes * weight[: len(buf)])])
+        out.append(mix((sums[at + span] - sums[at]) * inverse[at]).view(np.int64))
+    first = np.cumsum(windows) - windows
+    return text, np.arange(len(at)) - np.repeat(first, windows), *out
+
+
+def _hot_verdicts(each: DataFrame, span: int) -> DataFrame:
+    """(name, whole, spans) as ``_verdicts`` gives them, of the runs (name, whole, held, windows, bytes) of hot names."""
+
+    def parts(batch):
+        texts, windows = batch.column("bytes").to_pylist(), np.asarray(batch.column("windows"))
+        size = np.cumsum([len(t) for t in texts])
+        cuts = np.unique(np.searchsorted(size, np.arange(BLOCK, size[-1] + BLOCK, BLOCK), "right")) if len(texts) else []
+        for a, b in zip([0, *cuts], [*cuts, len(texts)], strict=True):
+            if b > a:
+                yield a, *window_hashes(texts[a:b], windows[a:b], span)
+
+    def count(batches):
+        for batch in batches:
+            for _, _, _, one, two in parts(batch):
+                order = np.lexsort((two, one))
+                one, two = one[order], two[order]
+                new = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
+                yield pa.RecordBatch.from_arrays([pa.array(one[new]), pa.array(two[new]), pa.array(np.diff(np.append(new, len(one))))], names=["one", "two", "held"])
+
+    rows = each.select("name", "whole", "windows", "bytes")
+    counted = map_arrow(rows, count, "one long, two long, held long").groupBy("one", "two").agg(F.sum("held").alias("held"))
+    again = written(counted.filter(F.col("held") > 1).select("one", "two"), "windows")
+    wanted = bitmap(again, "one", FILTER_BITS)
+
+    def find(batches):
+        for batch in batches:
+            for a, text, place, one, two in parts(batch):
+                keep = in_bitmap(wanted, one)
+                run = pa.array(a + text[keep])
+                yield pa.RecordBatch.from_arrays([batch.column("name").take(run), batch.column("whole").take(run), pa.array(place[keep]), pa.array(one[keep]), pa.array(two[keep])], names=["name", "whole", "place", "one", "two"])
+
+    def stretches(batches):
+        for batch in batches:
+            out = []
+            for places in batch.column("places").to_pylist():
+                p = np.sort(np.array(places, np.int64))
+                edge = np.flatnonzero(np.diff(p) > 1)
+                out.append([{"from": int(x), "to": int(y) + span} for x, y in zip(p[np.append(0, edge + 1)], p[np.append(edge, len(p) - 1)], strict=True)])
+            kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column("name"), batch.column("whole"), pa.array(out, kind)], names=["name", "whole", "spans"])
+
+    # a run that occurs twice is repeated as a whole; it only counts here
+    found = map_arrow(each.filter(F.col("held") == 1).select(rows.columns), find, "name long, whole long, place long, one long, two long")
+    found = found.join(again, ["one", "two"]).groupBy("name", "whole").agg(F.collect_list("place").alias("places"))
+    return map_arrow(found, stretches, "name long, whole long, spans array<struct<from:bigint,to:bigint>>")
+
+
 def _verdicts(occurrences: DataFrame, span: int) -> DataFrame:
     """(name, whole, spans): for each different run with repeated windows, the covered stretches [from, to)."""
     total = occurrences.agg(F.sum(F.length("bytes"))).first()[0] or 0
@@ -147,9 +211,15 @@ def _verdicts(occurrences: DataFrame, span: int) -> DataFrame:
         return rows.filter(pa.array([len(x) > 0 for x in out], pa.bool_()))
 
     ship(occurrences.sparkSession)
-    dealt = each.filter(F.col("bytes").isNotNull()).withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)))
-    part = dealt.groupBy("shard").applyInArrow(run, "name long, whole long, spans array<struct<from:bigint,to:bigint>>")
-    return whole.unionByName(part)
+    dealt = each.filter(F.col("bytes").isNotNull())
+    # at most as many as shards; copies of a run in several portions count, which only makes more names hot
+    sizes = occurrences.filter(F.col("bytes").isNotNull()).groupBy("name").agg(F.sum(F.length("bytes")).alias("size"))
+    hot = written(sizes.filter(F.col("size") > SHARD).select("name"), "hot")
+    some = hot.limit(1).count() > 0
+    own = dealt.join(F.broadcast(hot), "name", "left_anti") if some else dealt
+    part = own.withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards))).groupBy("shard").applyInArrow(run, "name long, whole long, spans array<struct<from:bigint,to:bigint>>")
+    out = whole.unionByName(part)
+    return out.unionByName(_hot_verdicts(written(dealt.join(F.broadcast(hot), "name", "left_semi"), "hot_runs"), span)) if some else out
 
 
 def spans(df: DataFrame, id_col: str = "doc_id", text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:

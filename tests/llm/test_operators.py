@@ -192,6 +192,26 @@ def test_repeats(spark, docs, empty, table):
     assert out(spark.createDataFrame(rows, DOCS), span=12, gram=4) == brute.repeats(rows, 12)
 
 
+def test_a_passage_of_many_texts_is_split(spark, monkeypatch):
+    """No shard gets all runs of one name, whatever the passage stands between."""
+    limit, whole = 20000, repeats.repeated_windows
+
+    def bounded(texts, windows, span):
+        if sum(map(len, texts)) > 5 * limit:
+            raise ValueError("a shard of more than its size")
+        return whole(texts, windows, span)
+
+    monkeypatch.setattr(repeats, "SHARD", limit)
+    monkeypatch.setattr(repeats, "repeated_windows", bounded)
+    rnd = random.Random(12)
+    some = lambda n: "".join(rnd.choice("abcdefgh é") for _ in range(n))
+    passage, after = some(140), [some(150) for _ in range(40)]
+    rows = [(k, some(300) + passage + (after[k % 90] if k % 90 < 40 else some(300)) + some(20)) for k in range(600)] + [(k, some(90) + passage + some(90)) for k in (700, 700)] + [(701, None)]
+    rows += [(702, rows[-2][1])]
+    got = brute.in_order((r[0], r.n_bytes, r.n_removed, r.n_spans, brute.sha(bytes(r.kept))) for r in repeats.cut(spark.createDataFrame(rows, DOCS)).collect())
+    assert got == brute.repeats(rows)
+
+
 def test_long_texts_are_dealt_in_parts(spark, monkeypatch):
     monkeypatch.setattr(repeats, "BLOCK", 1000)
     rnd = random.Random(6)
