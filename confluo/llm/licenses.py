@@ -7,7 +7,8 @@ t * size / (2 - t) of either size, so most units are left out by a count of temp
 only with templates whose size is within t / (2 - t) of its own.
 
 A null or empty text, or one of a single word, has no bigram and no licence. Of several matches the highest Dice counts,
-then the smaller licence name.
+then the smaller licence name. A paragraph that several licences of one family share is a template of the family, whose
+name follows theirs: it counts only where none of them reaches as much.
 """
 
 from __future__ import annotations
@@ -20,6 +21,37 @@ from .shared import map_arrow
 from .textbuf import LOWER, U, blocks, mix, run_hashes, spans, utf8
 
 THRESHOLD = 0.8
+
+
+def _gnu(name: str, family: str, kind: str, work: str, version: str, comma: str, titles: tuple[str, ...]) -> list[tuple[str, str]]:
+    """The notice of a GNU licence, by paragraphs and as a whole, and the licence's title."""
+    grant = f"This {work} is free software{comma} you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+    waiver = f"This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License for more details."
+    copies = [f"You should have received a copy of the GNU {kind}General Public License along with this {work}{x}" for x in (". If not, see <https://www.gnu.org/licenses/>.", "; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.")]
+    own = [grant, f"{grant} {waiver}", *[f"{grant} {waiver} {x}" for x in copies], *titles]
+    return [(name, x) for x in own] + [(family, x) for x in (waiver, *copies)]
+
+
+_MIT = (
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
+)
+_ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.',
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+)
+_APACHE = (
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at',
+    'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
+)
 #: Wording of public licences and of the notices that name them.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("all-rights-reserved", "All rights reserved."),
@@ -38,6 +70,23 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("mit", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.'),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("0bsd", _ISC[0].split(", provided")[0] + "."),
+    ("0bsd", _ISC[0].split(", provided")[0] + ". " + _ISC[1]),
+    *[("isc", x) for x in (*_ISC, " ".join(_ISC))],
+    *[("mit", x) for x in (*_MIT, " ".join(_MIT))],
+    *[("bsd-2-clause", " ".join(x)) for x in (_BSD[:3], (*_BSD[:3], _BSD[4]))],
+    *[("bsd-3-clause", " ".join(x)) for x in (_BSD[3:4], _BSD[:4], _BSD)],
+    *[("bsd-family", x) for x in (*_BSD[:3], _BSD[4])],
+    *[("apache-2.0", x) for x in (*_APACHE, "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/")],
+    *_gnu("gpl-2.0", "gpl-family", "", "program", "2", ";", ("GNU GENERAL PUBLIC LICENSE Version 2, June 1991",)),
+    *_gnu("gpl-3.0", "gpl-family", "", "program", "3", ":", ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "The GNU General Public License is a free, copyleft license for software and other kinds of works.")),
+    *_gnu("lgpl-2.1", "lgpl-family", "Lesser ", "library", "2.1", ";", ("GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",)),
+    *_gnu("lgpl-3.0", "lgpl-family", "Lesser ", "program", "3", ":", ("GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",)),
+    *_gnu("agpl-3.0", "agpl-3.0", "Affero ", "program", "3", ":", ("GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",)),
+    ("mpl-2.0", "Mozilla Public License Version 2.0"),
+    ("cc0-1.0", "CC0 1.0 Universal"),
+    ("cc0-1.0", "Licensed under CC0 1.0."),
+    ("cc0-1.0", "To the extent possible under law, the person who associated CC0 with this work has waived all copyright and related or neighboring rights to this work."),
 )
 #: Bytes that part words.
 APART = np.zeros(256, bool)

@@ -88,6 +88,28 @@ def test_licenses(docs, empty, table, spark):
     assert licenses.scan(empty).count() == 0
 
 
+def published(name, parts):
+    """As it is published, and in a longer document; with what is to be found."""
+    around = ["def f(x):\n    return x + 1"] * 9
+    return [("Copyright 2020 A. Holder\n\n" + "\n\n".join(parts), name), ("\n\n".join([*around, *parts, *around]), name)]
+
+
+def test_licenses_as_published(spark):
+    grant = "This program is free software{} you can redistribute it and/or modify\nit under the terms of the GNU {}General Public License as published by\nthe Free Software Foundation{} either version {} of the License, or\n(at your option) any later version."
+    waiver = "This program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU {}General Public License for more details."
+    copy = "You should have received a copy of the GNU {}General Public License\nalong with this program.  If not, see <https://www.gnu.org/licenses/>."
+    cases = published("isc", licenses._ISC) + published("mit", licenses._MIT) + published("apache-2.0", licenses._APACHE)
+    for name, kind, version, marks in (("gpl-2.0", "", 2, ";;"), ("gpl-3.0", "", 3, ":,"), ("agpl-3.0", "Affero ", 3, ":,"), ("lgpl-3.0", "Lesser ", 3, ":,")):
+        cases += published(name, [grant.format(marks[0], kind, marks[1], version), waiver.format(kind), copy.format(kind)])
+    cases += published("bsd-3-clause", ["\n".join(licenses._BSD[:4]), licenses._BSD[4]]) + published("bsd-2-clause", ["\n".join(licenses._BSD[:3]), licenses._BSD[4]]) + published("bsd-3-clause", licenses._BSD)
+    cases += [("a b\n\n" + x + "\n\nc d", n) for x, n in ((licenses._BSD[0], "bsd-family"), (licenses._ISC[1], "isc"), (licenses._MIT[2], "mit"), (waiver.format(""), "gpl-family"))]
+    cases += [("Creative Commons Legal Code\n\nCC0 1.0 Universal\n\nmore", "cc0-1.0"), ("        GNU LESSER GENERAL PUBLIC LICENSE\n     Version 2.1, February 1999\n\n Copyright", "lgpl-2.1")]
+    rows = [(k, t) for k, (t, _) in enumerate(cases)]
+    got = licenses.scan(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r["doc_id"]: r["license"] for r in got} == {k: n for k, (_, n) in enumerate(cases)}
+    assert brute.in_order(got) == brute.licenses(rows, licenses.TEMPLATES, licenses.THRESHOLD)
+
+
 def test_bpe(docs, empty, table):
     for rows, df in (docs, table):
         assert digest(bpe.round_trip(df), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == brute.bpe(rows)
