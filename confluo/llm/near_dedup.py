@@ -124,13 +124,14 @@ def exact_links(rows: DataFrame, make_sets: Callable, percent: int) -> DataFrame
     return each.groupBy("g", "i", "j").applyInArrow(run, f"a {kind}, b {kind}")
 
 
-def components(df: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 4, percent: int = 80) -> DataFrame:
-    """For each row: its id, n_shingles, component_id (the smallest id reachable) and kept (whether that is its own).
+def _labelled(df: DataFrame, id_col: str, text: str, size: int, percent: int) -> DataFrame:
+    """For each row: id, hash of its text, n and, if it has shingles, of its component the ``least`` id and the ``first``
+    row (none, id, hash), null ids last.
 
     Rows are linked if 100 * intersection >= percent * union of their sets of ``size``-word shingles (A-Z lower-cased,
     words parted by ASCII white space; fewer words are one shingle)."""
     rows = written(signatures(df, id_col, text, size), "signatures")
-    sets = rows.filter(F.col("n") > 0).groupBy("set").agg(F.min("id").alias("id"), F.min(F.struct("id", "hash")).alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
+    sets = rows.filter(F.col("n") > 0).groupBy("set").agg(F.min("id").alias("id"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
     sets = written(sets, "sets")
     groups = connected_components(candidate_edges(sets, percent=percent))
     nodes = groups.join(sets.select("set", "rep", "n"), groups["node"] == F.col("set")).select(F.col("component").alias("group"), "set", "n", "rep")
@@ -138,17 +139,24 @@ def components(df: DataFrame, id_col: str = "doc_id", text: str = "text", size:
     texts = df.select(F.col(id_col).alias("__id"), F.xxhash64(text).alias("__hash"), F.col(text).alias("text"))
     texts = texts.join(nodes, F.col("__id").eqNullSafe(F.col("id")) & (F.col("__hash") == F.col("hash")))
     found = connected_components(exact_links(texts, lambda buf, offs: shingle_sets(buf, offs, size), percent))
-    label = sets.select("set", "id").join(found, F.col("set") == F.col("node"), "left").select("set", "id", F.coalesce("component", "set").alias("component"))
-    least = label.groupBy("component").agg(F.min("id").alias("least"))
-    label = label.join(least, "component").select("set", "least")
-    out = rows.select("id", "n", "set").join(label, "set", "left")
+    label = sets.select("set", "id", "rep").join(found, F.col("set") == F.col("node"), "left").select("set", "id", "rep", F.coalesce("component", "set").alias("component"))
+    least = label.groupBy("component").agg(F.min("id").alias("least"), F.min("rep").alias("first"))
+    label = label.join(least, "component").select("set", "least", "first")
+    return rows.select("id", "hash", "n", "set").join(label, "set", "left")
+
+
+def components(df: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 4, percent: int = 80) -> DataFrame:
+    """For each row: its id, n_shingles, component_id (the smallest id reachable) and kept (whether that is its own)."""
+    out = _labelled(df, id_col, text, size, percent)
     own_id = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("least"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own_id.alias("component_id"), F.col("id").eqNullSafe(own_id).alias("kept"))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """``df`` without the rows whose component holds a smaller id; all columns as they were. Rows that repeat the kept
-    id stay. The dropped ids are written first, so the planner knows their size."""
-    found = components(df, id_col, text, size, percent)
-    gone = written(found.filter(~F.col("kept")).select(F.col(id_col).alias("__id")).distinct(), "dropped")
-    return df.join(gone, F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+    """``df`` with, of each component, the row of the smallest id (of its texts, the one of the smallest hash); all columns
+    as they were. Rows that repeat an id and a text share a fate, rows that share only an id don't. The dropped ones are
+    written first, so the planner knows their size."""
+    found = _labelled(df, id_col, text, size, percent)
+    other = ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("hash") == F.col("first.hash")))
+    gone = written(found.filter((F.col("n") > 0) & other).select(F.col("id").alias("__id"), F.col("hash").alias("__hash")).distinct(), "dropped")
+    return df.join(gone, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left_anti")

@@ -153,6 +153,17 @@ def test_near_duplicates(docs, empty, table, monkeypatch):
     assert gone and digest(kept, "doc_id", "text") == brute.in_order(r for r in docs[0] if r[0] not in gone)
 
 
+def test_near_duplicates_go_by_row_not_by_id(spark):
+    text = " ".join(f"w{k}" for k in range(80))
+    other = " ".join(f"v{k}" for k in range(80))
+    rows = [(1, text), (2, text + " x"), (2, "a clean text of its own under the same id"), (None, text + " y"), (None, "one more clean text without an id")]
+    rows += [(4, other), (4, other + " z"), (3, None), (3, "a b c d e"), (3, "a b c d e"), (None, "q " * 9)]
+    got = brute.in_order(near_dedup.keep_one(spark.createDataFrame(rows, DOCS)).collect())
+    kept = [r for r in rows if r[0] != 4 and r not in (rows[1], rows[3])]
+    assert [r for r in got if r[0] != 4] == brute.in_order(kept)
+    assert len([r for r in got if r[0] == 4]) == 1
+
+
 def test_components(spark):
     rnd = random.Random(4)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(400 + k, 401 + k) for k in range(70)] + [(500, 500)]
