@@ -1,9 +1,9 @@
 """Fuzzy line deduplication.
 
 Lines (A-Z lower-cased, at least ``LEAST`` characters) become sets of ``SIZE``-character shingles; shorter lines are left
-alone. Equal lines fall together by a 128-bit hash. Circulant MinHash of 30 coordinates in 10 bands of 3 gives candidates:
-a pair of similarity 0.8 misses all bands with a chance of 0.0008, one of 0.85 with 0.00008, and shingles of 9 characters
-are so rarely shared by chance that unlike lines hardly meet in three coordinates (in two, chance ties a tenth of all
+alone. Equal lines fall together by a 128-bit hash. Circulant MinHash of 60 coordinates in 20 bands of 3 gives candidates:
+a pair of similarity 0.8 misses all bands with a chance of 6e-7, one of 0.85 with 5e-9, and shingles of 9 characters are
+so rarely shared by chance that unlike lines hardly meet in three coordinates (in two, chance ties a tenth of all
 lines into one group). Candidate groups, exact Jaccard verification on the full sets and the
 distributed union-find are those of the document operator. Of each component the first line stays, by document id, then
 place in the text; the others are removed with their line breaks.
@@ -30,7 +30,7 @@ from .shared import bitmap, in_bitmap, map_arrow, written
 from .textbuf import LOWER, U, blocks, gather, mix, powers, utf8
 
 SIZE, LEAST = 9, 10
-BANDS, ROWS = 10, 3
+BANDS, ROWS = 20, 3
 #: Places of the ring: many times the shingles of all but the longest lines (a crowded ring makes unlike lines alike), in a
 #: table that stays in a processor's cache.
 RING = 1 << 18

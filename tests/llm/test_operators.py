@@ -306,6 +306,21 @@ def test_lines(spark, docs, empty, table):
     assert {r["doc_id"]: r["text"] for r in kept.collect()} == {1: None, 2: "", 3: "short\nshort", 4: rows[3][1], None: rows[6][1]}
 
 
+def test_bands_miss_no_line_of_the_threshold():
+    rnd = np.random.default_rng(3)
+    one = rnd.integers(97, 123, (20000, 90), np.uint8)  # one inner character of 89 differs: similarity 0.8
+    two = one.copy()
+    two[:, 40] = 65 + 32 + (one[:, 40] - 97 + 1) % 26
+    keys = []
+    for part in (one, two):
+        part[:, 89] = 10
+        buf = part.ravel()[:-1]
+        lines = line_dedup.Lines(buf, np.array([0, len(buf)]))
+        assert len(lines.first) == len(one)
+        keys.append(lines.bands())
+    assert np.count_nonzero(~(keys[0] == keys[1]).any(axis=1)) == 0
+
+
 def test_lines_of_odd_documents(docs):
     unique = list({r: r for r in docs[0]}.values())
     got = digest(line_dedup.report(docs[1].dropDuplicates(["doc_id", "text"])), "doc_id", "n_lines", "n_removed", "removed")
