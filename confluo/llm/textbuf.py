@@ -114,6 +114,27 @@ def run_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix(out)
 
 
+def keyed_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int | np.ndarray = 0) -> np.ndarray:
+    """A 64-bit hash of each run of bytes: its length and its pieces of eight bytes, each scattered with all before it.
+
+    ``key``, a number or one for each run, gives another hash. Runs of up to eight bytes never share one under a key."""
+    left = (ends - starts).astype(np.int64)
+    padded = np.zeros(len(buf) + 8, np.uint8)
+    padded[: len(buf)] = buf
+    eights = np.ndarray(len(buf) + 1, "<u8", padded, strides=(1,))
+    out = mix((np.zeros(len(left), U) + np.asarray(key).astype(U)) ^ mix(left.astype(U) + U(_BASE)))
+    live, at = np.flatnonzero(left > 0), starts[left > 0].astype(np.int64)
+    left = left[live]
+    while len(live):
+        piece = eights[at]
+        short = np.flatnonzero(left < 8)
+        piece[short] &= (U(1) << (left[short] * 8).astype(U)) - U(1)
+        out[live] = mix(out[live] ^ piece)
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    return out
+
+
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
     """Distinct hashes, sorted, of the word hashes' runs of ``size``; of fewer words, one for them all; of none, none."""
     n = len(words)
