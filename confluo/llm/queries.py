@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, licenses, line_dedup, near_dedup, repeats, secret_scan, simhash, token_files, topk
+from . import bpe, decontaminate, langid, licenses, line_dedup, merkle, near_dedup, phrases, repeats, secret_scan, simhash, token_files, topk
 from .oracle import ORACLE as ORACLE
 
 
@@ -65,6 +65,14 @@ def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(_table(spark, sf_dir, "documents"))
 
 
+def phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(_table(spark, sf_dir, "documents"))
 
@@ -80,5 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": language_id,
     "op9_secret_scan": secrets,
     "op10_line_dedup": fuzzy_lines,
+    "op11_phrase_mining": phrase_mining,
+    "op12_merkle_manifest": merkle_manifest,
     "op13_simhash_near_dedup": simhash_groups,
 }

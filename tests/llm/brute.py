@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import tiktoken
+import xxhash
 from tokenizers import Tokenizer
 
 
@@ -186,3 +187,75 @@ def licenses(docs, templates, threshold):
                         best = (dice, n)
         out.append((d, best[1], best[0]))
     return in_order(out)
+
+
+def phrases(rows, least=30, percent=80, first=2000, longest=4):
+    """``rows``: (text, lang)."""
+    counts, total = Counter(), Counter()
+    for t, lang in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low(t)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            total[lang or "und"] += len(w)
+            counts.update((lang or "und", tuple(w[i : i + n])) for n in range(1, longest + 1) for i in range(len(w) - n + 1))
+    good = {k: a for k, a in counts.items() if len(k[1]) > 1 and a >= least}
+    out = defaultdict(list)
+    for (lang, w), a in good.items():
+        if any(la == lang and len(v) > len(w) and 100 * b >= percent * a and any(v[i : i + len(w)] == w for i in range(len(v))) for (la, v), b in good.items()):
+            continue
+        score, _, l, r = min((2000000 * a // (counts[lang, w[:k]] + counts[lang, w[k:]]), k, counts[lang, w[:k]], counts[lang, w[k:]]) for k in range(1, len(w)))
+        out[lang].append((-score, -a, " ".join(w).encode(), l, r))
+    return in_order((lang, k + 1, p.decode(), -a, l, r, total[lang], -s) for lang, own in out.items() for k, (s, a, p, l, r) in enumerate(sorted(own)[:first]))
+
+
+def merkle(rows):
+    """``rows``: (doc_id, source, lang, n_chars, text)."""
+
+    def leaf(r):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in r))
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([sha("".join(out[-1][k : k + 2])) for k in range(0, len(out[-1]), 2)])
+        return out
+
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[2]].append(r)
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    for own in groups.values():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+    trees = {g: levels([leaf(r) for r in own]) for g, own in groups.items()}
+    top = levels([trees[g][-1][0] for g in order])
+    out = []
+    for k, g in enumerate(order):
+        for at, r in enumerate(groups[g]):
+            tampered = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 0 and r[3] is not None
+            node, siblings = leaf((*r[:3], r[3] + 1, r[4]) if tampered else r), []
+            for i, tree in ((at, trees[g]), (k, top)):
+                for level in tree[:-1]:
+                    other = level[i ^ 1] if i ^ 1 < len(level) else ""
+                    siblings.append(other)
+                    node = sha(other + node if i & 1 else node + other)
+                    i >>= 1
+            out.append((r[0], leaf(r), trees[g][-1][0], top[-1][0], sha("".join(siblings)), node, node == top[-1][0]))
+    return in_order(out)
+
+
+def simhash(docs, size=4, bits=4):
+    def fingerprint(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", low(t))
+        h = [xxhash.xxh64_intdigest(" ".join(w[i : i + size]).encode(), 42) for i in range(max(1, len(w) - size + 1))] if w else []
+        return sum((2 * sum(x >> i & 1 for x in h) > len(h)) << i for i in range(64))
+
+    prints = [fingerprint(t) for _, t in docs]
+    union = Union(len(docs))
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= bits:
+                union.join(i, j)
+    least = {}
+    for k, (d, _) in enumerate(docs):
+        if d is not None:
+            least[union.top(k)] = min(d, least.get(union.top(k), d))
+    return in_order((d, f"{prints[k]:016x}", least.get(union.top(k))) for k, (d, _) in enumerate(docs))
