@@ -53,6 +53,16 @@ class StarConfig:
     top_n: int = 5
     channels: tuple[str, ...] = ("Online", "Retail", "Wholesale", "Marketplace", "Acquired Store")
     unknown_category: str = "Unknown"
+    # what an answer names as its sources and basis: the systems behind each fact,
+    # behind each inventory grain, those that a place belongs to, and money columns
+    fact_sources: dict = field(default_factory=lambda: {
+        "fact_sales": ("ERP", "MARKETPLACE", "RETAILER"), "fact_inventory": ("ERP", "RETAILER"),
+        "fact_service": ("FIELD SERVICE",), "fact_service_parts": ("FIELD SERVICE",), "fact_helpdesk": ("HELPDESK",)})
+    grain_sources: dict = field(default_factory=lambda: {"daily": "ERP", "weekly": "RETAILER"})
+    place_sources: tuple[str, ...] = ("ERP", "MARKETPLACE", "RETAILER")
+    bases: dict = field(default_factory=lambda: {"net_amount": "net", "gross_amount": "gross"})
+    # units over average on-hand outside of this range point to a wrong denominator
+    plausible_sell_through: tuple[float, float] = (0.05, 10.0)
     marketplace_location: dict = field(default_factory=lambda: {
         "location_id": "LOC-MP", "location_name": "Online Marketplace",
         "region": "Online", "location_type": "Marketplace", "country": "Global",

@@ -34,7 +34,7 @@ class Feed:
     table: str
     columns: dict[str, str] = field(default_factory=dict)
     lookup: Lookup | None = None
-    # further landed tables: (table, shared column, inner or left)
+    # further landed tables or maps of the conformer: (table, shared column, inner or left)
     joins: tuple[tuple[str, str, str], ...] = ()
 
 
@@ -42,6 +42,7 @@ _ISO_DAY = "cast(date_format(try_to_timestamp({0}), 'yyyyMMdd') as int)"
 _TEXT_DAY = "cast(date_format(try_to_date({0}, '{{text_date_format}}'), 'yyyyMMdd') as int)"
 
 FEEDS: dict[str, Feed] = {
+    "products": Feed("products", {"is_retailer_only": "false"}, joins=(("suppliers", "supplier_key", "left"), ("product_codes", "sku", "left"))),
     "retailer_only_products": Feed(
         "rt_products", lookup=Lookup("LOCAL_CODE", "local_map", "local_code", kind="missing"),
         columns={"sku": "concat('{retailer_only_prefix}', substring(LOCAL_CODE, {retailer_code_digits_from}))",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from confluo.config import DEFAULT, StarConfig
+from confluo.functions.formats import display
 from confluo.plans.metrics import (Count, Formula, PeerAverage, Registry, SemiAdditive, Sum,
                                    blank_add, ratio, safe_ratio)
 
@@ -51,18 +52,18 @@ def governed(cfg: StarConfig = DEFAULT) -> Registry:
         Count("snapshot_rows", I, daily),
         ratio("stockout_rate", "stockout_rows", "snapshot_rows"),
         SemiAdditive("avg_on_hand", I, "on_hand_qty", over="date_key"),
-        ratio("sell_through", "units_sold", "avg_on_hand"),
+        ratio("sell_through", "units_sold", "avg_on_hand", plausible=cfg.plausible_sell_through),
         Count("tickets", H),
         Count("open_complaints", H, {"is_complaint": True, "is_open": True}),
-        ratio("tickets_per_1k", "tickets", "units_sold", 1000),
+        ratio("tickets_per_1k", "tickets", "units_sold", 1000, references=("tickets",)),
         Sum("service_parts_used", P, "qty_used"),
-        ratio("parts_per_100", "service_parts_used", "units_sold", 100),
+        ratio("parts_per_100", "service_parts_used", "units_sold", 100, references=("service_parts_used",)),
         Sum("unattributable_revenue", S, "net_amount", {"dim_product.sku": list(cfg.unknown_labels)}),
         Formula("attributable_share", ("revenue_net", "unattributable_revenue"),
                 lambda n, u: safe_ratio(n - F.coalesce(u, F.lit(0)), n)),
         Count("complaints", H, {"is_complaint": True}),
         Formula("after_sale_per_1k", ("complaints", "service_parts_used", "units_sold"),
-                lambda c, p, u: safe_ratio(blank_add(c, p), u, 1000)),
+                lambda c, p, u: safe_ratio(blank_add(c, p), u, 1000), references=("complaints", "service_parts_used")),
         PeerAverage("category_avg_sell_through", "sell_through", member="dim_product.sku",
                     peer="dim_product.category", exclude=tuple(cfg.unknown_labels)),
     ])
@@ -93,11 +94,12 @@ def metric_catalog(spark, registry: Registry):
 
 def metric_card(star, registry: Registry):
     """Every governed metric evaluated over the whole star in ONE drill-across
-    query, unpivoted to (metric, kind, format, description, value)."""
+    query, unpivoted to (metric, kind, format, description, value, display)."""
     from confluo.plans.metrics import query
     names = [n for n, m in registry.metrics.items()]
     wide = query(star, registry, names)
+    shown = lambda n: display(F.col(n), FORMATS[n][0]) if n in FORMATS else F.col(n).cast("string")
     long = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names])).alias("m"))
+        F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value"), shown(n).alias("display")) for n in names])).alias("m"))
     cat = metric_catalog(star["fact_sales"].sparkSession, registry).select("metric", "kind", "format", "description")
-    return long.select("m.metric", "m.value").join(F.broadcast(cat), "metric")
+    return long.select("m.metric", "m.value", "m.display").join(F.broadcast(cat), "metric")

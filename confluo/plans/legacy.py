@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from confluo.config import DEFAULT, StarConfig
 from confluo.functions.text import lacks_all, not_blank
+from confluo.plans.answers import star_join
+from confluo.plans.metrics import Count, Registry, SemiAdditive, Sum, query, ratio
+from confluo.plans.star import Star
 from confluo.sources.binding import Landed
 
 
@@ -76,8 +79,10 @@ def tickets_exact(L: Landed) -> DataFrame:
     """Tickets per product by *exact* text equality (no trim/upper): the
     under-count the normalised resolution fixes."""
     p = L.products.select(F.col("product_name").alias("__name"), "sku")
-    return (L.hd_tickets.join(p, F.col("productText") == F.col("__name"))
-            .groupBy("sku").agg(F.count(F.lit(1)).alias("tickets")))
+    # blank text names no product and may be a hot key; each text is counted before the join
+    named = L.hd_tickets.where(not_blank("productText")).groupBy("productText").agg(F.count(F.lit(1)).alias("n"))
+    return (named.join(p, F.col("productText") == F.col("__name"))
+            .groupBy("sku").agg(F.sum("n").alias("tickets")))
 
 
 def parts_attach_raw(L: Landed, category: str, cfg: StarConfig = DEFAULT) -> DataFrame:
@@ -104,11 +109,53 @@ def sell_through_naive(L: Landed, since_key: int) -> DataFrame:
         F.try_divide(dc_units.cast("double"), dc_oh).alias("naive_sell_through"))
 
 
+RAW_RELATIONSHIPS: tuple[tuple[str, str, str, str], ...] = (
+    ("erp_sales_lines", "sku", "products", "sku"),
+    ("erp_inventory", "sku", "products", "sku"),
+    ("erp_sales_lines", "location_id", "locations", "location_id"),
+    ("erp_inventory", "location_id", "locations", "location_id"),
+)
+
+
+def raw_star(L: Landed) -> Star:
+    """The landed ERP tables as a star of their own: the four relationships that
+    the raw tables support, and no others (other systems' codes don't match).
+    Supplier names come with the products, joined there, not with each sale."""
+    p = (L.products.select("sku", "product_name", "category", "abc_class", "supplier_key")
+         .join(L.suppliers.select("supplier_key", "supplier_name"), "supplier_key", "left").drop("supplier_key"))
+    loc = L.locations.select("location_id", "location_name", "location_type")
+    return Star({"erp_sales_lines": L.erp_sales_lines, "erp_inventory": L.erp_inventory, "products": p, "locations": loc},
+                relationships=RAW_RELATIONSHIPS, bounded=frozenset({"locations"}), unknown=())
+
+
+def raw_registry() -> Registry:
+    """Measures over the raw star's own columns."""
+    return Registry([
+        Sum("units", "erp_sales_lines", "qty_sold"),
+        Count("lines", "erp_sales_lines"),
+        Count("counts", "erp_inventory"),
+        Sum("stockouts", "erp_inventory", "is_stockout"),
+        SemiAdditive("avg_on_hand", "erp_inventory", "on_hand_qty"),
+        ratio("stockout_share", "stockouts", "counts"),
+        ratio("sell_through", "units", "avg_on_hand"),
+    ])
+
+
 def raw_star_join(L: Landed) -> DataFrame:
-    """ERP lines with product, supplier and location attributes: the only
-    relationships the raw tables support."""
-    p = L.products.select("sku", "product_name", "category", "abc_class", "supplier_key")
-    s = L.suppliers.select("supplier_key", "supplier_name")
-    loc = F.broadcast(L.locations.select("location_id", "location_name", "location_type"))
-    return (L.erp_sales_lines.join(p, "sku", "left").join(s, "supplier_key", "left")
-            .join(loc, "location_id", "left").drop("supplier_key"))
+    """ERP lines with product, supplier and location attributes."""
+    return star_join(raw_star(L), "erp_sales_lines")
+
+
+def raw_inventory_join(L: Landed) -> DataFrame:
+    """ERP stock counts with product, supplier and location attributes."""
+    return star_join(raw_star(L), "erp_inventory")
+
+
+def raw_by_category(L: Landed) -> DataFrame:
+    """Sales and stock by product category, each over its own raw relationship, in one drill-across query."""
+    return query(raw_star(L), raw_registry(), ["units", "lines", "avg_on_hand", "stockout_share", "sell_through"], by=["products.category"])
+
+
+def raw_by_place(L: Landed) -> DataFrame:
+    """The same by type of place."""
+    return query(raw_star(L), raw_registry(), ["units", "counts", "stockouts", "avg_on_hand"], by=["locations.location_type"])

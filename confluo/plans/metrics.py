@@ -27,6 +27,8 @@ Physical shape, chosen for scale:
 
 from __future__ import annotations
 
+import calendar
+import datetime as dt
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -87,6 +89,49 @@ def _months(ref, spec):
     return None if spec is None or isinstance(spec, (NotIn, list, tuple, set, frozenset)) else month(spec)
 
 
+def _key(day: dt.date) -> int:
+    return day.year * 10000 + day.month * 100 + day.day
+
+
+def _day(key: int) -> dt.date:
+    return dt.date(key // 10000, key // 100 % 100, key % 100)
+
+
+def _ends(spec) -> tuple[Any, Any, bool] | None:
+    """(least, greatest, whether the greatest is left out) of a filter's values, None for an open side; None if it sets no range."""
+    if isinstance(spec, Between):
+        return spec.lo, spec.hi, False
+    if isinstance(spec, HalfOpen):
+        return spec.lo, spec.hi, True
+    if isinstance(spec, AtLeast):
+        return spec.lo, None, False
+    if isinstance(spec, (list, tuple, set, frozenset)) and spec:
+        return min(spec), max(spec), False
+    return None if spec is None or isinstance(spec, (NotIn, list, tuple, set, frozenset)) else (spec, spec, False)
+
+
+def days(ref, spec) -> tuple[int | None, int | None]:
+    """The first and last day (yyyymmdd) that a filter on a day, or on a calendar column, can meet; None where it is open."""
+    name = "date_key" if ref.column == "date_key" else ref.column if ref.kind == "dim" and ref.dim == "dim_date" else None
+    first, last = {
+        "date_key": (_day, _day), "date": (lambda x: x, lambda x: x),
+        "month_key": (lambda m: dt.date(m // 100, m % 100, 1), lambda m: dt.date(m // 100, m % 100, calendar.monthrange(m // 100, m % 100)[1])),
+        "year": (lambda y: dt.date(y, 1, 1), lambda y: dt.date(y, 12, 31)),
+    }.get(name, (None, None))
+    ends = _ends(spec) if first else None
+    if ends is None:
+        return None, None
+    lo, hi, open_ = ends
+    end = None if hi is None else _key(first(hi) - dt.timedelta(days=1) if open_ else last(hi))
+    return None if lo is None else _key(first(lo)), end
+
+
+def within(periods: Iterable[tuple[int | None, int | None]]) -> tuple[int | None, int | None]:
+    """The days that all periods share."""
+    periods = list(periods)
+    return max((lo for lo, _ in periods if lo is not None), default=None), min((hi for _, hi in periods if hi is not None), default=None)
+
+
 def predicate(c: Column, spec) -> Column:
     if isinstance(spec, Between):
         return c.between(spec.lo, spec.hi)
@@ -147,9 +192,13 @@ class SemiAdditive:
 
 @dataclass(frozen=True)
 class Formula:
+    """``references``: the measures whose rows name a product that may not be found; the answer then says how many didn't.
+    ``plausible``: the range [lo, hi) of a sound value; the answer flags others."""
     name: str
     deps: tuple
     fn: Callable[..., Column]
+    references: tuple = ()
+    plausible: tuple[float, float] | None = None
 
 
 @dataclass(frozen=True)
@@ -170,8 +219,18 @@ def safe_ratio(num: Column, den: Column, scale: float | int = 1) -> Column:
     return r if scale == 1 else r * F.lit(float(scale))
 
 
-def ratio(name: str, num: str, den: str, scale: float | int = 1) -> Formula:
-    return Formula(name, (num, den), lambda a, b: safe_ratio(a, b, scale))
+def ratio(name: str, num: str, den: str, scale: float | int = 1, references: tuple = (),
+          plausible: tuple[float, float] | None = None) -> Formula:
+    return Formula(name, (num, den), lambda a, b: safe_ratio(a, b, scale), references, plausible)
+
+
+# suffix of the column that tells whether a ratio lies where it should
+CHECK = "_check"
+
+
+def plausible(value: Column, lo: float, hi: float) -> Column:
+    """``near zero`` and ``too large`` are what a denominator of another source or grain, or a single snapshot, leads to."""
+    return F.when(value < lo, "near zero").when(value >= hi, "too large").when(value.isNotNull(), "ok")
 
 
 def blank_add(*cs: Column) -> Column:
@@ -229,6 +288,14 @@ class _Ref:
         return (self.dim or "", self.column) if self.kind == "dim" else ("", self.column)
 
 
+#: A bounded dimension is broadcast by hint up to this size, by the optimizer's estimate from files and literals.
+BROADCAST_BYTES = 64 << 20
+
+
+def small(df: DataFrame) -> bool:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= BROADCAST_BYTES
+
+
 def _bare(ref: str) -> str:
     return ref.split(".", 1)[1] if "." in ref else ref
 
@@ -245,6 +312,7 @@ class MetricQuery:
     limit: int | None = None
     keep_empty: bool = False
     below: bool = False
+    scope: bool = False
     _where: tuple = field(init=False, default=())
 
     def __post_init__(self):
@@ -296,7 +364,8 @@ class MetricQuery:
         overridden = {r.key for m in measures for r, _ in own_f[m.name]}
         common = [(r, s) for r, s in outer if r.key not in overridden]
 
-        df = self.star[fact]
+        # the filters stay; a star that isn't written yet also leaves other days out at its sources
+        df = self.star.between(fact, *within(days(r, s) for r, s in common))
         for r, s in common:
             if r.kind == "fact":
                 df = df.where(predicate(F.col(r.column), s))
@@ -344,7 +413,7 @@ class MetricQuery:
                     d = d.where(predicate(F.col(f"{dim}__{r.column}"), s))
                     # a dimension filter restricts the fact: inner join
             has_filter = any(r.kind == "dim" and r.dim == dim for r, _ in common)
-            d = F.broadcast(d) if hint else d
+            d = F.broadcast(d) if hint and small(d) else d
             return frame.join(d, F.col(fk) == F.col(f"__k_{dim}"), "inner" if has_filter else "left")
 
         def gcol(r: _Ref) -> str:
@@ -442,6 +511,61 @@ class MetricQuery:
         joined = result.join(bench, cond, "left").select(result["*"], "__sum", "__n")
         return joined.select(*result.columns, mean, below)
 
+    # -- what the answer covers ------------------------------------------
+    def _measures(self) -> list:
+        """All base measures, those below peer averages included."""
+        out = {}
+        todo = list(self.metrics)
+        while todo:
+            for m in self.registry.closure([todo.pop()]):
+                if isinstance(m, PeerAverage):
+                    todo.append(m.base)
+                elif isinstance(m, BASE):
+                    out[m.name] = m
+        return list(out.values())
+
+    def scope_columns(self, out: DataFrame) -> dict[str, Column]:
+        """What the answer covers, derived from its measures and filters: period_from, period_to (the calendar's ends where
+        no filter sets them), sources, basis; unresolved_share beside ratios with references, and a check beside those
+        with a plausible range."""
+        measures = self._measures()
+        facts = list(dict.fromkeys(m.fact for m in measures))
+        found = [(fact, self._resolve(fact, c), c, s) for fact in facts for c, s in self._where]
+        found = [x for x in found if x[1] is not None]
+        period = within(days(r, s) for _, r, _, s in found)
+        columns = period_columns(self.star, *period)
+        columns |= {"sources": self._sources(measures), "basis": F.lit(basis(self.star, measures))}
+        formulas = [m for m in self.registry.closure(self.metrics) if isinstance(m, Formula)]
+        refs = {self.registry[n].fact for m in formulas for n in m.references}
+        if refs:
+            columns["unresolved_share"] = unresolved(self.star, sorted(refs), *period)
+        for m in formulas:
+            if m.plausible and m.name in out.columns:
+                columns[m.name + CHECK] = plausible(F.col(m.name), *m.plausible)
+        return columns
+
+    def _sources(self, measures: list) -> Column:
+        """The systems that the measures read: by their own and the query's filters on source and grain, and, if places are
+        filtered, those of the places left."""
+        cfg, names = self.star.config, set()
+        for m in measures:
+            own = set(cfg.fact_sources.get(m.fact, (m.fact,)))
+            for c, spec in (*self._where, *m.where):
+                if _bare(c) == "source":
+                    own &= {x for x in own if _meets(x, spec)}
+                elif _bare(c) == "grain":
+                    own &= {x for g, x in cfg.grain_sources.items() if _meets(g, spec)}
+            names |= own
+        out = F.array(*[F.lit(x) for x in sorted(names)])
+        places = [(_bare(c), s) for c, s in self._where if c.startswith("dim_location.") and "source" in self.star["dim_location"].columns]
+        if places:
+            d = self.star["dim_location"]
+            for c, spec in places:
+                d = d.where(predicate(F.col(c), spec))
+            everywhere = [x for x in sorted(names) if x not in cfg.place_sources]
+            out = F.array_intersect(out, F.concat(d.agg(F.collect_set("source")).scalar(), F.array(*[F.lit(x) for x in everywhere]).cast("array<string>")))
+        return F.array_join(out, ", ")
+
     def run(self) -> DataFrame:
         closure = self.registry.closure(self.metrics)
         out = self._base_frame(closure)
@@ -462,7 +586,41 @@ class MetricQuery:
                                 for c, d in self.order])
         if self.limit is not None:
             out = out.limit(self.limit)
-        return out
+        return out.withColumns(self.scope_columns(out)) if self.scope else out
+
+
+def _meets(value, spec) -> bool:
+    if isinstance(spec, NotIn):
+        return value not in spec.values
+    return value in spec if isinstance(spec, (list, tuple, set, frozenset)) else value == spec
+
+
+def basis(star: Star, measures: Iterable) -> str:
+    """Net or gross money, or both, else quantities."""
+    money = sorted({star.config.bases[m.column] for m in measures if isinstance(m, Sum) and m.column in star.config.bases})
+    return ", ".join(money) or "quantity"
+
+
+def period_columns(star: Star, lo: int | None = None, hi: int | None = None) -> dict[str, Column]:
+    """The period's ends; open ones are those of the calendar, which is the data window."""
+    if lo is None or hi is None:
+        window = star["dim_date"].agg(F.struct(F.min("date_key").alias("lo"), F.max("date_key").alias("hi"))).scalar()
+    ends = {"period_from": window.getField("lo") if lo is None else F.lit(lo), "period_to": window.getField("hi") if hi is None else F.lit(hi)}
+    return {k: v.cast("int") for k, v in ends.items()}
+
+
+def unresolved(star: Star, facts: Sequence[str], lo: int | None = None, hi: int | None = None, key: str = "sku") -> Column:
+    """Of the facts' rows in the period, the share whose product wasn't found."""
+    parts = []
+    for fact in facts:
+        df = star.between(fact, lo, hi)
+        if lo is not None:
+            df = df.where(F.col("date_key") >= lo)
+        if hi is not None:
+            df = df.where(F.col("date_key") <= hi)
+        parts.append(df.agg(F.count_if(F.col(key).isin(*star.config.unknown_labels)).alias("a"), F.count(F.lit(1)).alias("b")))
+    both = reduce(lambda x, y: x.unionByName(y), parts)
+    return both.agg(safe_ratio(F.sum("a"), F.sum("b"))).scalar()
 
 
 def _present(df: DataFrame, name: str) -> Column:
@@ -475,6 +633,7 @@ def _present(df: DataFrame, name: str) -> Column:
 
 def query(star: Star, registry: Registry, metrics: Sequence[str], by: Sequence[str] = (),
           where=None, having: Column | None = None, order: Sequence[tuple[str, str]] = (),
-          limit: int | None = None, below: bool = False) -> DataFrame:
-    """``below`` adds, for each peer average asked for, whether the row is below it (``<name>__below``)."""
-    return MetricQuery(star, registry, list(metrics), list(by), where, having, list(order), limit, below=below).run()
+          limit: int | None = None, below: bool = False, scope: bool = False) -> DataFrame:
+    """``below`` adds, for each peer average asked for, whether the row is below it (``<name>__below``); ``scope`` what the
+    answer covers (see ``MetricQuery.scope_columns``)."""
+    return MetricQuery(star, registry, list(metrics), list(by), where, having, list(order), limit, below=below, scope=scope).run()

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from confluo.config import DEFAULT, StarConfig
 from confluo.functions.dates import date_key, iso_date_key, parse_text_date
-from confluo.functions.text import not_blank
+from confluo.functions.text import normalise, not_blank
+from confluo.plans.answers import latest_snapshot
 from confluo.plans.legacy import _xref_clean
 from confluo.sources.binding import Landed
 
@@ -88,6 +89,30 @@ def store_network(L: Landed, since_key: int, cfg: StarConfig = DEFAULT) -> DataF
     return since.withColumn("mean_row", mean).withColumn("ratio", _rate(F.col("units"), F.col("mean_row")))
 
 
+def a_class_at_risk_raw(L: Landed, cfg: StarConfig = DEFAULT) -> DataFrame:
+    """A-class products with open complaints (by normalised name) whose latest ERP count of some place is at or below
+    its safety stock. Complaints are counted by text before names are matched, and stock only of the products left."""
+    named = L.products.where(F.col("abc_class") == "A").select("sku", "product_name")
+    complaint = (F.col("categoryId") == cfg.complaint_category_id) & (F.col("status") == cfg.open_status)
+    texts = L.hd_tickets.where(complaint & not_blank("productText")).select(normalise("productText").alias("name")).distinct()
+    asked = named.join(texts, normalise("product_name") == F.col("name"), "left_semi")
+    latest = latest_snapshot(L.erp_inventory.join(asked.select("sku"), "sku", "left_semi"))
+    return asked.join(latest.where(F.col("on_hand_qty") <= F.col("safety_stock")).select("sku"), "sku", "left_semi")
+
+
+def sell_through_networks_raw(L: Landed, since_key: int, cfg: StarConfig = DEFAULT) -> DataFrame:
+    """Units since a day over the mean of the network's own daily (ERP) or weekly (stores) totals."""
+    day = lambda c: date_key(parse_text_date(c, cfg.text_date_format))
+    networks = [("ERP", L.erp_sales_lines.select("date_key", F.col("qty_sold").alias("n")), L.erp_inventory.select("date_key", F.col("on_hand_qty").alias("n"))),
+                ("STORES", L.rt_sales.select(day("SALE_DATE").alias("date_key"), F.col("QTY").alias("n")), L.rt_stock_counts.select(day("COUNT_DATE").alias("date_key"), F.col("QTY_ON_HAND").alias("n")))]
+    out = None
+    for name, sold, held in networks:
+        totals = held.where(F.col("date_key") >= since_key).groupBy("date_key").agg(F.sum("n").alias("n")).agg(F.avg("n")).scalar()
+        row = sold.where(F.col("date_key") >= since_key).agg(F.sum("n").alias("units")).select(F.lit(name).alias("network"), "units", totals.alias("mean_total"))
+        out = row if out is None else out.unionByName(row)
+    return out.withColumn("ratio", _rate(F.col("units"), F.col("mean_total")))
+
+
 def revenue_by_channel_raw(L: Landed, keys: tuple[int, int], cfg: StarConfig = DEFAULT) -> DataFrame:
     """Net revenue by channel in a range of days, straight from the three systems (settled orders by order date)."""
     settled = L.mp_orders.join(L.mp_settlements.select("orderId", "payoutAmount"), "orderId")
@@ -103,3 +128,10 @@ def channel_parity(star_answer: DataFrame, L: Landed, keys: tuple[int, int]) ->
     star = star_answer.select("channel", F.col("revenue_net").alias("star_net"))
     raw = revenue_by_channel_raw(L, keys).select("channel", F.col("revenue_net").alias("raw_net"))
     return star.join(raw, "channel", "full").withColumn("agrees", F.col("star_net").eqNullSafe(F.col("raw_net")))
+
+
+def risk_parity(star_answer: DataFrame, L: Landed) -> DataFrame:
+    """Products at risk by the star, by the raw tables, or both; the star also sees the stores' weekly counts."""
+    star, raw = star_answer.select("sku", F.lit(True).alias("in_star")), a_class_at_risk_raw(L).select("sku", F.lit(True).alias("in_raw"))
+    both = star.join(raw, "sku", "full").fillna(False, ["in_star", "in_raw"])
+    return both.withColumn("agrees", F.col("in_star") == F.col("in_raw"))

@@ -8,15 +8,16 @@ DataFrame; callers choose to query it directly, or to write it with
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from confluo.config import DEFAULT, StarConfig
-from confluo.functions.dates import date_key, iso_date_key, key_to_date, parse_text_date
 from confluo.operators import crosswalk as xw
 from confluo.operators.dimensions import date_dim, literal_rows, union_dim, unknown_members
 from confluo.operators.facts import SourceMap, unify
@@ -88,17 +89,31 @@ RELATIONSHIPS: tuple[tuple[str, str, str, str], ...] = (
 # are ever broadcast by hint; the product dimension grows with the catalogue.
 BOUNDED_DIMS = frozenset({"dim_date", "dim_location", "dim_channel"})
 
+# Facts of snapshots: a written star knows, for each, the months that hold the
+# latest snapshot of some key, and reads no others for the latest ones.
+SNAPSHOTS = {"fact_inventory": ("sku", "location_id", "grain")}
+
 DIMENSIONS = ("dim_date", "dim_product", "dim_location", "dim_channel")
 FACTS = ("fact_sales", "fact_inventory", "fact_service", "fact_service_parts", "fact_helpdesk")
 
 
 @dataclass
 class Star:
-    """Conformed tables plus the relationship graph used by the metric compiler."""
+    """Conformed tables plus the relationship graph used by the metric compiler.
+
+    ``periods`` gives a fact's rows of some days where the star isn't written yet
+    (a superset is fine: filters still apply); ``months`` the months a written
+    star holds latest snapshots in."""
     tables: dict[str, DataFrame]
     relationships: tuple[tuple[str, str, str, str], ...] = RELATIONSHIPS
     bounded: frozenset = BOUNDED_DIMS
     config: StarConfig = field(default_factory=lambda: DEFAULT)
+    unknown: tuple[str, ...] | None = None
+    periods: Callable[[str, int | None, int | None], DataFrame] | None = None
+    months: dict[str, DataFrame] = field(default_factory=dict)
+
+    def __post_init__(self):
+        self.unknown = self.config.unknown_labels if self.unknown is None else self.unknown
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -106,14 +121,27 @@ class Star:
     def edges(self, fact: str) -> list[tuple[str, str, str]]:
         return [(fk, dim, dk) for f, fk, dim, dk in self.relationships if f == fact]
 
+    def between(self, fact: str, lo: int | None, hi: int | None) -> DataFrame:
+        """The fact, as far as cheaply possible only its rows from day ``lo`` to day ``hi``."""
+        return self[fact] if self.periods is None or (lo is None and hi is None) else self.periods(fact, lo, hi)
+
+    def newest(self, fact: str) -> DataFrame:
+        """The fact; of a written one only the months that hold some key's latest row (one small row for each month is read)."""
+        if fact not in self.months:
+            return self[fact]
+        return self[fact].where(F.col("month_key").isin(sorted(r["month_key"] for r in self.months[fact].collect())))
+
 
 class Conformer:
     """Builds each conformed table lazily from :class:`Landed` tables."""
 
-    def __init__(self, landed: Landed, config: StarConfig = DEFAULT):
+    def __init__(self, landed: Landed, config: StarConfig = DEFAULT, watch: Callable[[str], Observation] | None = None):
+        """``watch`` names an observation for each feed; it counts the feed's rows while they are written."""
         self.landed = landed
         self.cfg = config
         self.spark = landed.spark
+        self.watch = watch
+        self._periods: dict[tuple, Conformer] = {}
 
     # ------------------------------------------------------- crosswalk maps
     @cached_property
@@ -145,14 +173,9 @@ class Conformer:
         """(start, end) of the calendar: config, else min/max sale date of all sources."""
         if self.cfg.window_start and self.cfg.window_end:
             return self.cfg.window_start, self.cfg.window_end
-        L = self.landed
-        keys = (L.erp_sales_lines.select(F.col("date_key").alias("k"))
-                .unionByName(L.mp_orders.select(iso_date_key("orderDate").alias("k")))
-                .unionByName(L.rt_sales.select(date_key(parse_text_date("SALE_DATE", self.cfg.text_date_format)).alias("k"))))
-        # one scalar subquery for both bounds (a single pass over the dates)
-        bounds = keys.agg(F.struct(F.min("k").alias("lo"), F.max("k").alias("hi"))).scalar()
-        start = self.cfg.window_start or key_to_date(bounds.getField("lo"))
-        end = self.cfg.window_end or key_to_date(bounds.getField("hi"))
+        bounds = self.landed.sales_days.agg(F.struct(F.min("lo").alias("lo"), F.max("hi").alias("hi"))).scalar()
+        start = self.cfg.window_start or bounds.getField("lo")
+        end = self.cfg.window_end or bounds.getField("hi")
         return start, end
 
     @cached_property
@@ -160,15 +183,13 @@ class Conformer:
         start, end = self.date_window()
         return date_dim(self.spark, start, end, self.cfg.event_date)
 
+    @cached_property
+    def product_codes(self) -> DataFrame:
+        return xw.code_rollup(self.xref_clean, "sku", ["itm_code", "local_code", "listing_id"])
+
     @cached_property
     def erp_products(self) -> DataFrame:
-        L = self.landed
-        codes = xw.code_rollup(self.xref_clean, "sku", ["itm_code", "local_code", "listing_id"])
-        return (L.products
-                .join(L.suppliers.select("supplier_key", "supplier_name"), "supplier_key", "left")
-                .join(codes, "sku", "left")
-                .select(*[c for c in PRODUCT_SCHEMA.fieldNames() if c != "is_retailer_only"],
-                        F.lit(False).alias("is_retailer_only")))
+        return self.conform("products", PRODUCT_SCHEMA)
 
     @cached_property
     def retailer_only_products(self) -> DataFrame:
@@ -211,21 +232,26 @@ class Conformer:
         f = FEEDS[feed]
         df = self.landed.table(f.table) if rows is None else rows
         for table, on, how in f.joins:
-            other = self.landed.table(table)
+            other = self.landed.table(table) if table in self.landed.TABLES else getattr(self, table)
             df = df.join(other.select(on, *[c for c in other.columns if c not in df.columns]), on, how)
         look = f.lookup
+        if look is None or look.kind not in ("must", "missing"):
+            df = self._watched(feed, df)   # from here on no row may get lost or doubled
         if look is None:
             return df
         known = getattr(self, look.by)
         if look.kind == "missing":
-            return xw.unmapped(df, known, look.ref, look.code)
+            return self._watched(feed, xw.unmapped(df, known, look.ref, look.code))
         unknown = getattr(self.cfg, look.unknown) if look.unknown else None
         find = xw.resolve_text if look.kind == "text" else xw.resolve
         args = (known, look.code) if look.kind == "text" else (look.ref, look.code)
         if look.kind == "text":
             return find(df, look.ref, *args, key_col=look.key, unknown=unknown, row_id=look.row)
         out = find(df, known, *args, key_col=look.key, unknown=unknown, row_id=look.row)
-        return out.where(F.col("sku").isNotNull()) if look.kind == "must" else out
+        return self._watched(feed, out.where(F.col("sku").isNotNull())) if look.kind == "must" else out
+
+    def _watched(self, feed: str, df: DataFrame) -> DataFrame:
+        return df if self.watch is None or df.isStreaming else df.observe(self.watch(feed), F.count(F.lit(1)).alias("rows"))
 
     def conform(self, feed: str, schema: T.StructType, rows: DataFrame | None = None) -> DataFrame:
         """A feed's rows in the conformed shape: its expressions, else columns of
@@ -268,8 +294,14 @@ class Conformer:
         return self._facts(HELPDESK_SCHEMA, "fact_helpdesk")
 
     # -------------------------------------------------------------- the star
+    def between(self, table: str, lo: int | None, hi: int | None) -> DataFrame:
+        """A table from landed rows of these days alone: the bound goes to the raw date columns, down to the scan."""
+        if (lo, hi) not in self._periods:
+            self._periods[lo, hi] = Conformer(self.landed.between(lo, hi), self.cfg)
+        return getattr(self._periods[lo, hi], table)
+
     def star(self) -> Star:
-        return Star({n: getattr(self, n) for n in DIMENSIONS + FACTS}, config=self.cfg)
+        return Star({n: getattr(self, n) for n in DIMENSIONS + FACTS}, config=self.cfg, periods=self.between)
 
 
 def build_star(landed: Landed, config: StarConfig = DEFAULT) -> Star:
@@ -277,42 +309,57 @@ def build_star(landed: Landed, config: StarConfig = DEFAULT) -> Star:
 
 
 # ------------------------------------------------------------------- sinks
+def _by_month(df: DataFrame) -> DataFrame:
+    return df.withColumn("month_key", F.expr("date_key div 100").cast("int"))
+
+
+def latest_months(fact: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The months (``month_key``) that hold some key's latest rows, from a written fact's key columns alone."""
+    return fact.groupBy(*keys).agg(F.max("month_key").alias("month_key")).select("month_key").distinct().coalesce(1)
+
+
 def _write_table(name: str, df: DataFrame, target: str, mode: str) -> None:
     if name.startswith("fact_") and "date_key" in df.columns:
-        (df.withColumn("month_key", F.expr("date_key div 100").cast("int"))
-           .hint("rebalance", "month_key")
+        (_by_month(df).hint("rebalance", "month_key")
            .write.mode(mode).option("partitionOverwriteMode", "static")
            .partitionBy("month_key").parquet(target))
+        if name in SNAPSHOTS:
+            spark = df.sparkSession
+            latest_months(spark.read.parquet(target), SNAPSHOTS[name]).write.mode(mode).parquet(f"{target}__months")
     else:
         df.write.mode(mode).parquet(target)
 
 
+def in_parallel(jobs: dict[str, Callable[[], None]], parallel: int = 4) -> None:
+    """Independent Spark jobs, submitted from ``parallel`` driver threads so that small ones leave no executors idle."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for f in [pool.submit(job) for job in jobs.values()]:
+            f.result()   # re-raise the first failure
+
+
 def write_star(star: Star, path: str, mode: str = "overwrite", parallel: int = 4) -> dict[str, str]:
     """Write every table as parquet under ``path``; facts are partitioned by
     month (``month_key``) with a rebalance so AQE splits hot months into
-    several files instead of one giant task.  The nine writes are independent
-    jobs, submitted from ``parallel`` driver threads so small dimensions do not
-    leave executors idle."""
-    from concurrent.futures import ThreadPoolExecutor
+    several files instead of one giant task.  Readers of ``path`` see the tables
+    change one by one; ``StarCatalog`` publishes a star as a whole."""
     targets = {name: f"{path.rstrip('/')}/{name}" for name in star.tables}
-    if parallel <= 1:
-        for name, df in star.tables.items():
-            _write_table(name, df, targets[name], mode)
-        return targets
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        futures = [pool.submit(_write_table, n, df, targets[n], mode) for n, df in star.tables.items()]
-        for f in futures:
-            f.result()   # re-raise the first failure
+    in_parallel({n: lambda n=n, df=df: _write_table(n, df, targets[n], mode) for n, df in star.tables.items()}, parallel)
     return targets
 
 
 def read_star(spark, path: str, config: StarConfig = DEFAULT) -> Star:
-    tables = {}
+    tables, months = {}, {}
     for name in DIMENSIONS + FACTS:
         # month_key stays: the metric compiler derives months from date filters,
         # so a period question opens only the folders of its months
         tables[name] = spark.read.parquet(f"{path.rstrip('/')}/{name}")
-    return Star(tables, config=config)
+    for name in SNAPSHOTS:
+        try:
+            months[name] = spark.read.schema("month_key int").parquet(f"{path.rstrip('/')}/{name}__months")
+        except AnalysisException:   # written without
+            pass
+    return Star(tables, config=config, months=months)
 
 
 def materialize_star(spark, star: Star, path: str | None = None) -> Star:

@@ -10,20 +10,22 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from confluo.config import DEFAULT
 from confluo.functions.dates import date_key as to_key
 from confluo.functions.dates import parse_iso_timestamp, parse_text_date
 from confluo.operators import crosswalk as xw
 from confluo.operators import quality as q
+from confluo.operators.inference import inferred_columns
 from confluo.plans import answers as A
 from confluo.plans import legacy as raw
 from confluo.plans import raw_twins as twins
 from confluo.plans.governed import governed, metric_card
-from confluo.plans.star import Conformer, read_star, write_star
+from confluo.plans.managed import StarCatalog
+from confluo.plans.report import StarReport
+from confluo.plans.star import FACTS, Conformer
 from confluo.session import ensure_checkpoint_dir
 from confluo.sources.binding import Landed
 from confluo.sources.landing import EXPECTED_TYPES, TEXT_DATE_COLUMNS, land_csv, read_landed, write_csv
@@ -62,23 +64,26 @@ def q_landed_schema_check(spark, sf_dir):
 
 
 def q_column_catalog(spark, sf_dir):
+    """All tables land as CSV; types come from all rows of the text that lies there."""
+    L, base = Landed(spark, sf_dir), _scratch(spark, "landed")
+    return inferred_columns({n: read_landed(spark, write_csv(L.table(n), f"{base}/{n}")) for n in L.TABLES})
+
+
+def q_star_catalog(spark, sf_dir):
     _, _, star, _ = _ctx(spark, sf_dir)
     return q.column_catalog(star.tables)
 
 
 def q_star_roundtrip(spark, sf_dir):
-    _, _, star, _ = _ctx(spark, sf_dir)
-    path = _scratch(spark, "star")
-    written = {n: df.count() for n, df in star.tables.items()}   # one count job per table
-    write_star(star, path)
-    back = read_star(spark, path)
-    parts = [back[n].agg(F.count(F.lit(1)).alias("rows_read"))
-             .select(F.lit(n).alias("table_name"), F.lit(written[n]).cast("bigint").alias("rows_written"),
-                     "rows_read") for n in star.tables]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The star published as managed tables of a database of its own, read back, and dropped."""
+    name = f"confluo_{uuid.uuid4().hex[:12]}"
+    catalog = StarCatalog(spark, name, _scratch(spark, "catalog"))
+    try:
+        version, report = catalog.publish(Landed(spark, sf_dir))
+        counts = catalog.roundtrip(version, report)
+        return spark.createDataFrame(counts.collect(), counts.schema)   # nine rows
+    finally:
+        catalog.drop()
 
 
 # ------------------------------------------------------------ conformance
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "land_csv": q_land_csv,
     "landed_schema_check": q_landed_schema_check,
     "column_catalog": q_column_catalog,
+    "star_catalog": q_star_catalog,
     "star_roundtrip": q_star_roundtrip,
     "metric_catalog": _q(lambda L, c, star, R: metric_card(star, R)),
     "date_dim": _table("dim_date"),
@@ -120,9 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resolve_listing": _q(lambda L, c, star, R: A_resolve_listing(L, c)),
     "resolve_item": _q(lambda L, c, star, R: A_resolve_item(c)),
     "resolve_description": _q(lambda L, c, star, R: c.retailer_sales.select("SALE_ID", "ITEM_DESC", "sku")),
-    "resolve_text": _q(lambda L, c, star, R: star["fact_helpdesk"].select("ticket_id", "sku").join(
-        L.hd_tickets.select(F.col("ticketId").alias("ticket_id"), F.col("productText").alias("product_text")),
-        "ticket_id")),
+    "resolve_text": _q(lambda L, c, star, R: c.resolved("fact_helpdesk").select(
+        F.col("ticketId").alias("ticket_id"), "sku", F.col("productText").alias("product_text"))),
     "parse_text_date": _q(lambda L, c, star, R: L.rt_sales.select(
         "SALE_ID", "SALE_DATE", parse_text_date("SALE_DATE").alias("sale_date"),
         to_key(parse_text_date("SALE_DATE")).alias("date_key"))),
@@ -133,6 +138,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "net_marketplace": _q(lambda L, c, star, R: raw.net_marketplace(L)),
     "star_join": _q(lambda L, c, star, R: A.star_join(star)),
     "raw_star_join": _q(lambda L, c, star, R: raw.raw_star_join(L)),
+    "raw_inventory_join": _q(lambda L, c, star, R: raw.raw_inventory_join(L)),
+    "raw_by_category": _q(lambda L, c, star, R: raw.raw_by_category(L)),
+    "raw_by_place": _q(lambda L, c, star, R: raw.raw_by_place(L)),
+    "a_class_at_risk_raw": _q(lambda L, c, star, R: twins.a_class_at_risk_raw(L)),
+    "sell_through_networks_raw": _q(lambda L, c, star, R: twins.sell_through_networks_raw(L, P.since_key)),
+    "risk_parity": _q(lambda L, c, star, R: twins.risk_parity(A.a_class_at_risk(star), L)),
     # ------------------------------------------------------------- answers
     "filter_period": _q(lambda L, c, star, R: A.filter_period(star, R)),
     "filter_dim": _q(lambda L, c, star, R: A.filter_dim(star, R)),
@@ -165,8 +176,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unmapped_gross": _q(lambda L, c, star, R: raw.unmapped_gross(L)),
     "unmapped_gross_uncleaned": _q(lambda L, c, star, R: raw.unmapped_gross_uncleaned(L)),
     # ------------------------------------------------------------- quality
-    "row_count_check": _q(lambda L, c, star, R: row_counts(L, c, star)),
-    "coverage_report": _q(lambda L, c, star, R: coverage_report(star)),
+    "row_count_check": _q(lambda L, c, star, R: StarReport(L).run().row_counts()),
+    "coverage_report": _q(lambda L, c, star, R: StarReport(L).run(tables=tuple(t for t in FACTS if t != "fact_inventory")).coverage()),
     "parity_check": _q(lambda L, c, star, R: parity_check(L, star)),
 }
 
@@ -186,50 +197,6 @@ def A_resolve_item(c):
     return w.unionByName(p)
 
 
-def row_counts(L: Landed, c: Conformer, star) -> DataFrame:
-    settled = L.mp_orders.join(L.mp_settlements.select("orderId"), "orderId", "left_semi")
-    weekly_known = L.rt_stock_counts.join(
-        c.local_full.select(F.col("LOCAL_CODE")), "LOCAL_CODE", "left_semi")
-    start, end = c.date_window()
-    as_col = (lambda x: x if isinstance(x, Column) else F.lit(str(x)).cast("date"))
-    days = L.spark.range(1).select((F.datediff(as_col(end), as_col(start)) + 1).cast("bigint").alias("n"))
-    expected = {
-        "dim_date": days,
-        "dim_product": q.counted(L.products, c.retailer_only_products, c.unknown_products),
-        "dim_location": q.counted(L.locations, L.rt_stores).unionByName(
-            L.spark.range(1).select(F.lit(1).cast("bigint").alias("n"))),
-        "dim_channel": L.spark.range(1).select(F.lit(len(DEFAULT.channels)).cast("bigint").alias("n")),
-        "fact_sales": q.counted(L.erp_sales_lines, settled, L.rt_sales),
-        "fact_inventory": q.counted(L.erp_inventory, weekly_known),
-        "fact_service": q.counted(L.svc_work_orders),
-        "fact_service_parts": q.counted(L.svc_parts_usage),
-        "fact_helpdesk": q.counted(L.hd_tickets),
-    }
-    return q.row_count_check(star.tables, expected)
-
-
-def coverage_report(star) -> DataFrame:
-    cfg = DEFAULT
-    # both sales subjects in one grouped pass over the sales fact
-    s = star["fact_sales"].where(F.col("source").isin(cfg.source_marketplace, cfg.source_retailer))
-    mp = F.col("source") == cfg.source_marketplace
-    unknown = F.when(mp, F.col("sku") == cfg.unmapped_label).otherwise(F.col("sku").isNull())
-    sales = (s.groupBy(F.when(mp, "marketplace_sales").otherwise("retailer_sales").alias("subject"))
-             .agg(F.count_if(unknown).alias("unknown_rows"), F.count(F.lit(1)).alias("total_rows"))
-             .withColumn("unknown_share", F.try_divide(F.col("unknown_rows").cast("double"),
-                                                       F.col("total_rows").cast("double"))))
-    parts = [
-        sales,
-        q.coverage(star["fact_helpdesk"], "helpdesk_tickets", F.col("sku") == cfg.unresolved_label),
-        q.coverage(star["fact_service"], "work_orders", F.col("sku") == cfg.unresolved_label),
-        q.coverage(star["fact_service_parts"], "parts_usage", F.col("sku") == cfg.unresolved_label),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def parity_check(L: Landed, star) -> DataFrame:
     cfg = DEFAULT
     erp = L.erp_sales_lines.agg(F.sum(F.round(F.col("qty_sold") * F.col("unit_price"), 2)).alias("gross"))

@@ -56,7 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
             spark.sparkContext, "getCheckpointDir") else None
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     path = fallback or tempfile.mkdtemp(prefix="confluo-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(path)

@@ -26,6 +26,7 @@ Design notes for scale:
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,9 @@ UNITS_PER_LINE_QTY = 2
 # one calendar with orders and line items.
 EVENT_SHIFT_YEARS = 24
 
+# The raw day behind each system's dates, and the years they were moved back by.
+RAW_DAYS = {"lineitem": ("l_shipdate", 0), "orders": ("o_orderdate", 0), "events": ("ts", EVENT_SHIFT_YEARS)}
+
 # fixed values: helpdesk categories (id, name)
 HELPDESK_CATEGORIES = [
     (1, "Product complaint"),
@@ -74,19 +78,53 @@ def _cents_price(amount: Column, qty: Column) -> Column:
     return (F.floor(amount * 100 / qty) / 100).cast(MONEY)
 
 
+def _years_on(day: dt.date, years: int) -> dt.date:
+    return dt.date(day.year + years, day.month, min(day.day, 28) if years and day.month == 2 else day.day)
+
+
 class Landed:
     """Lazy landed tables of the five systems, bound to ``sf_dir``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str,
-                 inventory_start: str = INVENTORY_START, inventory_days: int = INVENTORY_DAYS):
+                 inventory_start: str = INVENTORY_START, inventory_days: int = INVENTORY_DAYS,
+                 days: tuple[int | None, int | None] = (None, None)):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.inventory_start = inventory_start
         self.inventory_days = inventory_days
+        self.days = tuple(None if d is None else dt.date(d // 10000, d // 100 % 100, d % 100) for d in days)
 
-    def raw(self, name: str) -> DataFrame:
+    def whole(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def raw(self, name: str) -> DataFrame:
+        """A table's rows; of some days only if ``days`` says so. The landed dates
+        ascend with the raw ones, so a bound on them is one on the raw column,
+        which the scan can use (a day more on both sides covers moved leap days)."""
+        df = self.whole(name)
+        if name not in RAW_DAYS or self.days == (None, None):
+            return df
+        column, years = RAW_DAYS[name]
+        kind = df.schema[column].dataType
+        lo, hi = self.days
+        if lo is not None:
+            day = _years_on(lo, years) - dt.timedelta(days=1 if years else 0)
+            df = df.where(F.col(column) >= F.lit(day.isoformat()).cast(kind))
+        if hi is not None:
+            day = _years_on(hi, years) + dt.timedelta(days=2 if years else 1)
+            df = df.where(F.col(column) < F.lit(day.isoformat()).cast(kind))
+        return df
+
+    def between(self, lo: int | None, hi: int | None) -> Landed:
+        """The same systems with what happened from day ``lo`` to day ``hi`` (yyyymmdd); tables without days stay whole."""
+        return Landed(self.spark, self.sf_dir, self.inventory_start, self.inventory_days, (lo, hi))
+
+    @cached_property
+    def sales_days(self) -> DataFrame:
+        """First and last sales day (lo, hi) by raw table: every line item and order is a sale, so no table is read twice."""
+        parts = [self.whole(t).agg(F.min(c).cast("date").alias("lo"), F.max(c).cast("date").alias("hi")) for t, c in (("lineitem", "l_shipdate"), ("orders", "o_orderdate"))]
+        return parts[0].unionByName(parts[1])
+
     # ------------------------------------------------------------------ ERP
     @cached_property
     def products(self) -> DataFrame:
@@ -152,9 +190,14 @@ class Landed:
 
     def _snapshots(self, first_loc: int, last_loc: int, every: int) -> DataFrame:
         """All products x locations first..last x each ``every``-th day, by explode."""
-        g = (self.raw("part")
+        start, (lo, hi) = dt.date.fromisoformat(self.inventory_start), self.days
+        days = [d for d in range(1, self.inventory_days + 1, every)
+                if (lo is None or start + dt.timedelta(d - 1) >= lo) and (hi is None or start + dt.timedelta(d - 1) <= hi)]
+        part = self.raw("part") if days else self.raw("part").where("false")
+        first, last = (days[0], days[-1]) if days else (1, 1)
+        g = (part
              .select("p_partkey", "p_size", F.explode(F.sequence(F.lit(first_loc), F.lit(last_loc))).alias("loc"))
-             .select("*", F.explode(F.sequence(F.lit(1), F.lit(self.inventory_days), F.lit(every))).alias("day")))
+             .select("*", F.explode(F.sequence(F.lit(first), F.lit(last), F.lit(every))).alias("day")))
         return g.select(
             "p_partkey", "p_size", "loc", "day",
             F.date_add(F.lit(self.inventory_start).cast("date"), F.col("day") - 1).alias("snap_date"),

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from confluo.plans.star import SALES_SCHEMA, Conformer
+from confluo.plans.star import DIMENSIONS, FACTS, SALES_SCHEMA, Conformer
 
 
 def retailer_sales_stream(conformer: Conformer, landing_dir: str,
@@ -28,8 +28,11 @@ def retailer_sales_stream(conformer: Conformer, landing_dir: str,
 
 def start_append(stream: DataFrame, output_dir: str, checkpoint_dir: str,
                  available_now: bool = True) -> StreamingQuery:
-    """Append to parquet, partitioned by month like the batch fact."""
+    """Append to parquet, partitioned by month like the batch fact.  The folder is
+    the stream's own: a written star's tables are overwritten whole."""
     from pyspark.sql import functions as F
+    if output_dir.rstrip("/").rsplit("/", 1)[-1] in DIMENSIONS + FACTS:
+        raise ValueError(f"{output_dir} is named like a star's table, which write_star overwrites; append elsewhere")
     w = (stream.withColumn("month_key", F.expr("date_key div 100").cast("int"))
          .writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint_dir).partitionBy("month_key"))

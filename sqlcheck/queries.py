@@ -1,15 +1,12 @@
 """Oracle SQL (DuckDB) for each registered query key.
 
 Written by hand from the question each key answers; the only shared pieces
-are the binding and star CTEs (themselves checked table by table).  Keys
-without an entry are checked by row count only: ``landed_schema_check`` and
-``column_catalog`` report Spark types and schemas, which have no DuckDB
-equivalent; ``metric_catalog`` is checked metric by metric through the
-answer keys that use the same measures.
+are the binding and star CTEs (themselves checked table by table).
 """
 
 from __future__ import annotations
 
+from sqlcheck.catalog import COLUMNS, METRICS, STAR_COLUMNS
 from sqlcheck.compose import with_ctes
 from sqlcheck.raw import RAW
 from sqlcheck.star import STAR_CTES, initcap, iso_key, text_key
@@ -35,6 +32,21 @@ def _ratio(a: str, b: str, scale: str | None = None) -> str:
     return f"({r} * {scale})" if scale else r
 
 
+def _covers(sources: str, basis: str, lo: str | int | None = None, hi: str | int | None = None) -> str:
+    """The columns that tell what an answer covers."""
+    ends = [(lo, "min", "from"), (hi, "max", "to")]
+    period = [f"CAST({f'(SELECT {f}(date_key) FROM dim_date)' if x is None else x} AS INTEGER) AS period_{n}" for x, f, n in ends]
+    return ", ".join([*period, f"'{sources}' AS sources", f"'{basis}' AS basis"])
+
+
+def _lost(*facts: str) -> str:
+    rows = " UNION ALL ".join(f"SELECT sku FROM {f}" for f in facts)
+    return f"(SELECT CAST(count(*) FILTER (WHERE sku IN {UNK}) AS DOUBLE) / count(*) FROM ({rows})) AS unresolved_share"
+
+
+_ST_CHECK = "CASE WHEN sell_through < 0.05 THEN 'near zero' WHEN sell_through >= 10 THEN 'too large' WHEN sell_through IS NOT NULL THEN 'ok' END AS sell_through_check"
+_ALL = "ERP, MARKETPLACE, RETAILER"
+
 STAR_TABLE_LIST = ("dim_date", "dim_product", "dim_location", "dim_channel", "fact_sales",
                    "fact_inventory", "fact_service", "fact_service_parts", "fact_helpdesk")
 
@@ -65,6 +77,14 @@ _BENCH_ROWS = """
   WHERE s.sell_through IS NOT NULL OR b.n > 0"""
 
 
+_RAW_RISK = """
+  SELECT sku, product_name FROM products
+  WHERE abc_class = 'A'
+    AND upper(trim(product_name)) IN (SELECT upper(trim(productText)) FROM hd_tickets WHERE categoryId = 1 AND status = 'open' AND trim(coalesce(productText, '')) <> '')
+    AND sku IN (SELECT sku FROM (SELECT *, row_number() OVER (PARTITION BY sku, location_id ORDER BY date_key DESC) AS rn FROM erp_inventory)
+                WHERE rn = 1 AND on_hand_qty <= safety_stock)"""
+
+
 def _semi_by(dim_join: str, group: str, where: str = "TRUE") -> str:
     """avg over dates of the per-(group, date) on-hand sums."""
     return f"""
@@ -80,6 +100,9 @@ ORACLE: dict[str, str] = {
     "star_roundtrip": Q(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS rows_written, count(*) AS rows_read FROM {t}"
         for t in STAR_TABLE_LIST)),
+    "column_catalog": COLUMNS,
+    "star_catalog": STAR_COLUMNS,
+    "metric_catalog": METRICS,
     # --------------------------------------------------------- conformance
     "date_dim": Q("SELECT * FROM dim_date"),
     "conform_product": Q("SELECT * FROM dim_product"),
@@ -143,6 +166,41 @@ FROM erp_sales_lines e
 LEFT JOIN products p ON e.sku = p.sku
 LEFT JOIN suppliers s ON p.supplier_key = s.supplier_key
 LEFT JOIN locations l ON e.location_id = l.location_id"""),
+    "raw_inventory_join": Q("""
+SELECT e.*, p.product_name, p.category, p.abc_class, s.supplier_name, l.location_name, l.location_type
+FROM erp_inventory e
+LEFT JOIN products p ON e.sku = p.sku
+LEFT JOIN suppliers s ON p.supplier_key = s.supplier_key
+LEFT JOIN locations l ON e.location_id = l.location_id"""),
+    "raw_by_category": Q(f"""
+SELECT coalesce(a.category, i.category) AS category, {_b('a.units')} AS units, a.lines, i.avg_on_hand,
+       {_ratio('i.so', 'i.n')} AS stockout_share, {_ratio('a.units', 'i.avg_on_hand')} AS sell_through
+FROM (SELECT category, sum(qty_sold) AS units, count(*) AS lines FROM erp_sales_lines LEFT JOIN products USING (sku) GROUP BY 1) a
+FULL JOIN (SELECT category, avg(s) AS avg_on_hand, sum(so) AS so, sum(n) AS n
+           FROM (SELECT category, date_key, sum(on_hand_qty) AS s, sum(is_stockout) AS so, count(*) AS n
+                 FROM erp_inventory LEFT JOIN products USING (sku) GROUP BY 1, 2) GROUP BY 1) i ON a.category IS NOT DISTINCT FROM i.category"""),
+    "raw_by_place": Q(f"""
+SELECT coalesce(a.location_type, i.location_type) AS location_type, {_b('a.units')} AS units, {_b('i.n')} AS counts, {_b('i.so')} AS stockouts, i.avg_on_hand
+FROM (SELECT location_type, sum(qty_sold) AS units FROM erp_sales_lines LEFT JOIN locations USING (location_id) GROUP BY 1) a
+FULL JOIN (SELECT location_type, avg(s) AS avg_on_hand, sum(so) AS so, sum(n) AS n
+           FROM (SELECT location_type, date_key, sum(on_hand_qty) AS s, sum(is_stockout) AS so, count(*) AS n
+                 FROM erp_inventory LEFT JOIN locations USING (location_id) GROUP BY 1, 2) GROUP BY 1) i ON a.location_type IS NOT DISTINCT FROM i.location_type"""),
+    "a_class_at_risk_raw": Q("SELECT sku, product_name FROM raw_risk", raw_risk=_RAW_RISK),
+    "sell_through_networks_raw": Q("""
+SELECT *, CAST(units AS DOUBLE) / NULLIF(mean_total, 0) AS ratio FROM (
+  SELECT 'ERP' AS network, (SELECT CAST(sum(qty_sold) AS BIGINT) FROM erp_sales_lines WHERE date_key >= 20000101) AS units,
+         (SELECT avg(s) FROM (SELECT sum(on_hand_qty) AS s FROM erp_inventory WHERE date_key >= 20000101 GROUP BY date_key)) AS mean_total
+  UNION ALL
+  SELECT 'STORES', (SELECT CAST(sum(QTY) AS BIGINT) FROM rt_sales WHERE strptime(SALE_DATE, '%d/%m/%Y') >= DATE '2000-01-01'),
+         (SELECT avg(s) FROM (SELECT sum(QTY_ON_HAND) AS s FROM rt_stock_counts WHERE strptime(COUNT_DATE, '%d/%m/%Y') >= DATE '2000-01-01' GROUP BY COUNT_DATE)))"""),
+    "risk_parity": Q("""
+SELECT sku, in_star, in_raw, in_star = in_raw AS agrees FROM (
+  SELECT coalesce(s.sku, r.sku) AS sku, s.sku IS NOT NULL AS in_star, r.sku IS NOT NULL AS in_raw
+  FROM star_risk s FULL JOIN raw_risk r ON s.sku = r.sku)""", raw_risk=_RAW_RISK, star_risk="""
+  SELECT sku FROM dim_product
+  WHERE abc_class = 'A' AND sku IN (SELECT sku FROM fact_helpdesk WHERE is_complaint AND is_open)
+    AND sku IN (SELECT sku FROM (SELECT *, row_number() OVER (PARTITION BY sku, location_id, grain ORDER BY date_key DESC) AS rn FROM fact_inventory)
+                WHERE rn = 1 AND on_hand_qty <= CASE WHEN grain = 'daily' THEN safety_stock ELSE 0 END)"""),
     # ------------------------------------------------------------- answers
     "filter_period": Q(f"""
 SELECT f.source, {_m('sum(f.net_amount)')} AS revenue_net, {_b('sum(f.qty)')} AS units_sold
@@ -160,14 +218,14 @@ WHERE d.year = 1999 AND p.abc_class = 'A' AND l.location_type IN {NETWORKS}
 GROUP BY f.channel"""),
     "revenue_by_channel": Q(f"""
 SELECT channel, {_m('sum(net_amount)')} AS revenue_net, {_m('sum(gross_amount)')} AS revenue_gross,
-       {_b('sum(qty)')} AS units_sold
+       {_b('sum(qty)')} AS units_sold, {_covers(_ALL, 'gross, net', 19980101, 19980331)}
 FROM fact_sales WHERE date_key BETWEEN 19980101 AND 19980331 GROUP BY channel"""),
     "revenue_by_source": Q(f"""
 SELECT source, {_m('sum(net_amount)')} AS revenue_net, {_m('sum(gross_amount)')} AS revenue_gross,
        {_b('sum(qty)')} AS units_sold
 FROM fact_sales GROUP BY source"""),
     "company_sales_total": Q(f"""
-SELECT * FROM (
+SELECT *, {_covers(_ALL, 'net', 19980501, 19980531)} FROM (
   SELECT {_m("sum(f.net_amount) FILTER (WHERE f.source = 'ERP')")} AS erp_revenue,
          {_m("sum(f.net_amount) FILTER (WHERE f.source = 'MARKETPLACE')")} AS marketplace_net_revenue,
          {_m("sum(f.net_amount) FILTER (WHERE f.source = 'RETAILER')")} AS retailer_revenue,
@@ -187,13 +245,14 @@ GROUP BY e.sku, p.product_name ORDER BY revenue DESC, e.sku LIMIT 5"""),
 SELECT '03/02/1998' AS sale_day,
        (SELECT {_m('sum(TOTAL_AMT)')} FROM rt_sales WHERE SALE_DATE = '03/02/1998') AS amount_text_match,
        (SELECT {_m('sum(net_amount)')} FROM fact_sales
-        WHERE source = 'RETAILER' AND date_key = 19980203) AS amount_conformed"""),
+        WHERE source = 'RETAILER' AND date_key = 19980203) AS amount_conformed,
+       'dd/MM/yyyy' AS day_read_as, {_covers('RETAILER', 'net', 19980203, 19980203)}"""),
     "revenue_since_event": Q(f"""
-SELECT * FROM (SELECT {_m("sum(net_amount) FILTER (WHERE source = 'RETAILER')")} AS retailer_revenue
+SELECT *, {_covers('RETAILER', 'net', 20000101)} FROM (SELECT {_m("sum(net_amount) FILTER (WHERE source = 'RETAILER')")} AS retailer_revenue
                FROM fact_sales WHERE date_key >= 20000101)
 WHERE retailer_revenue IS NOT NULL"""),
     "stockout_rate": Q(f"""
-SELECT * FROM (
+SELECT *, {_covers('ERP', 'quantity', 20000101, 20000131)} FROM (
   SELECT {_ratio("sum(f.is_stockout) FILTER (WHERE f.grain = 'daily')", "sum(1) FILTER (WHERE f.grain = 'daily')")} AS stockout_rate,
          {_b("sum(f.is_stockout) FILTER (WHERE f.grain = 'daily')")} AS stockout_rows,
          {_b("sum(1) FILTER (WHERE f.grain = 'daily')")} AS snapshot_rows
@@ -204,7 +263,7 @@ SELECT g AS location_type, avg_on_hand FROM inv_avg WHERE avg_on_hand IS NOT NUL
                      inv_avg=_semi_by("LEFT JOIN dim_location l ON f.location_id = l.location_id", "l.location_type")),
     "sell_through_by_network": Q(f"""
 SELECT coalesce(u.g, i.g) AS location_type, {_b('u.units')} AS units_sold, i.avg_on_hand,
-       {_ratio('u.units', 'i.avg_on_hand')} AS sell_through
+       {_ratio('u.units', 'i.avg_on_hand')} AS sell_through, {_ST_CHECK}, {_covers('ERP, RETAILER', 'quantity', 20000101)}
 FROM u FULL JOIN inv_avg i ON u.g IS NOT DISTINCT FROM i.g""",
         u=f"""
   SELECT l.location_type AS g, sum(f.qty) AS units
@@ -226,30 +285,32 @@ SELECT sku, {_b('sum(on_hand_qty)')} AS on_hand_qty, {_b('sum(safety_stock)')} A
        CASE WHEN sum(on_hand_qty) <= sum(safety_stock) THEN 1 ELSE 0 END AS at_risk
 FROM erp_inventory WHERE date_key = (SELECT max(date_key) FROM erp_inventory)
 GROUP BY sku"""),
-    "a_class_at_risk": Q("""
-SELECT p.sku, p.product_name, oc.open_complaints
+    "a_class_at_risk": Q(f"""
+SELECT p.sku, p.product_name, oc.open_complaints, r.as_of, {_covers('ERP, HELPDESK, RETAILER', 'quantity')}
 FROM dim_product p
 JOIN (SELECT sku, count(*) AS open_complaints FROM fact_helpdesk
       WHERE is_complaint AND is_open GROUP BY sku) oc ON p.sku = oc.sku
-WHERE p.abc_class = 'A'
-  AND p.sku IN (SELECT sku FROM (SELECT sku, on_hand_qty, safety_stock,
-                                        grain, row_number() OVER (PARTITION BY sku, location_id, grain
-                                                                  ORDER BY date_key DESC) AS rn
-                                 FROM fact_inventory)
-                WHERE rn = 1 AND on_hand_qty <= CASE WHEN grain = 'daily' THEN safety_stock ELSE 0 END)"""),
+JOIN (SELECT sku, max(date_key) AS as_of
+      FROM (SELECT sku, on_hand_qty, safety_stock, date_key,
+                   grain, row_number() OVER (PARTITION BY sku, location_id, grain
+                                             ORDER BY date_key DESC) AS rn
+            FROM fact_inventory)
+      WHERE rn = 1 AND on_hand_qty <= CASE WHEN grain = 'daily' THEN safety_stock ELSE 0 END GROUP BY sku) r ON p.sku = r.sku
+WHERE p.abc_class = 'A'"""),
     "tickets_by_product": Q(f"SELECT sku, {_b('sum(1)')} AS tickets FROM fact_helpdesk GROUP BY sku"),
     "tickets_exact": Q("""
 SELECT p.sku, count(*) AS tickets
 FROM hd_tickets t JOIN products p ON t.productText = p.product_name GROUP BY p.sku"""),
     "tickets_per_1k": Q(f"""
 SELECT coalesce(t.sku, u.sku) AS sku, t.tickets, u.units AS units_sold,
-       {_ratio('t.tickets', 'u.units', '1000.0')} AS tickets_per_1k
+       {_ratio('t.tickets', 'u.units', '1000.0')} AS tickets_per_1k, {_lost('fact_helpdesk')},
+       {_covers('ERP, HELPDESK, MARKETPLACE, RETAILER', 'quantity')}
 FROM t FULL JOIN u ON t.sku = u.sku
 WHERE u.units >= 1000 AND t.tickets IS NOT NULL""",
         t=f"SELECT sku, {_b('sum(1)')} AS tickets FROM fact_helpdesk WHERE sku NOT IN {UNK} GROUP BY sku",
         u=f"SELECT sku, {_b('sum(qty)')} AS units FROM fact_sales WHERE sku NOT IN {UNK} GROUP BY sku"),
     "parts_attach": Q(f"""
-SELECT * FROM (
+SELECT *, {_lost('fact_service_parts')}, {_covers('ERP, FIELD SERVICE, MARKETPLACE, RETAILER', 'quantity')} FROM (
   SELECT {_b('pa.v')} AS service_parts_used, {_b('un.v')} AS units_sold,
          {_ratio('pa.v', 'un.v', '100.0')} AS parts_per_100
   FROM (SELECT sum(f.qty_used) AS v FROM fact_service_parts f JOIN dim_product p ON f.sku = p.sku
@@ -270,7 +331,8 @@ FROM (SELECT
 SELECT category, complaints, service_parts_used, units_sold,
        CASE WHEN complaints IS NULL AND service_parts_used IS NULL THEN NULL
             ELSE CAST(coalesce(complaints, 0) + coalesce(service_parts_used, 0) AS DOUBLE)
-                 / NULLIF(CAST(units_sold AS DOUBLE), 0) * 1000.0 END AS after_sale_per_1k
+                 / NULLIF(CAST(units_sold AS DOUBLE), 0) * 1000.0 END AS after_sale_per_1k,
+       {_lost('fact_helpdesk', 'fact_service_parts')}, {_covers('ERP, FIELD SERVICE, HELPDESK, MARKETPLACE, RETAILER', 'quantity')}
 FROM (
   SELECT category, {_b('sum(c)')} AS complaints, {_b('sum(pu)')} AS service_parts_used,
          {_b('sum(u)')} AS units_sold
@@ -287,8 +349,8 @@ FROM (
 WHERE complaints IS NOT NULL OR service_parts_used IS NOT NULL OR units_sold IS NOT NULL"""),
     "category_benchmark": Q("SELECT sku, category, sell_through, category_avg_sell_through FROM rows_",
                             st=_ST, st2=_ST2, bench=_BENCH, rows_=_BENCH_ROWS),
-    "overstocked_products": Q("""
-SELECT sku, category, sell_through, category_avg_sell_through FROM rows_
+    "overstocked_products": Q(f"""
+SELECT sku, category, sell_through, category_avg_sell_through, {_ST_CHECK}, {_covers(_ALL, 'quantity')} FROM rows_
 WHERE below
 ORDER BY sell_through ASC, sku ASC LIMIT 5""", st=_ST, st2=_ST2, bench=_BENCH, rows_=_BENCH_ROWS),
     "overstock_by_class": Q("""
@@ -339,7 +401,7 @@ WHERE tickets_per_1k IS NOT NULL OR parts_per_100 IS NOT NULL OR sell_through IS
   GROUP BY category""",
         inv_avg=_semi_by("LEFT JOIN dim_product p ON f.sku = p.sku", "p.category")),
     "attributable_share": Q(f"""
-SELECT * FROM (
+SELECT *, {_covers(_ALL, 'net')} FROM (
   SELECT {_m('sum(net_amount)')} AS revenue_net,
          {_m(f'sum(net_amount) FILTER (WHERE sku IN {UNK})')} AS unattributable_revenue,
          CAST(sum(net_amount) - coalesce(sum(net_amount) FILTER (WHERE sku IN {UNK}), 0) AS DOUBLE)
