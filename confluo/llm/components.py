@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import map_arrow, written
+from .shared import map_arrow, spent, written
 
 ROUNDS, HELD = 60, 1 << 19
 
@@ -83,6 +83,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     for _ in range(ROUNDS):
         new = written(_small(_large(now)), "edges")
         was, state = state, new.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
+        spent(now)
         now = new
         if was == state or not state[0]:
             break

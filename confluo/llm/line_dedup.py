@@ -1,12 +1,17 @@
 """Fuzzy line deduplication.
 
-Lines (A-Z lower-cased, at least ``LEAST`` characters) become sets of ``SIZE``-character shingles; shorter lines are left
-alone. Equal lines fall together by a 128-bit hash. Circulant MinHash of 60 coordinates in 20 bands of 3 gives candidates:
-a pair of similarity 0.8 misses all bands with a chance of 6e-7, one of 0.85 with 5e-9, and shingles of 9 characters are
-so rarely shared by chance that unlike lines hardly meet in three coordinates (in two, chance ties a tenth of all
-lines into one group). Candidate groups, exact Jaccard verification on the full sets and the
-distributed union-find are those of the document operator. Of each component the first line stays, by document id, then
-place in the text; the others are removed with their line breaks.
+Every line with a character that isn't white space (A-Z lower-cased) takes part; its 128-bit hash of all bytes names it, so
+exact copies of any length are one line. Lines of more than ``SIZE`` characters also become sets of ``SIZE``-character
+shingles. Circulant MinHash of 60 coordinates in 20 bands of 3 gives candidates: a pair of similarity 0.8 misses all bands
+with a chance of 6e-7, one of 0.85 with 5e-9, and shingles of 9 characters are so rarely shared by chance that unlike lines
+hardly meet in three coordinates (shorter ones, or two coordinates, tie a tenth of all lines and more into one group by
+chance). Of each component of exact links the first line stays, by document id, then place in the text; the others are
+removed with their line breaks.
+
+Lines that share a band are linked through one of them: each task ties what it holds itself and sends on one line for each
+band key, so a key shared by a third of all lines is a row for each task. Those rows, 8 bytes of key and 8 of name, are the
+only thing that grows with lines times bands; they are shuffled once, sorted, and tied while they stream by.
+Exact Jaccard verification on the full sets within the groups and the distributed union-find are those of the document operator.
 
 Two more passes over the texts, which only hash whole lines, fetch the candidate lines and the places of lines that have
 copies or links; a bitmap of fixed size keeps other lines out of their shuffles. It only saves work: a false positive
@@ -18,6 +23,8 @@ a row that loses lines and keeps only blank ones, since all it held stands elsew
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,70 +32,76 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .minhash import band_keys, table
-from .near_dedup import candidate_edges, dealt, exact_links
-from .shared import bitmap, in_bitmap, map_arrow, written
-from .textbuf import LOWER, U, blocks, gather, mix, powers, utf8
+from .near_dedup import dealt, exact_links
+from .shared import bitmap, in_bitmap, map_arrow, spent, written
+from .textbuf import LOWER, SPACE, U, blocks, distinct, gather, keyed_hashes, mix, powers, utf8
 
-SIZE, LEAST = 9, 10
+SIZE = 9
 BANDS, ROWS = 20, 3
 #: Places of the ring: many times the shingles of all but the longest lines (a crowded ring makes unlike lines alike), in a
 #: table that stays in a processor's cache.
 RING = 1 << 18
 FILTER_BITS = 24
+#: Band keys that a task holds, and shingles that it takes, at once.
+HELD, AT_ONCE = 1 << 18, 1 << 12
+
+
+@cache
+def _ring() -> np.ndarray:
+    """The second permutation's numbers without their two lowest bits, which decide nothing but ties of unlike shingles."""
+    return (table(BANDS * ROWS, RING) >> 2).astype(np.uint16)
 
 
 class Lines:
-    """The lines of a block of texts, in code points: of the long enough ones, places, names and, if asked for, the
-    hashes of their shingles."""
+    """The lines of a block of texts that aren't blank: texts they belong to, numbers in them, names, and shingles."""
 
-    def __init__(self, buf: np.ndarray, offs: np.ndarray, shingled: bool = True):
+    def __init__(self, buf: np.ndarray, offs: np.ndarray):
         # a line break after each text parts the texts; breaks within them part their lines
         n = len(offs) - 1
-        joined = np.full(len(buf) + n, 10, np.uint8)
-        joined[np.arange(len(buf)) + np.repeat(np.arange(n), np.diff(offs))] = LOWER[buf]
-        self.raw = joined
-        points = np.frombuffer(joined.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-        ends = np.flatnonzero(points == 10)
+        raw = np.full(len(buf) + n, 10, np.uint8)
+        raw[np.arange(len(buf)) + np.repeat(np.arange(n), np.diff(offs))] = LOWER[buf]
+        ends = np.flatnonzero(raw == 10)
         starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)
-        self.byte_ends = np.flatnonzero(joined == 10)
-        self.row = np.searchsorted(offs[1:] + np.arange(n), self.byte_ends, "left")
-        self.number = np.arange(len(ends)) - np.searchsorted(self.row, self.row, "left")
-        self.long = np.flatnonzero(ends - starts >= LEAST)
-        starts, ends = starts[self.long], ends[self.long]
-        self.count = np.maximum(ends - starts - SIZE + 1, 1)
-        sums = np.empty(len(points) + 1, U)
-        sums[0] = 0
+        row = np.searchsorted(offs[1:] + np.arange(n), ends, "left")
+        number = np.arange(len(ends)) - np.searchsorted(row, row, "left")
+        inked = np.concatenate([[0], np.cumsum(~SPACE[raw])])
+        own = np.flatnonzero(inked[ends] > inked[starts])
+        self.raw, self.starts, self.ends, self.row, self.number = raw, starts[own], ends[own], row[own], number[own]
+        self.heads = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+        self.size = self.heads[self.ends] - self.heads[self.starts]
+        self.count = np.maximum(self.size - SIZE + 1, 1)
+        self.name = keyed_hashes(raw, self.starts, self.ends).view(np.int64)
+
+    def more(self, rows: np.ndarray) -> np.ndarray:
+        """Another 64 bits of some lines' hash."""
+        return keyed_hashes(self.raw, self.starts[rows], self.ends[rows], 1).view(np.int64)
+
+    def shingles(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of some lines' shingles, one line after the other, and where each line's begin."""
+        points = np.frombuffer(self.raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
         weighed = points.astype(U)
         weighed += U(1)
-        weighed *= powers(len(points))[0]
-        np.cumsum(weighed, out=sums[1:])
-        inverse = powers(len(points))[1]
-        salt = (ends - starts).astype(U) * U(0xD6E8FEB86659FD93)
-        self.name = mix((sums[ends] - sums[starts]) * inverse[starts] + salt).view(np.int64)
-        self.points, self.starts, self.ends, self.salt = points, starts, ends, salt
-        if shingled:
-            at = gather(starts, self.count)
-            self.first = np.cumsum(self.count) - self.count
-            self.shingles = mix((sums[np.minimum(at + SIZE, np.repeat(ends, self.count))] - sums[at]) * inverse[at])
-
-    def more(self) -> np.ndarray:
-        """Another 64 bits of each line's hash: the characters' own scattered codes, weighed alike."""
-        sums = np.zeros(len(self.points) + 1, U)
-        np.cumsum(mix(self.points.astype(U) + U(0x2545F491)) * powers(len(self.points))[0], out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * powers(len(self.points))[1][self.starts] - self.salt).view(np.int64)
-
-    def bands(self) -> np.ndarray:
-        places = ((self.shingles >> U(20)) & U(RING - 1)).astype(np.int64)
-        out = np.empty((len(self.first), BANDS * ROWS), np.uint32)
-        ring = table(BANDS * ROWS, RING)
-        for k in range(BANDS * ROWS if len(self.first) else 0):
-            out[:, k] = np.minimum.reduceat(ring[k:].take(places, mode="clip"), self.first)
+        weight, inverse = powers(len(points))
+        weighed *= weight
+        sums = np.concatenate([np.zeros(1, U), np.cumsum(weighed)])
+        starts, ends, count = self.heads[self.starts[rows]], self.heads[self.ends[rows]], self.count[rows]
+        at = gather(starts, count)
+        return mix((sums[np.minimum(at + SIZE, np.repeat(ends, count))] - sums[at]) * inverse[at]), np.cumsum(count) - count
+
+    def bands(self, rows: np.ndarray) -> np.ndarray:
+        """Some lines' band keys, lines x bands."""
+        hashes, first = self.shingles(rows)
+        places = ((hashes >> U(20)) & U(RING - 1)).astype(np.int64)
+        out, a = np.empty((len(first), BANDS * ROWS), np.uint16), 0
+        view, stop = np.lib.stride_tricks.sliding_window_view(_ring(), BANDS * ROWS), np.append(first[1:], len(places))
+        while a < len(first):  # so many shingles at a time that their coordinates stay in a processor's cache
+            b = max(a + 1, int(np.searchsorted(first, first[a] + AT_ONCE)))
+            out[a:b] = np.minimum.reduceat(view[places[first[a] : stop[b - 1]]], first[a:b] - first[a], axis=0)
+            a = b
         return band_keys(out, BANDS, ROWS)
 
     def text(self, k: int) -> bytes:
-        """The bytes of long line k."""
-        line = self.long[k]
-        return self.raw[self.byte_ends[line - 1] + 1 if line else 0 : self.byte_ends[line]].tobytes()
+        return self.raw[self.starts[k] : self.ends[k]].tobytes()
 
 
 def line_sets(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
@@ -96,38 +109,91 @@ def line_sets(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     out: list[np.ndarray] = []
     for a, b in blocks(offs):
         lines = Lines(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-        sets = dict(zip(lines.row[lines.long].tolist(), np.split(lines.shingles, lines.first[1:]), strict=True)) if len(lines.first) else {}
-        out += [np.unique(sets[i]) if i in sets else np.zeros(0, U) for i in range(b - a)]
+        hashes, first = lines.shingles(np.arange(len(lines.row)))
+        sets = dict(zip(lines.row.tolist(), np.split(hashes, first[1:]), strict=True)) if len(first) else {}
+        out += [distinct(sets[i]) if i in sets else np.zeros(0, U) for i in range(b - a)]
     return out
 
 
-def _signatures(df: DataFrame, text: str) -> DataFrame:
-    """(name, more, n, bands) of each block's different long lines, with how often each is ``held`` there."""
+def _counted(df: DataFrame, text: str) -> DataFrame:
+    """(name, more, held, n) of all different lines: how often each occurs, and how many shingles it has."""
 
     def run(batches):
         for batch in batches:
             buf, offs = utf8(batch.column(0))
             for a, b in blocks(offs):
                 lines = Lines(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-                _, first, held = np.unique(lines.name, return_index=True, return_counts=True)
-                keys = lines.bands()[first]
-                bands = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.ravel(), pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(lines.name[first]), pa.array(lines.more()[first]), pa.array(held, pa.int64()), pa.array(lines.count[first], pa.int64()), bands], names=["name", "more", "held", "n", "bands"])
+                name, first, held = np.unique(lines.name, return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(lines.more(first)), pa.array(held, pa.int64()), pa.array(lines.count[first], pa.int64())], names=["name", "more", "held", "n"])
+
+    rows = map_arrow(df.select(text), run, "name long, more long, held long, n long")
+    return rows.groupBy("name", "more").agg(F.sum("held").alias("held"), F.max("n").alias("n"))
+
+
+def tied(keys: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, name) rows that tie together what the given ones do: one row for each key, and for each other line of a key two
+    rows under a key that only it and the key's first line have."""
+    order = np.lexsort((names, keys))
+    keys, names = keys[order], names[order]
+    new = np.concatenate([[True], keys[1:] != keys[:-1]])
+    first = np.flatnonzero(new)
+    head = names[first][np.cumsum(new) - 1]
+    other = head != names
+    head, names_ = head[other], names[other]
+    order = np.lexsort((names_, head))
+    head, names_ = head[order], names_[order]
+    once = np.concatenate([[True], (head[1:] != head[:-1]) | (names_[1:] != names_[:-1])])[: len(head)]
+    head, names_ = head[once], names_[once]
+    own = mix(mix(head.view(U) + U(0x632BE59BD9B4E019)) ^ names_.view(U)).view(np.int64)
+    return np.concatenate([keys[first], own, own]), np.concatenate([names[first], head, names_])
+
+
+def _candidates(df: DataFrame, text: str) -> DataFrame:
+    """Edges (a, b) that tie all lines that share a band."""
+
+    def keyed(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            buf, offs = utf8(batch.column(0))
+            for a, b in blocks(offs):
+                lines = Lines(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
+                long = np.flatnonzero(lines.size > SIZE)
+                rows = long[np.unique(lines.name[long], return_index=True)[1]]
+                held.append((lines.bands(rows).ravel(), np.repeat(lines.name[rows], BANDS)))
+                if sum(len(k) for k, _ in held) > HELD:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in tied(*map(np.concatenate, zip(*held, strict=True)))], names=["key", "name"])
+                    held = []
+        if any(len(k) for k, _ in held):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in tied(*map(np.concatenate, zip(*held, strict=True)))], names=["key", "name"])
+
+    def edges(batches):
+        last, first = None, None  # the key that a batch before ended with, and its first line
+        for batch in batches:
+            keys, names = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if not len(keys):
+                continue
+            new = np.concatenate([[last is None or keys[0] != last], keys[1:] != keys[:-1]])
+            starts = np.flatnonzero(new)
+            heads = np.concatenate([[0 if first is None else first], names[starts]])[np.cumsum(new)]
+            last, first = keys[-1], heads[-1]
+            other = heads != names
+            yield pa.RecordBatch.from_arrays([pa.array(names[other]), pa.array(heads[other])], names=["a", "b"])
 
-    return map_arrow(df.select(text), run, "name long, more long, held long, n long, bands array<bigint>")
+    rows = map_arrow(df.select(text), keyed, "key long, name long").repartition("key").sortWithinPartitions("key", "name")
+    return map_arrow(rows, edges, "a long, b long")
 
 
 def _places(df: DataFrame, id_col: str, text: str, wanted: np.ndarray) -> DataFrame:
-    """(id, the text's hash, line number, name, more) of the long lines whose name may be wanted."""
+    """(id, the text's hash, line number, name, more) of the lines whose name may be wanted."""
 
     def run(batches):
         for batch in batches:
             buf, offs = utf8(batch.column(2))
             for a, b in blocks(offs):
-                lines = Lines(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a], False)
+                lines = Lines(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
                 some = np.flatnonzero(in_bitmap(wanted, lines.name))
-                rows = pa.array(a + lines.row[lines.long[some]])
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(lines.number[lines.long[some]], pa.int32()), pa.array(lines.name[some]), pa.array(lines.more()[some])], names=["id", "hash", "line", "name", "more"])
+                rows = pa.array(a + lines.row[some])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(lines.number[some], pa.int32()), pa.array(lines.name[some]), pa.array(lines.more(some))], names=["id", "hash", "line", "name", "more"])
 
     kind = df.schema[id_col].dataType.simpleString()
     return map_arrow(df.select(id_col, F.xxhash64(text), text), run, f"id {kind}, hash long, line int, name long, more long")
@@ -141,7 +207,7 @@ def _texts(df: DataFrame, text: str, names: DataFrame) -> DataFrame:
         for batch in batches:
             buf, offs = utf8(batch.column(0))
             for a, b in blocks(offs):
-                lines = Lines(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a], False)
+                lines = Lines(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
                 _, some = np.unique(lines.name, return_index=True)
                 some = some[in_bitmap(wanted, lines.name[some])]
                 yield pa.RecordBatch.from_arrays([pa.array(lines.name[some]), pa.array([lines.text(k) for k in some], pa.binary()).cast(pa.string())], names=["name", "text"])
@@ -151,20 +217,22 @@ def _texts(df: DataFrame, text: str, names: DataFrame) -> DataFrame:
 
 def removals(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """(id, hash, lines): for each document that loses lines their numbers."""
-    distinct = _signatures(df, text).groupBy("name", "more").agg(F.sum("held").alias("held"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
-    distinct = written(distinct, "distinct")
-    groups = connected_components(candidate_edges(distinct.select(F.col("name").alias("set"), "n", "bands"), percent=0, meet=1))
+    distinct = written(_counted(df, text), "distinct")
+    groups = connected_components(_candidates(df, text))
     nodes = groups.join(distinct.select("name", "n"), F.col("node") == F.col("name")).select(F.col("component").alias("group"), F.col("name").alias("set"), "n")
-    nodes = written(dealt(nodes), "nodes").select("units", "group", "set")
-    texts = _texts(df, text, nodes).groupBy("name").agg(F.any_value("text").alias("text"))
-    links = exact_links(texts.join(nodes, F.col("name") == F.col("set")), line_sets, percent)
+    nodes = written(dealt(nodes), "nodes")
+    own = nodes.select("units", "group", "set")
+    texts = _texts(df, text, own).groupBy("name").agg(F.any_value("text").alias("text"))
+    links = exact_links(texts.join(own, F.col("name") == F.col("set")), line_sets, percent)
     found = connected_components(links)
     # a line without links is a class by its full hash, linked ones by their component; lines alone need no more
     linked = distinct.select("name", "more", "held").join(found, F.col("name") == F.col("node"), "left")
     linked = linked.filter((F.col("held") > 1) | F.col("component").isNotNull())
     classes = written(linked.select("name", "more", F.coalesce("component", "name").alias("c"), F.when(F.col("component").isNull(), F.col("more")).alias("d")), "classes")
+    spent(nodes, distinct)
     places = _places(df, id_col, text, bitmap(classes, "name", FILTER_BITS)).join(classes, ["name", "more"]).select("id", "hash", "line", "c", "d")
     places, place = written(places, "places"), F.struct("id", "hash", "line")
+    spent(classes)
     first = places.groupBy("c", "d").agg(F.min(place).alias("first"))
     marked = places.join(first.select(F.col("c").alias("e"), F.col("d").alias("f"), "first"), (F.col("c") == F.col("e")) & F.col("d").eqNullSafe(F.col("f")))
     return marked.filter(place != F.col("first")).groupBy("id", "hash").agg(F.sort_array(F.collect_set("line")).alias("lines"))
@@ -185,5 +253,5 @@ def drop_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", percen
     gone = written(gone, "removed")
     kept = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("__lines", i))
     out = df.join(gone, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left").withColumn("__kept", F.when(F.col("__lines").isNotNull(), kept))
-    out = out.filter(F.col("__kept").isNull() | F.exists("__kept", lambda x: F.trim(x) != ""))
+    out = out.filter(F.col("__kept").isNull() | F.exists("__kept", lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     return out.select(*[F.when(F.col("__kept").isNull(), F.col(f"`{c}`")).otherwise(F.array_join("__kept", "\n")).alias(c) if c == text else F.col(f"`{c}`") for c in df.columns])

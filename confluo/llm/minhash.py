@@ -82,3 +82,32 @@ def links(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]
     union = size[:, None] + size[None, :] - both
     a, b = np.nonzero(np.triu((100 * both >= percent * union) & (both > 0), 1))
     return a, b
+
+
+def grouped_links(sets: list[np.ndarray], sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for many small groups at once: the first ``sizes[0]`` sets are one group, and so on; pairs within groups only."""
+    count = np.array([len(s) for s in sets], np.int64)
+    owner, flat = np.repeat(np.arange(len(sets)), count), np.concatenate([np.zeros(0, U), *sets])
+    first_set = np.cumsum(sizes) - sizes
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    flat = flat ^ mix(group.astype(U) + U(0x9E3779B97F4A7C15))[owner]  # an element of two groups is two elements
+    order = np.argsort(flat)
+    owner, flat = owner[order], flat[order]
+    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, np.int64)
+    held = np.diff(np.append(first, len(flat)))
+    squares = np.cumsum(sizes * sizes) - sizes * sizes  # where each group's pairs begin
+    both = np.zeros(int((sizes * sizes).sum()), np.int64)
+    for d in np.unique(held[held > 1]).tolist():
+        at = first[held == d]
+        step = max(1, (1 << 20) // (d * d))
+        for k in range(0, len(at), step):
+            rows = owner[at[k : k + step, None] + np.arange(d)]
+            g = group[rows[:, 0]]
+            local = rows - first_set[g][:, None]
+            place = squares[g][:, None, None] + local[:, :, None] * sizes[g][:, None, None] + local[:, None, :]
+            np.add.at(both, place.ravel(), 1) if place.size * 8 < len(both) else np.add(both, np.bincount(place.ravel(), minlength=len(both)), out=both)
+    some = np.flatnonzero(both)
+    g = np.searchsorted(squares, some, "right") - 1
+    a, b = first_set[g] + (some - squares[g]) // sizes[g], first_set[g] + (some - squares[g]) % sizes[g]
+    near = (a < b) & (100 * both[some] >= percent * (count[a] + count[b] - both[some]))
+    return a[near], b[near]

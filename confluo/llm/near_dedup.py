@@ -27,14 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components, forest
-from .minhash import band_keys, links, signature
+from .minhash import band_keys, grouped_links, links, signature
 from .shared import map_arrow, ship, written
-from .textbuf import LOWER, SPACE, blocks, run_hashes, shingles, spans, utf8
+from .textbuf import LOWER, SPACE, blocks, keyed_hashes, shingles, spans, utf8
 
 BANDS, ROWS = 32, 4
 FEW = 16
 #: Bounds of a block: texts, and elements of their sets.
 BLOCK_TEXTS, BLOCK_ELEMENTS = 1024, 1 << 20
+#: Groups of at most so many texts are compared many at a time.
+SMALL = 48
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, size: int) -> list[np.ndarray]:
@@ -43,7 +45,7 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, size: int) -> list[np.ndarra
     for a, b in blocks(offs):
         own = LOWER[buf[offs[a] : offs[b]]]
         starts, ends, bounds = spans(SPACE[own], offs[a : b + 1] - offs[a])
-        hashed = run_hashes(own, starts, ends)
+        hashed = keyed_hashes(own, starts, ends)
         out += [shingles(hashed[bounds[i] : bounds[i + 1]], size) for i in range(b - a)]
     return out
 
@@ -110,13 +112,19 @@ def exact_links(rows: DataFrame, make_sets: Callable, percent: int) -> DataFrame
         table = table.take(pc.sort_indices(table, [("group", "ascending"), ("set", "ascending")]))
         groups, names, sets = table["group"].to_pylist(), table["set"].to_pylist(), make_sets(*utf8(table["text"]))
         own = [k for k in range(len(names)) if not k or names[k] != names[k - 1]]
-        a, b, start = [], [], 0
-        for k in range(1, len(own) + 1):
-            if k == len(own) or groups[own[k]] != groups[own[start]]:
-                for x, y in forest(k - start, *links([sets[i] for i in own[start:k]], percent)):
-                    a.append(names[own[start + x]])
-                    b.append(names[own[start + y]])
-                start = k
+        starts = [k for k in range(len(own)) if not k or groups[own[k]] != groups[own[k - 1]]]
+        sizes = np.diff(np.array([*starts, len(own)], np.int64))
+        starts = np.array(starts, np.int64)
+        pairs: list[tuple[int, int]] = []
+        for k in np.flatnonzero(sizes > SMALL).tolist():
+            some = own[starts[k] : starts[k] + sizes[k]]
+            pairs += [(some[x], some[y]) for x, y in forest(len(some), *links([sets[i] for i in some], percent))]
+        todo, weight = np.flatnonzero((sizes > 1) & (sizes <= SMALL)), np.array([len(sets[i]) for i in own], np.int64)
+        held = np.add.reduceat(weight, starts)[todo] + sizes[todo] ** 2 if len(todo) else np.zeros(0, np.int64)
+        for part in np.split(todo, np.flatnonzero(np.diff(np.cumsum(held) // BLOCK_ELEMENTS)) + 1):
+            some = [own[j] for k in part.tolist() for j in range(starts[k], starts[k] + sizes[k])]
+            pairs += [(some[x], some[y]) for x, y in forest(len(some), *grouped_links([sets[i] for i in some], sizes[part], percent))] if some else []
+        a, b = [names[x] for x, _ in pairs], [names[y] for _, y in pairs]
         return pa.table({"a": pa.array(a, arrow), "b": pa.array(b, arrow)})
 
     ship(rows.sparkSession)

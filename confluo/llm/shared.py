@@ -35,16 +35,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, written to the shared folder as Parquet and read again: computed once, safe to lose executors."""
     path = f"{shared_dir(df.sparkSession)}/confluo/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def spent(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` gave and that nothing reads any more."""
+    for df in tables:
+        jvm, hadoop = df.sparkSession._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        where = jvm.org.apache.hadoop.fs.Path(df._written_to)
+        where.getFileSystem(hadoop).delete(where, True)
+
 
+#: Bytes of a batch that goes to a Python worker: texts may be long, and a batch is held whole on both sides.
+BATCH = "4m"
 
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once for an application, so that their Python workers can import it.
+    """Sends this package to the executors, once for an application, so that their Python workers can import it, and bounds
+    the batches they get.
 
     The driver serves the file from its own temporary folder, which goes with the driver."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -98,41 +98,32 @@ def prefix(buf: np.ndarray) -> np.ndarray:
     return out
 
 
-def run_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run of bytes; starts ascending. Equal runs have equal hashes, wherever they stand."""
-    out = np.empty(len(starts), U)
-    a = 0
-    while a < len(starts):
-        at = starts[a]
-        b = max(a + 1, int(np.searchsorted(starts, at + BLOCK, "left")))
-        while b > a + 1 and ends[b - 1] - at > 2 * BLOCK:
-            b -= 1
-        s, e = starts[a:b] - at, ends[a:b] - at
-        sums = prefix(buf[at : ends[b - 1]])
-        out[a:b] = (sums[e] - sums[s]) * powers(int(s[-1]) + 1)[1][s] + (e - s).astype(U) * U(0xD6E8FEB86659FD93)
-        a = b
-    return mix(out)
-
-
 def keyed_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int | np.ndarray = 0) -> np.ndarray:
-    """A 64-bit hash of each run of bytes: its length and its pieces of eight bytes, each scattered with all before it.
+    """A 64-bit hash of each run of bytes, from its length and its pieces of eight bytes, each scattered with its number.
 
-    ``key``, a number or one for each run, gives another hash. Runs of up to eight bytes never share one under a key."""
-    left = (ends - starts).astype(np.int64)
+    ``key``, a number or one for each run, gives another hash. Runs of one length up to eight never share one under a key."""
+    size = (ends - starts).astype(np.int64)
+    count = (size + 7) >> 3
     padded = np.zeros(len(buf) + 8, np.uint8)
     padded[: len(buf)] = buf
     eights = np.ndarray(len(buf) + 1, "<u8", padded, strides=(1,))
-    out = mix((np.zeros(len(left), U) + np.asarray(key).astype(U)) ^ mix(left.astype(U) + U(_BASE)))
-    live, at = np.flatnonzero(left > 0), starts[left > 0].astype(np.int64)
-    left = left[live]
-    while len(live):
-        piece = eights[at]
-        short = np.flatnonzero(left < 8)
-        piece[short] &= (U(1) << (left[short] * 8).astype(U)) - U(1)
-        out[live] = mix(out[live] ^ piece)
-        more = left > 8
-        live, at, left = live[more], at[more] + 8, left[more] - 8
-    return out
+    first = np.cumsum(count) - count
+    number = np.arange(int(count.sum()), dtype=np.int64) - np.repeat(first, count)
+    pieces = eights[np.repeat(starts.astype(np.int64), count) + 8 * number]
+    part = np.flatnonzero(size & 7)
+    pieces[first[part] + count[part] - 1] &= (U(1) << (8 * (size[part] & 7)).astype(U)) - U(1)
+    pieces ^= mix(np.arange(1, int(count.max(initial=0)) + 1, dtype=U) * U(_BASE))[number]
+    out = mix((np.zeros(len(size), U) + np.asarray(key).astype(U)) ^ mix(size.astype(U) + U(_BASE)))
+    some = np.flatnonzero(count)
+    if len(some):
+        out[some] += np.add.reduceat(mix(pieces), first[some])
+    return mix(out)
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The different numbers, sorted."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
@@ -144,7 +135,7 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     out = np.zeros(n - width + 1, U)
     for k in range(width):
         out += words[k : n - width + 1 + k] * powers(size + 1)[0][k + 1]
-    return np.unique(mix(out + U(width)))
+    return distinct(mix(out + U(width)))
 
 
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
