@@ -4,8 +4,8 @@ Every row is a leaf, the SHA-256 of its fields. Per group, leaves ascend by id (
 several nodes remain, every two consecutive ones become their hash, a last one alone the hash of itself. What remains is
 the group's root; the groups' roots, ordered by group (null first, UTF-8 bytewise), make the table's root in the same way.
 
-``BLOCK`` consecutive nodes are one task's tree (``Block``); its top is a node of the next tier, where as many tops make a
-block again. A tier is a table; each has a ``BLOCK``-th of the rows of the one below, down to a row for each group. Nodes are
+4,096 consecutive nodes (12 ``LEVELS``) are one task's tree (``Block``); its top is a node of the next tier, where as many tops
+make a block again. A tier is a table; each has a 4,096th of the rows of the one below, down to a row for each group. Nodes are
 numbered by range partitions and their counts, so no group, however large, is in one task.
 
 A change to a leaf makes a version of its block's tree: new nodes for the leaf and its ancestors, all others shared with
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from .shared import ship, written
 
+#: Levels of a block; it has two to the power of that many nodes.
 LEVELS = 12
-BLOCK = 1 << LEVELS
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -57,11 +57,11 @@ def numbered(rows: DataFrame, *order: str) -> DataFrame:
 
 
 class Block:
-    """A tree over up to ``BLOCK`` nodes, of which the last ones may be the last of ``m`` nodes in all."""
+    """A tree of up to ``most`` levels above its nodes, which may be the last of ``m`` nodes in all."""
 
-    def __init__(self, nodes: list[str], m: int):
+    def __init__(self, nodes: list[str], m: int, most: int = LEVELS):
         self.levels = [nodes]
-        for _ in range(min(LEVELS, (m - 1).bit_length())):
+        for _ in range(min(most, (m - 1).bit_length())):
             below = self.levels[-1]
             self.levels.append([digest(*below[k : k + 2]) for k in range(0, len(below), 2)])
         self.top = self.levels[-1][0]
@@ -87,54 +87,54 @@ def fold(node: str, step: str) -> str:
     return digest(node) if step == "-" else digest(step[1:], node) if step[0] == "<" else digest(node, step[1:])
 
 
-def _block(table: pa.Table, column: str) -> tuple[pa.Table, list[int], Block]:
+def _block(table: pa.Table, levels: int) -> tuple[pa.Table, list[int], Block]:
     """The block's rows in order, their places in it, and its tree."""
     table = table.take(pc.sort_indices(table, [("pos", "ascending")]))
-    return table, [p % BLOCK for p in table["pos"].to_pylist()], Block(table[column].to_pylist(), table["m"][0].as_py())
+    return table, [p % (1 << levels) for p in table["pos"].to_pylist()], Block(table["node"].to_pylist(), table["m"][0].as_py(), levels)
 
 
-def _tier(nodes: DataFrame) -> DataFrame:
+def _tier(nodes: DataFrame, levels: int) -> DataFrame:
     """The tops (g, pos, m, node) of the blocks of ``nodes``."""
 
     def run(table: pa.Table) -> pa.Table:
         m, pos = table["m"][0].as_py(), table["pos"][0].as_py()
-        return pa.table({"g": table["g"][:1], "pos": [pos // BLOCK], "m": [-(-m // BLOCK)], "node": [_block(table, "node")[2].top]})
+        return pa.table({"g": table["g"][:1], "pos": [pos >> levels], "m": [-(-m >> levels)], "node": [_block(table, levels)[2].top]})
 
     ship(nodes.sparkSession)
-    own = nodes.select("g", "pos", "m", "node", F.shiftright("pos", LEVELS).alias("block"))
+    own = nodes.select("g", "pos", "m", "node", F.shiftright("pos", levels).alias("block"))
     return written(own.groupBy("g", "block").applyInArrow(run, "g string, pos long, m long, node string"), "tier")
 
 
-def _tiers(nodes: DataFrame) -> list[DataFrame]:
+def _tiers(nodes: DataFrame, levels: int) -> list[DataFrame]:
     """All tiers above ``nodes``; the last has one node for each ``g``."""
-    out = [_tier(nodes)]
+    out = [_tier(nodes, levels)]
     while not out[-1].filter(F.col("m") > 1).isEmpty():
-        out.append(_tier(out[-1]))
+        out.append(_tier(out[-1], levels))
     return out
 
 
-def _paths(nodes: DataFrame, upper: DataFrame) -> DataFrame:
+def _paths(nodes: DataFrame, upper: DataFrame, levels: int) -> DataFrame:
     """(g, pos, node, path) of a tier's nodes, whose blocks' tops have the paths of ``upper``."""
 
     def run(table: pa.Table, above: pa.Table) -> pa.Table:
-        table, places, tree = _block(table, "node")
+        table, places, tree = _block(table, levels)
         rest = above["path"][0].as_py()
-        return pa.table({"g": table["g"], "pos": table["pos"], "node": table["node"], "path": [tree.path(p) + rest for p in places]})
+        return pa.table({"g": table["g"], "pos": table["pos"], "node": table["node"], "path": pa.array([tree.path(p) + rest for p in places], pa.list_(pa.string()))})
 
     ship(nodes.sparkSession)
-    left = nodes.select("g", "pos", "m", "node", F.shiftright("pos", LEVELS).alias("block")).groupBy("g", "block")
+    left = nodes.select("g", "pos", "m", "node", F.shiftright("pos", levels).alias("block")).groupBy("g", "block")
     right = upper.select("g", "pos", "path").groupBy("g", "pos")
     return written(left.cogroup(right).applyInArrow(run, "g string, pos long, node string, path array<string>"), "paths")
 
 
-def _down(tiers: list[DataFrame], top: DataFrame) -> DataFrame:
+def _down(tiers: list[DataFrame], top: DataFrame, levels: int) -> DataFrame:
     """Paths of the lowest tier's nodes, from those of the last tier's (g, pos, node, path)."""
     for tier in reversed(tiers[:-1]):
-        top = _paths(tier, top)
+        top = _paths(tier, top, levels)
     return top
 
 
-def manifest(df: DataFrame, id_col: str = "doc_id", group: str = "lang", fields: tuple[str, ...] = FIELDS, count: str = "n_chars", one_in: int = 7) -> DataFrame:
+def manifest(df: DataFrame, id_col: str = "doc_id", group: str = "lang", fields: tuple[str, ...] = FIELDS, count: str = "n_chars", one_in: int = 7, levels: int = LEVELS) -> DataFrame:
     """For each row: its id, leaf, subroot (of its group), root, proof_sha256 (of the siblings up to the root), folded_root
     (from the leaf, or from the tampered one where ``one_in`` divides the id's CRC-32) and verified.
 
@@ -144,18 +144,18 @@ def manifest(df: DataFrame, id_col: str = "doc_id", group: str = "lang", fields:
     tampered = F.when(F.crc32(F.col(id_col).cast("string")) % one_in == 0, leaf(more))
     g = F.coalesce(F.concat(F.lit("+"), F.col(group).cast("string")), F.lit(""))
     leaves = numbered(df.select(g.alias("g"), F.col(id_col).alias("id"), leaf(values).alias("node"), tampered.alias("changed")), "id", "node")
-    leaves = written(leaves.withColumn("block", F.shiftright("pos", LEVELS)), "leaves")
-    tiers = _tiers(leaves)
+    leaves = written(leaves.withColumn("block", F.shiftright("pos", levels)), "leaves")
+    tiers = _tiers(leaves, levels)
     roots = numbered(tiers[-1].select(F.lit("").alias("g"), F.col("g").alias("own"), "node"), "own")
     roots = written(roots, "roots")
-    above = _tiers(roots)
+    above = _tiers(roots, levels)
     root = above[-1].select("g", "pos", "node", F.array().cast("array<string>").alias("path"))
-    groups = _paths(roots, _down(above, root)).join(roots.select("pos", "own"), "pos")
+    groups = _paths(roots, _down(above, root, levels), levels).join(roots.select("pos", "own"), "pos")
     ends = groups.select("g", F.col("own"), F.col("node").alias("subroot")).join(root.select("g", F.col("node").alias("root")), "g").drop("g")
-    upper = _down(tiers, groups.select(F.col("own").alias("g"), F.lit(0).cast("long").alias("pos"), "node", "path"))
+    upper = _down(tiers, groups.select(F.col("own").alias("g"), F.lit(0).cast("long").alias("pos"), "node", "path"), levels).select("g", "pos", "path").join(ends, F.col("g") == F.col("own"))
 
     def run(table: pa.Table, above: pa.Table) -> pa.Table:
-        table, places, tree = _block(table, "node")
+        table, places, tree = _block(table, levels)
         rest = above["path"][0].as_py()
         proofs, folded = [], []
         for at, changed, own in zip(places, table["changed"].to_pylist(), table["node"].to_pylist(), strict=True):
@@ -165,9 +165,10 @@ def manifest(df: DataFrame, id_col: str = "doc_id", group: str = "lang", fields:
             for step in rest:
                 node = fold(node, step)
             folded.append(node)
-        return pa.table({"g": table["g"], "id": table["id"], "leaf": table["node"], "proof": proofs, "folded": folded})
+        n, root = len(places), above["root"][0].as_py()
+        return pa.table({"id": table["id"], "leaf": table["node"], "subroot": [above["subroot"][0].as_py()] * n, "root": [root] * n, "proof": proofs, "folded": folded, "verified": [x == root for x in folded]})
 
     kind = leaves.schema["id"].dataType.simpleString()
-    done = leaves.groupBy("g", "block").cogroup(upper.select("g", "pos", "path").groupBy("g", "pos")).applyInArrow(run, f"g string, id {kind}, leaf string, proof string, folded string")
-    out = done.join(ends, F.col("g") == F.col("own"))
-    return out.select(F.col("id").alias(id_col), "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"), F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+    right = upper.select("g", "pos", "path", "subroot", "root").groupBy("g", "pos")
+    done = leaves.groupBy("g", "block").cogroup(right).applyInArrow(run, f"id {kind}, leaf string, subroot string, root string, proof string, folded string, verified boolean")
+    return done.select(F.col("id").alias(id_col), "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"), F.col("folded").alias("folded_root"), "verified")
