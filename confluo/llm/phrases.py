@@ -40,13 +40,26 @@ class Words:
     """The words of a block of texts: spans in ``low``, ``row``, ``piece`` (equal within a piece only) and ``ids``."""
 
     def __init__(self, buf: np.ndarray, offs: np.ndarray, langs: np.ndarray, key: int):
-        self.low = LOWER[buf]
+        self.low, self.rows = LOWER[buf], len(langs)
         self.starts, self.ends, bounds = spans(APART[self.low], offs)
         self.row = np.repeat(np.arange(len(offs) - 1), np.diff(bounds))
         self.piece = (np.cumsum(CUT[self.low]) if len(buf) else np.zeros(0, np.int64))[self.starts] + self.row
         self.ids = keyed_hashes(self.low, self.starts, self.ends, mix(langs.view(np.uint64) + np.uint64(key))[self.row])
 
 
+    def more(self, langs: np.ndarray, key: int) -> np.ndarray:
+        """Another hash of each word and its language, to tell words apart that share an id."""
+        return keyed_hashes(self.low, self.starts, self.ends, mix(langs.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D + key))[self.row])
+
+
+def _distinct(ids: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the different words (ids, and what tells apart those that share one), the first place of each, and each place's word."""
+    _, first, back = np.unique(ids, return_index=True, return_inverse=True)
+    if (more[first][back] != more).any():
+        _, first, back = np.unique(np.stack([ids, more]), axis=1, return_index=True, return_inverse=True)
+    return first, back.ravel()
+
+
 def _words(batch: pa.RecordBatch, key: int):
     """Blocks of a batch of (language's hash, text), with each block's first row."""
     buf, offs = utf8(batch.column(1))
@@ -66,20 +79,21 @@ def _vocabulary(df: DataFrame, text: str, lang: str, key: int) -> DataFrame:
         held = []
 
         def merged():
-            ids, words, langs, n = (np.concatenate([h[0] for h in held]), pa.concat_arrays([h[1] for h in held]), pa.concat_arrays([h[2] for h in held]), np.concatenate([h[3] for h in held]))
-            own, first, back = np.unique(ids, return_index=True, return_inverse=True)
-            total = np.zeros(len(own), np.int64)
-            np.add.at(total, back, n)
-            return own, words.take(pa.array(first)), langs.take(pa.array(first)), total
+            ids, more, n = (np.concatenate([h[k] for h in held]) for k in (0, 1, 4))
+            first, back = _distinct(ids, more)
+            words, langs = (pa.concat_arrays([h[k] for h in held]).take(pa.array(first)) for k in (2, 3))
+            return ids[first], more[first], words, langs, np.bincount(back, n, len(first)).astype(np.int64)
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), held[0][2], held[0][1].cast(pa.string()), pa.array(held[0][3])], names=["id", "lang", "word", "n"])
+            ids, _, words, langs, n = held[0]
+            return pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), langs, words.cast(pa.string()), pa.array(n)], names=["id", "lang", "word", "n"])
 
         for batch in batches:
             for a, w in _words(batch, key):
-                own, first, n = np.unique(w.ids, return_index=True, return_counts=True)
+                more = w.more(batch.column(0).to_numpy()[a : a + w.rows], key)
+                first, back = _distinct(w.ids, more)
                 words = pa.array([w.low[s:e].tobytes() for s, e in zip(w.starts[first].tolist(), w.ends[first].tolist(), strict=True)], pa.large_binary())
-                held.append((own, words, batch.column(2).take(pa.array(a + w.row[first])).cast(pa.large_string()), n))
+                held.append((w.ids[first], more[first], words, batch.column(2).take(pa.array(a + w.row[first])).cast(pa.large_string()), np.bincount(back, minlength=len(first))))
                 if sum(len(h[0]) for h in held) > HELD:
                     held = [merged()]
                     if len(held[0][0]) > HELD // 2:

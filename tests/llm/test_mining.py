@@ -107,16 +107,13 @@ def manifest_rows():
 
 
 @pytest.mark.parametrize("levels", [12, 1, 2])
-def test_manifest(spark, monkeypatch, levels):
+def test_manifest(spark, levels):
     """Blocks of two and four nodes make many tiers."""
-    monkeypatch.setattr(merkle, "LEVELS", levels)
-    monkeypatch.setattr(merkle, "BLOCK", 1 << levels)
-    monkeypatch.setattr(merkle, "ship", lambda spark: None)
     schema = "doc_id long, source string, lang string, n_chars long, text string"
     for rows in (manifest_rows(), manifest_rows()[-1:]):
         df = spark.createDataFrame(rows, schema).select("*", *[F.lit("clash").alias(c) for c in ["id", "g", "pos", "m", "node", "block", "leaf", "root", "path"]])
-        assert digest(merkle.manifest(df), *MERKLE) == brute.merkle(rows)
-    assert merkle.manifest(spark.createDataFrame([], schema)).count() == 0
+        assert digest(merkle.manifest(df, levels=levels), *MERKLE) == brute.merkle(rows)
+    assert merkle.manifest(spark.createDataFrame([], schema), levels=levels).count() == 0
 
 
 def test_versions_share_what_did_not_change():
