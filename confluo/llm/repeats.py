@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .shared import bitmap, in_bitmap, map_arrow, ship, written
 from .suffixes import common_prefixes, suffix_array
-from .textbuf import BLOCK, U, blocks, gather, mix, powers, prefix, utf8
+from .textbuf import BLOCK, U, blocks, gather, keyed_hashes, mix, powers, prefix, utf8
 
 SPAN, GRAM = 200, 40
 #: Bytes of a shard.
@@ -66,7 +66,7 @@ def runs(buf: np.ndarray, offs: np.ndarray, span: int, gram: int) -> tuple[np.nd
     stops = np.flatnonzero(inside & np.concatenate([(new | ~inside)[1:], [True]])) + 1
     count = stops - starts
     ends = starts + count + span - 1
-    whole = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
+    whole = keyed_hashes(buf, starts, ends)
     return row[starts].astype(np.int64), starts - offs[row[starts]], count, name[starts].view(np.int64), whole.view(np.int64)
 
 
@@ -212,14 +212,14 @@ def _verdicts(occurrences: DataFrame, span: int) -> DataFrame:
 
     ship(occurrences.sparkSession)
     dealt = each.filter(F.col("bytes").isNotNull())
-    # at most as many as shards; copies of a run in several portions count, which only makes more names hot
+    # copies of a run in several portions count, which only makes more names hot
     sizes = occurrences.filter(F.col("bytes").isNotNull()).groupBy("name").agg(F.sum(F.length("bytes")).alias("size"))
     hot = written(sizes.filter(F.col("size") > SHARD).select("name"), "hot")
     some = hot.limit(1).count() > 0
-    own = dealt.join(F.broadcast(hot), "name", "left_anti") if some else dealt
+    own = dealt.join(hot, "name", "left_anti") if some else dealt
     part = own.withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards))).groupBy("shard").applyInArrow(run, "name long, whole long, spans array<struct<from:bigint,to:bigint>>")
     out = whole.unionByName(part)
-    return out.unionByName(_hot_verdicts(written(dealt.join(F.broadcast(hot), "name", "left_semi"), "hot_runs"), span)) if some else out
+    return out.unionByName(_hot_verdicts(written(dealt.join(hot, "name", "left_semi"), "hot_runs"), span)) if some else out
 
 
 def spans(df: DataFrame, id_col: str = "doc_id", text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:

@@ -1,36 +1,54 @@
 """Suffix arrays of shards by induced sorting, and permuted common prefixes, on numpy arrays.
 
 Induced sorting classifies suffixes as smaller or larger than their right neighbour, sorts and names the substrings
-between leftmost-smaller places, sorts those places by recursion on the names, and induces all other suffixes from them
-in two linear passes. The passes go bucket by bucket (by first symbol); within a bucket, waves of suffixes are induced at
-once. A reduced string whose alphabet is larger than ``BUCKETS`` is sorted by doubling ranks instead, since a pass over
-so many buckets would cost more than it saves.
+between leftmost-smaller places, sorts those places by recursion on the names, and induces all other suffixes from them:
+first the larger ones, each from its right neighbour, then the smaller ones. Over bytes that goes bucket by bucket (by first
+symbol) in two linear passes; within a bucket, waves of suffixes are induced at once. A reduced string has many names and
+small buckets; there all suffixes of a kind are induced together, in waves that double their reach: a suffix's place
+follows from its symbols up to the next suffix that is placed already, and from that one's place. A wave is one sort, and as many
+are needed as the logarithm of the longest run of one kind.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+#: Up to so many symbols go bucket by bucket.
 BUCKETS = 2048
 
 
-def _doubling(s: np.ndarray) -> np.ndarray:
-    """The suffix array by doubling ranks."""
-    n, width = len(s), 1
-    rank = s.astype(np.int64)
+def _ranked(own: np.ndarray, key: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Ranks of the places ``own`` by the keys from each place to its ``stop``, both included."""
+    rank = np.zeros(len(key), np.int64)
+    rank[own] = np.unique(key[own], return_inverse=True)[1]
+    width = 1
     while True:
-        second = np.zeros(n, np.int64)
-        second[: n - width] = rank[width:] + 1
-        key = rank * (n + 2) + second if width > 1 else rank * (int(rank.max()) + 2) + second
-        order = np.argsort(key, kind="stable")
-        new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.concatenate([[0], (np.diff(key[order]) != 0).astype(np.int64)]))
-        rank = new
-        if rank.max() == n - 1 or width >= n:
-            return order
+        inside = own + width <= stop[own]
+        if not inside.any():
+            return rank
+        further = np.zeros(len(own), np.int64)
+        further[inside] = rank[own[inside] + width] + 1
+        rank[own] = np.unique(rank[own] * (len(own) + 2) + further, return_inverse=True)[1]
         width *= 2
 
 
+def _waves(s: np.ndarray, small: np.ndarray, sorted_at: np.ndarray) -> np.ndarray:
+    """The suffix array, induced from the sorted leftmost-smaller places. Of like first symbols a larger suffix goes first."""
+    n, place = len(s), np.arange(len(s))
+    code, least = 2 * s.astype(np.int64) + small, np.zeros(n, np.int64)
+    least[sorted_at] = np.arange(len(sorted_at))
+
+    def following(mask: np.ndarray) -> np.ndarray:
+        """For each place the first one from it on that has the mask, or the last place."""
+        return np.minimum.accumulate(np.where(mask, place, n - 1)[::-1])[::-1]
+
+    leftmost = np.zeros(n, bool)
+    leftmost[sorted_at] = True
+    larger = _ranked(np.flatnonzero(~small | leftmost), code * n + least, following(leftmost))
+    smaller = _ranked(place, code * n + np.where(small, 0, larger), following(~small))
+    return np.argsort(smaller, kind="stable")
+
+
 def _names(s: np.ndarray, at: np.ndarray, alphabet: int) -> np.ndarray:
     """Ranks of the substrings from each place to the next one (both included); one that is a prefix of another is larger."""
     bits = (alphabet + 1).bit_length()
@@ -73,8 +91,6 @@ def suffix_array(s: np.ndarray, alphabet: int) -> np.ndarray:
     n = len(s)
     if n < 3:
         return np.argsort(s, kind="stable")
-    if alphabet > BUCKETS:
-        return _doubling(s)
     step = np.diff(s.astype(np.int64))
     decides = np.minimum.accumulate(np.where(step != 0, np.arange(n - 1), n)[::-1])[::-1]
     small = np.ones(n, bool)
@@ -87,7 +103,7 @@ def suffix_array(s: np.ndarray, alphabet: int) -> np.ndarray:
         names = np.empty(len(at), np.int64)
         names[order] = np.cumsum(apart)
         order = suffix_array(names, int(apart.sum()) + 1)
-    return _induce(s, small, at[order], alphabet)
+    return _induce(s, small, at[order], alphabet) if alphabet <= BUCKETS else _waves(s, small, at[order])
 
 
 def _induce(s: np.ndarray, small: np.ndarray, sorted_at: np.ndarray, alphabet: int) -> np.ndarray:
