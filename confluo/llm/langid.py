@@ -6,19 +6,22 @@ rows gives landmarks; the Nyström map of the kernel to them feeds one ridge reg
 rest. Scoring is batched matrix products: presence by landmarks, then landmarks by languages.
 
 Rows train a model only if they have a label, hold a letter and aren't held out; the sample takes ``PER_LABEL`` rows of
-each label, first by hash of the id, ``MOST`` in all. Without such rows every prediction is ``und`` with score 0. A null
-text, or one without letters, is ``und`` with score 0.
-
-So is a text unlike the language it is put to (a dump of hex digits, a language no label has). Its *level* is the mean,
-over its n-grams of the highest order with two letters or more, of the logarithm of the share of the label's sample
-rows that hold it. The sample's own levels, each row judged by the others, set the label's floor: halfway from their
-median to the level of a text of unknown n-grams, or twice as far from the median as their ``LOW`` quantile, whichever
-is lower. A label of fewer than ``FEWEST`` rows has no floor, and a text without such n-grams is not held against one.
+each label, first by hash of the id, ``MOST`` in all, and one row of each id and label. Its landmarks are at most
+``LANDMARKS`` of a label and ``MARKS`` in all. Without such rows every prediction is ``und`` with score 0; a null text, or
+one without letters, is so always. Any other text gets the label that scores best.
+
+Beside it stands ``like``: whether the text is like that language at all (a dump of hex digits, or a language no label
+has, isn't). Its *level* is the mean, over its n-grams of the highest order with two letters or more, of the logarithm
+of the share of the label's sample rows that hold it. The sample's own levels, each row judged by the others, set
+the label's floor: halfway from their median to the level of a text of unknown n-grams, or twice as far from the median
+as their ``LOW`` quantile, whichever is lower. A label of fewer than ``FEWEST`` rows has no floor, and a text without
+such n-grams is not held against one.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +32,8 @@ from .shared import map_arrow
 from .textbuf import U, blocks, utf8
 
 ORDERS, BITS = 3, 18
-#: Bounds of the sample: rows of a label, rows in all, landmarks of a label.
-PER_LABEL, MOST, LANDMARKS = 300, 6000, 32
+#: Bounds of the sample: rows of a label, rows in all, landmarks of a label, landmarks in all.
+PER_LABEL, MOST, LANDMARKS, MARKS = 300, 6000, 32, 512
 PARTS = 64
 RIDGE = 0.1
 UNKNOWN = "und"
@@ -78,13 +81,21 @@ def grams(buf: np.ndarray, offs: np.ndarray) -> list[tuple[np.ndarray, np.ndarra
 
 @dataclass(frozen=True)
 class Model:
+    """Of a size that the sample's bounds set: the landmarks are bits, 16 MB at most."""
+
     labels: list[str]
     column: np.ndarray  # of each hashed n-gram, -1 if no landmark has it
-    landmarks: np.ndarray  # columns x landmarks, scaled
+    held: np.ndarray  # columns x landmarks, packed bits: which landmark holds which n-gram
+    scale: np.ndarray  # of each landmark
     weights: np.ndarray  # landmarks x labels
     place: np.ndarray  # of each hashed n-gram in ``above``, the last one if the sample has it not
     above: np.ndarray  # labels x n-grams: how far an n-gram's level lies above the label's floor
 
+    @cached_property
+    def landmarks(self) -> np.ndarray:
+        """columns x landmarks, scaled."""
+        return np.unpackbits(self.held, axis=1, count=len(self.scale)).astype(np.float32) * self.scale
+
     def scores(self, found: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
         """Rows x labels, from the ``grams`` of n rows."""
         width = len(self.landmarks)
@@ -135,21 +146,27 @@ def train(presence: list[np.ndarray], counted: list[tuple[np.ndarray, np.ndarray
     names = sorted(set(labels))
     if not names:
         return None
+    each = max(1, min(LANDMARKS, MARKS // len(names)))
     chosen, seen = [], dict.fromkeys(names, 0)
     for i, label in enumerate(labels):
-        if seen[label] < LANDMARKS and len(presence[i]):
+        if seen[label] < each and len(chosen) < MARKS and len(presence[i]):
             seen[label] += 1
             chosen.append(i)
     vocabulary = np.unique(np.concatenate([presence[i] for i in chosen]))
     column = np.full(1 << BITS, -1, np.int32)
     column[vocabulary] = np.arange(len(vocabulary))
-    rows = np.zeros((len(labels), len(vocabulary)), np.float64)
-    for i, p in enumerate(presence):
-        at = column[p]
-        rows[i, at[at >= 0]] = 1
+
+    def rows(some: list[int]) -> np.ndarray:
+        out = np.zeros((len(some), len(vocabulary)), np.float32)
+        for k, i in enumerate(some):
+            at = column[presence[i]]
+            out[k, at[at >= 0]] = 1
+        return out
+
     sizes = np.sqrt(np.maximum([len(p) for p in presence], 1))
-    marks = (rows[chosen] / sizes[chosen][:, None]).T
-    kernel = (rows @ marks) / sizes[:, None]
+    held, scale = rows(chosen), (1 / sizes[chosen]).astype(np.float32)
+    parts = [rows(list(range(k, min(k + ROWS, len(labels))))) @ held.T for k in range(0, len(labels), ROWS)]
+    kernel = np.concatenate(parts).astype(np.float64) / sizes[:, None] / sizes[chosen]
     value, vector = np.linalg.eigh(kernel[chosen])
     keep = value > 1e-8 * value.max()
     to_space = vector[:, keep] / np.sqrt(value[keep])
@@ -158,7 +175,7 @@ def train(presence: list[np.ndarray], counted: list[tuple[np.ndarray, np.ndarray
     weight = 1.0 / np.array([labels.count(x) for x in labels])
     normal = (space * weight[:, None]).T @ space + RIDGE / len(labels) * np.eye(space.shape[1])
     ridge = np.linalg.solve(normal, (space * weight[:, None]).T @ target)
-    return Model(names, column, marks.astype(np.float32), (to_space @ ridge).astype(np.float32), *floors(counted, labels, names))
+    return Model(names, column, np.packbits(held.T.astype(bool), axis=1), scale, (to_space @ ridge).astype(np.float32), *floors(counted, labels, names))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -193,21 +210,26 @@ def fit(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str =
             columns = [pa.array([x.astype(np.int32).tobytes() for x in part], pa.binary()) for part in parts]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["rank", "label", "grams", "high", "held"])
 
-    got = sorted(tuple(r) for r in map_arrow(rows, run, "rank int, label string, grams binary, high binary, held binary").collect())
+    each = map_arrow(rows, run, "rank int, label string, grams binary, high binary, held binary")
+    # rows that repeat an id and a label share a rank: one of them counts
+    one = each.groupBy("rank", "label").agg(F.min(F.struct("grams", "high", "held")).alias("row")).select("rank", "label", "row.*")
+    got = sorted(tuple(r) for r in one.collect())
     ints = lambda x: np.frombuffer(x, np.int32)
     return train([ints(r[2]) for r in got], [(ints(r[3]), ints(r[4])) for r in got], [r[1] for r in got])
 
 
 def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """``df`` with ``lang_pred`` and ``score``: half of one plus the best regression's value, kept within 0 and 1."""
-    keep = [c for c in df.columns if c not in ("lang_pred", "score")]
+    """``df`` with ``lang_pred``, ``score`` (half of one plus the best regression's value, kept within 0 and 1) and ``like``."""
+    more = "lang_pred string, score double, like boolean"
+    names = [f.split()[0] for f in more.split(", ")]
+    keep = [c for c in df.columns if c not in names]
     work = df.select(*[F.col(f"`{c}`") for c in keep], _letters(text).alias("__letters"))
     at = keep.index(text)
 
     def run(batches):
         for batch in batches:
             n = batch.num_rows
-            best, score, like = np.full(n, -1), np.zeros(n), np.ones(n, bool)
+            best, score, like = np.full(n, -1), np.zeros(n), np.zeros(n, bool)
             buf, offs = utf8(batch.column(at))
             for a, b in blocks(offs) if model else ():
                 for i in range(a, b, ROWS):
@@ -217,18 +239,18 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
                     best[i:j] = value.argmax(axis=1)
                     like[i:j] = model.like(found, best[i:j])
                     score[i:j] = np.clip((1 + value.max(axis=1).astype(np.float64)) / 2, 0, 1)
-            known = np.asarray(batch.column(len(keep)).to_pylist(), bool) & (best >= 0) & like
-            names = [model.labels[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)]
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0), pa.float64())], names=[*batch.schema.names[:-1], "lang_pred", "score"])
+            known = np.asarray(batch.column(len(keep)).to_pylist(), bool) & (best >= 0)
+            labels = [model.labels[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)]
+            new = [pa.array(labels, pa.string()), pa.array(np.where(known, score, 0.0), pa.float64()), pa.array(known & like)]
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + new, names=[*batch.schema.names[:-1], *names])
 
     from pyspark.sql.types import StructType
 
-    more = StructType.fromDDL("lang_pred string, score double")
-    return map_arrow(work, run, StructType(work.schema.fields[:-1] + more.fields))
+    return map_arrow(work, run, StructType(work.schema.fields[:-1] + StructType.fromDDL(more).fields))
 
 
 def identify(df: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:
-    """For each row ``id_col``, held_out, lang_pred and score; the label only trains, it is never an input."""
+    """For each row ``id_col``, held_out, lang_pred, score and like; the label only trains, it is never an input."""
     model = fit(df, id_col, text, label)
     rows = df.select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text).alias("__text"))
     return predict(rows, model, "__text").drop("__text")
