@@ -1,22 +1,23 @@
 """Secret scans by one combined deterministic automaton.
 
-Each rule has a *core*, a short text that every finding holds, and a *full* expression that gives its span. Cores are
-kept short where a finding may begin inside another one, since such overlaps multiply the states. All
-cores go into one nondeterministic automaton, which subset construction makes deterministic and partition refinement
-minimal; the result is a transition array over byte classes. Texts are cut into lanes at bytes that occur in no rule, so
+Rules are regular expressions, written as small trees. All of them go whole into one nondeterministic automaton, which
+subset construction makes deterministic and partition refinement minimal; the result is a transition array over byte
+classes whose states say which rules' expressions end there. Texts are cut into lanes at bytes that occur in no rule, so
 no finding crosses a cut, and all lanes of a block step through the array together, one byte a step: every byte is read
-once for all rules. Only the few lanes in which a core was seen are looked at again, with the full expression of that
-rule, for exact spans (leftmost, not overlapping within a rule). A null or empty text has no finding.
+once for all rules. A match ends where its rule's mark goes out. From there the rule's own reversed automaton walks back to
+the farthest start, no farther than the end of the rule's match before: leftmost, longest, not overlapping within a rule.
+Matches with too few characters are dropped after that. Least lengths are kept out of the expressions (but for runs
+without a prefix), since counters of several rules that run side by side would multiply the states.
+
+A null or empty text has no finding.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from re import _constants as rc
-from re import _parser as rp
+from string import ascii_letters, ascii_lowercase, ascii_uppercase, digits
 
 import numpy as np
 import pyarrow as pa
@@ -25,147 +26,166 @@ from pyspark.sql import DataFrame
 from .shared import map_arrow
 from .textbuf import blocks, utf8
 
+#: An expression: ("set", bytes), ("seq", parts), ("alt", parts), or ("repeat", part, least, most or None).
+Tree = tuple
+
+
+def one(chars: str) -> Tree:
+    return ("set", frozenset(chars.encode()))
+
+
+def seq(*parts: Tree | str) -> Tree:
+    """Parts in a row; a string stands for its characters."""
+    return ("seq", [x for p in parts for x in ([one(c) for c in p] if isinstance(p, str) else [p])])
+
+
+def alt(*parts: Tree | str) -> Tree:
+    return ("alt", [seq(p) for p in parts])
+
+
+def repeat(part: Tree, least: int, most: int | None = None) -> Tree:
+    return ("repeat", part, least, most)
+
+
+def either_case(word: str) -> Tree:
+    return ("seq", [one(c.lower() + c.upper()) for c in word])
+
 
 @dataclass(frozen=True)
 class Rule:
-    """``group`` of the full expression's match must have ``least`` characters, else the match is dropped."""
+    """``least`` characters that a match must have, or what ``part`` takes of it; else the match is dropped."""
 
     kind: str
-    core: str
-    full: str
-    group: int = 0
+    tree: Tree
     least: int = 0
+    part: Callable[[bytes], bytes] | None = None
+
+
+def assigned(match: bytes) -> bytes:
+    """The value of an assignment: what follows the first colon or equals sign, blanks, and a quote."""
+    at = min(k for k in (match.find(b":"), match.find(b"=")) if k >= 0)
+    value = match[at + 1 :].lstrip(b" ")
+    return value[1:] if value[:1] in (b'"', b"'") else value
 
 
-_VALUE = r"[A-Za-z0-9+/_.=-]"
-_ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?"""
+_VALUE = one(ascii_letters + digits + "+/_.=-")
+_QUOTE, _BLANKS = repeat(one("\"'"), 0, 1), repeat(one(" "), 0)
+_NAMES = alt(*map(either_case, ("password", "passwd", "secret", "token")), seq(either_case("api"), repeat(one("_"), 0, 1), either_case("key")))
+_WORD = ascii_letters + digits
 #: The three base rules, then common formats of issued keys.
 BASE = (
-    Rule("assign", _ASSIGN + _VALUE, _ASSIGN + "(" + _VALUE + "+)", 2, 6),
-    Rule("access", "AKIA[A-Z0-9]{4}", "AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", "[0-9a-f]{24}", "[0-9a-f]+", 0, 24),
+    Rule("assign", seq(_NAMES, _QUOTE, _BLANKS, one(":="), _BLANKS, _QUOTE, repeat(_VALUE, 1)), 6, assigned),
+    Rule("access", seq("AKIA", repeat(one(ascii_uppercase + digits), 1)), 20),
+    Rule("hex", repeat(one("abcdef" + digits), 24)),
 )
 MORE = (
-    Rule("github", "gh[pousr]_[A-Za-z0-9]{4}", "gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("slack", "xox[abprs]-", "xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("google", "AIza", "AIza[A-Za-z0-9_-]{35}"),
-    Rule("stripe", "[rs]k_(live|test)_", "[rs]k_(live|test)_[A-Za-z0-9]{16,}"),
-    Rule("private", "-----BEGIN ", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("jwt", "eyJ[A-Za-z0-9_-]{4}", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    Rule("github", seq("gh", one("pousr"), "_", repeat(one(_WORD), 1)), 40),
+    Rule("slack", seq("xox", one("abprs"), "-", repeat(one(_WORD + "-"), 1)), 15),
+    Rule("google", seq("AIza", repeat(one(_WORD + "_-"), 1)), 39),
+    Rule("stripe", seq(one("rs"), "k_", alt("live", "test"), "_", repeat(one(_WORD), 1)), 24),
+    Rule("private", seq("-----BEGIN ", repeat(one(ascii_uppercase + " "), 0), "PRIVATE KEY-----")),
+    Rule("jwt", seq("eyJ", repeat(one(_WORD + "_-"), 1), ".eyJ", repeat(one(_WORD + "_.-"), 1)), 30),
 )
 RULES = BASE + MORE
 #: Bytes of a block that steps through the automaton together, and the least length of a lane.
 BLOCK, LANE = 1 << 22, 192
 
 
-def _members(items) -> set[int]:
-    out: set[int] = set()
-    for op, arg in items:
-        if op is rc.LITERAL:
-            out.add(arg)
-        elif op is rc.RANGE:
-            out.update(range(arg[0], arg[1] + 1))
-        else:
-            raise ValueError(f"a rule may not use {op}")
-    return out
-
-
 class _Graph:
     """A nondeterministic automaton: edges by byte set, and empty edges."""
 
     def __init__(self) -> None:
         self.empty: list[list[int]] = []
         self.edges: list[list[tuple[frozenset[int], int]]] = []
-        self.alphabet: set[int] = set()
 
     def node(self) -> int:
         self.empty.append([])
         self.edges.append([])
         return len(self.edges) - 1
 
-    def add(self, tree: Iterable, at: int, fold: bool) -> int:
-        """Adds a parsed expression from node ``at`` on; its last node."""
-        for op, arg in tree:
-            if op in (rc.LITERAL, rc.IN):
-                chars = _members([(op, arg)] if op is rc.LITERAL else arg)
-                if fold:
-                    chars |= {ord(f(chr(c))) for c in chars if c < 128 for f in (str.lower, str.upper)}
-                self.alphabet |= chars
-                to = self.node()
-                self.edges[at].append((frozenset(chars), to))
-            elif op is rc.SUBPATTERN:
-                to = self.add(arg[3], at, fold or bool(arg[1] & re.IGNORECASE))
-            elif op is rc.BRANCH:
-                to = self.node()
-                for part in arg[1]:
-                    self.empty[self.add(part, at, fold)].append(to)
-            elif op is rc.MAX_REPEAT:
-                least, most, part = arg
-                for _ in range(least):
-                    at = self.add(part, at, fold)
-                to = self.node()
-                self.empty[at].append(to)
-                if most is rc.MAXREPEAT:
-                    self.empty[self.add(part, to, fold)].append(to)
-                for _ in range(0 if most is rc.MAXREPEAT else most - least):
-                    at = self.add(part, at, fold)
-                    self.empty[at].append(to)
-            else:
-                raise ValueError(f"a rule may not use {op}")
-            at = to
-        return at
-
-    def closure(self, nodes: Iterable[int]) -> frozenset[int]:
-        seen, todo = set(nodes), list(nodes)
-        while todo:
-            for x in self.empty[todo.pop()]:
-                if x not in seen:
-                    seen.add(x)
-                    todo.append(x)
-        return frozenset(seen)
-
-
-@dataclass(frozen=True)
-class Automaton:
-    classes: np.ndarray  # class of each byte
-    step: np.ndarray  # (state * width + class) to the next state * width
-    width: int
-    first_found: int  # states * width from here on have found something
-    found: np.ndarray  # rules found, a bit each, by state
-    cut: np.ndarray  # bytes that occur in no rule
-
-
-def compile_rules(rules: tuple[Rule, ...]) -> Automaton:
-    g = _Graph()
-    start, ends = g.node(), {}
-    for k, rule in enumerate(rules):
-        first = g.node()
-        g.empty[start].append(first)
-        ends[g.add(rp.parse(rule.core), first, False)] = 1 << k
-    inside = _Graph()
-    for rule in rules:
-        inside.add(rp.parse(rule.full), inside.node(), False)
-    # bytes that no rule tells apart form a class
+    def add(self, tree: Tree, at: int, back: bool = False) -> int:
+        """Adds an expression, or its mirror image, from node ``at`` on; its last node."""
+        kind, what = tree[:2]
+        if kind == "set":
+            to = self.node()
+            self.edges[at].append((what, to))
+            return to
+        if kind == "seq":
+            for part in reversed(what) if back else what:
+                at = self.add(part, at, back)
+            return at
+        to = self.node()
+        if kind == "alt":
+            for part in what:
+                self.empty[self.add(part, at, back)].append(to)
+            return to
+        least, most = tree[2:]
+        for _ in range(least):
+            at = self.add(what, at, back)
+        self.empty[at].append(to)
+        if most is None:
+            self.empty[self.add(what, to, back)].append(to)
+        for _ in range(0 if most is None else most - least):
+            at = self.add(what, at, back)
+            self.empty[at].append(to)
+        return to
+
+    def closures(self) -> list[int]:
+        """For each node, as bits, the nodes that empty edges reach from it."""
+        out = []
+        for k in range(len(self.empty)):
+            seen, todo = 1 << k, [k]
+            while todo:
+                for x in self.empty[todo.pop()]:
+                    if not seen >> x & 1:
+                        seen |= 1 << x
+                        todo.append(x)
+            out.append(seen)
+        return out
+
+
+def _bits(x: int) -> Iterable[int]:
+    while x:
+        low = x & -x
+        yield low.bit_length() - 1
+        x ^= low
+
+
+def _determined(g: _Graph, start: int, ends: dict[int, int], anywhere: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte classes, steps (states x classes) and what each state found, of the least automaton; state 0 is the start's.
+    ``anywhere``: a match may begin at any byte; else the last state may be one that nothing leads out of."""
     sets = sorted({chars for edges in g.edges for chars, _ in edges}, key=sorted)
     sign = [tuple(b in s for s in sets) for b in range(256)]
     names = {s: i for i, s in enumerate(dict.fromkeys(sign))}
     classes = np.array([names[s] for s in sign], np.uint8)
     sample = [sign.index(s) for s in names]
-    width = len(names)
-    # subset construction; the start stays active, so a find may begin anywhere
-    home = g.closure([start])
+    closure = g.closures()
+    # of each node, by class, the nodes it leads to
+    leads = []
+    for edges in g.edges:
+        row = [0] * len(sample)
+        for chars, to in edges:
+            for c, b in enumerate(sample):
+                if b in chars:
+                    row[c] |= closure[to]
+        leads.append(row)
+    home = closure[start]
+    always = home if anywhere else 0
     numbers, rows, todo = {home: 0}, [], [home]
     for now in todo:
+        own = [leads[x] for x in _bits(now) if any(leads[x])]
         row = []
-        for b in sample:
-            to = g.closure({y for x in now for chars, y in g.edges[x] if b in chars} | {start})
+        for c in range(len(sample)):
+            to = always
+            for x in own:
+                to |= x[c]
             if to not in numbers:
                 numbers[to] = len(numbers)
                 todo.append(to)
             row.append(numbers[to])
         rows.append(row)
     step = np.array(rows)
-    found = np.array([sum({ends[x] for x in s if x in ends}) for s in todo], np.int64)
+    found = np.array([sum(bit for x, bit in ends.items() if s >> x & 1) for s in todo], np.int64)
     # minimisation: split the parts until all states of a part step into the same parts
     part = np.unique(found, return_inverse=True)[1].ravel()
     while True:
@@ -175,13 +195,63 @@ def compile_rules(rules: tuple[Rule, ...]) -> Automaton:
         part = finer
     # the start's part is state 0; states that found something come last
     firsts = np.unique(part, return_index=True)[1]
-    order = sorted(range(len(firsts)), key=lambda p: (found[firsts[p]] > 0, p != part[0]))
+    order = sorted(range(len(firsts)), key=lambda p: (p != part[0], found[firsts[p]] > 0))
     number = np.empty(len(order), np.int64)
     number[order] = np.arange(len(order))
     chosen = firsts[order]
-    step, found = number[part[step[chosen]]], found[chosen]
-    cut = np.array([b not in inside.alphabet | g.alphabet for b in range(256)])
-    return Automaton(classes, (step * width).astype(np.int32).ravel(), width, int((found == 0).sum()) * width, found, cut)
+    return classes, number[part[step[chosen]]], found[chosen]
+
+
+@dataclass(frozen=True)
+class Backward:
+    """A rule's reversed automaton, from the end of a match."""
+
+    classes: bytes
+    step: list[list[int]]
+    found: list[bool]
+    dead: int  # the state without a way to a match, if any
+
+    def start(self, data: bytes, end: int, least: int) -> int | None:
+        """The farthest start, not before ``least``, of a match that ends at ``end``."""
+        state, out = 0, None
+        for k in range(end - 1, least - 1, -1):
+            state = self.step[state][self.classes[data[k]]]
+            if state == self.dead:
+                break
+            if self.found[state]:
+                out = k
+        return out
+
+
+@dataclass(frozen=True)
+class Automaton:
+    classes: np.ndarray  # class of each byte
+    step: np.ndarray  # (state * width + class) to the next state * width
+    width: int
+    first_found: int  # states * width from here on have found something
+    found: np.ndarray  # rules found, a bit each, by state
+    cut: np.ndarray  # bytes that occur in no rule
+    back: list[Backward]
+
+
+def compile_rules(rules: tuple[Rule, ...]) -> Automaton:
+    g = _Graph()
+    start, ends, back = g.node(), {}, []
+    for k, rule in enumerate(rules):
+        first = g.node()
+        g.empty[start].append(first)
+        ends[g.add(rule.tree, first)] = 1 << k
+        own = _Graph()
+        home = own.node()
+        last = own.add(rule.tree, home, True)
+        classes, step, found = _determined(own, home, {last: 1}, False)
+        dead = [i for i in range(len(step)) if not found[i] and (step[i] == i).all()]
+        back.append(Backward(classes.tobytes(), step.tolist(), (found > 0).tolist(), dead[0] if dead else -1))
+    classes, step, found = _determined(g, start, ends, True)
+    width = step.shape[1]
+    used = {b for edges in g.edges for chars, _ in edges for b in chars}
+    first_found = len(found) - np.count_nonzero(found)
+    return Automaton(classes, (step * width).astype(np.int32).ravel(), width, first_found * width, found, np.array([b not in used for b in range(256)]), back)
 
 
 def _lanes(buf: np.ndarray, offs: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,41 +262,53 @@ def _lanes(buf: np.ndarray, offs: np.ndarray, cut: np.ndarray) -> tuple[np.ndarr
 
 
 def scan_block(dfa: Automaton, buf: np.ndarray, offs: np.ndarray) -> list[tuple[int, int, int]]:
-    """(start, end, rules) of the lanes in which a core was found."""
+    """(start of the lane, end of a match, rule), in order."""
     if not len(buf):
         return []
     starts, lengths = _lanes(buf, offs, dfa.cut)
     order = np.argsort(-lengths, kind="stable")
-    at, sizes = starts[order], lengths[order]
+    first, sizes = starts[order], lengths[order]
     active = len(sizes) - np.searchsorted(sizes[::-1], np.arange(int(sizes[0])), "right")
-    seen, state, coded = np.zeros(len(at), np.int64), np.zeros(len(at), np.int32), dfa.classes[buf]
-    at = at.copy()
+    state, coded, at = np.zeros(len(first), np.int32), dfa.classes[buf], first.copy()
+    marks, lit, out = np.zeros(len(first), np.int64), 0, []
+
+    def ended(lanes: np.ndarray, gone: np.ndarray, place: np.ndarray) -> None:
+        for lane, bits, end in zip(first[lanes].tolist(), gone.tolist(), place.tolist(), strict=True):
+            out.extend((lane, end, k) for k in _bits(bits))
+
     for n in active.tolist():
         now = dfa.step[state[:n] + coded[at[:n]]]
         state[:n] = now
-        if now.max() >= dfa.first_found:
-            hit = np.flatnonzero(now >= dfa.first_found)
-            seen[hit] |= dfa.found[now[hit] // dfa.width]
+        if lit or now.max() >= dfa.first_found:
+            new = dfa.found[now // dfa.width]
+            gone = marks[:n] & ~new
+            lanes = np.flatnonzero(gone)
+            ended(lanes, gone[lanes], at[lanes])
+            marks[:n] = new
+            lit = np.count_nonzero(marks)
         at[:n] += 1
-    hit = np.flatnonzero(seen)
-    return sorted((int(starts[order[k]]), int(starts[order[k]] + lengths[order[k]]), int(seen[k])) for k in hit)
+    lanes = np.flatnonzero(marks)
+    ended(lanes, marks[lanes], first[lanes] + sizes[lanes])
+    return sorted(out)
 
 
 def find(dfa: Automaton, rules: tuple[Rule, ...], buf: np.ndarray, offs: np.ndarray) -> list[list[tuple[int, int, int]]]:
     """For each row the (start, end, rule number), in code points, by start and then rule."""
     out: list[list[tuple[int, int, int]]] = [[] for _ in range(len(offs) - 1)]
-    full = [re.compile(r.full.encode()) for r in rules]
     for a, b in blocks(offs, BLOCK):
         own, base = buf[offs[a] : offs[b]], offs[a]
-        for start, end, bits in scan_block(dfa, own, offs[a : b + 1] - base):
-            row = int(np.searchsorted(offs, base + start, "right")) - 1
-            lane, before = own[start:end], own[offs[row] - base : start]
-            skipped = int(np.count_nonzero((before & 0xC0) != 0x80))
-            points = np.concatenate([[0], np.cumsum((lane & 0xC0) != 0x80)])
-            data = lane.tobytes()
-            for k, rule in enumerate(rules):
-                if bits >> k & 1:
-                    out[row] += [(skipped + int(points[m.start()]), skipped + int(points[m.end()]), k) for m in full[k].finditer(data) if len(m[rule.group]) >= rule.least]
+        data, row, last = own.tobytes(), -1, {}
+        for lane, end, rule in scan_block(dfa, own, offs[a : b + 1] - base):
+            if (to := int(np.searchsorted(offs, base + lane, "right")) - 1) != row:
+                row, last = to, {}
+                heads = np.concatenate([[0], np.cumsum((own[offs[row] - base : offs[row + 1] - base] & 0xC0) != 0x80)])
+            start = dfa.back[rule].start(data, end, max(lane, last.get(rule, 0)))
+            if start is None:  # it overlaps the match before
+                continue
+            last[rule] = end
+            match = data[start:end]
+            if len(rules[rule].part(match) if rules[rule].part else match) >= rules[rule].least:
+                out[row].append((int(heads[start - (offs[row] - base)]), int(heads[end - (offs[row] - base)]), rule))
     for found in out:
         found.sort(key=lambda x: (x[0], x[2], x[1]))
     return out
