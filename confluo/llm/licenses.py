@@ -1,6 +1,6 @@
 """Licence scans: normalised text against licence templates by the Dice coefficient of their word bigrams.
 
-A text's units are the text as a whole, its paragraphs (parted by two line breaks) and its lines; each unit and each
+A text's units are the text as a whole, its paragraphs (parted by lines without a word) and its lines; each unit and each
 template is the set of its distinct bigrams of words (A-Z lower-cased; ASCII letters and digits and all non-ASCII
 characters form words). Dice is twice the overlap over the sum of the sizes. At a threshold t an overlap is at least
 t * size / (2 - t) of either size, so most units are left out by a count of template bigrams, and a unit is compared
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .shared import map_arrow
-from .textbuf import LOWER, U, blocks, mix, run_hashes, spans, utf8
+from .textbuf import LOWER, U, blocks, keyed_hashes, mix, spans, utf8
 
 THRESHOLD = 0.8
 
@@ -103,7 +103,7 @@ class Matcher:
         for name, text in sorted(templates):
             own = LOWER[np.frombuffer(text.encode(), np.uint8)]
             starts, ends, _ = spans(APART[own], np.array([0, len(own)]))
-            grams = np.unique(_bigrams(run_hashes(own, starts, ends)))
+            grams = np.unique(_bigrams(keyed_hashes(own, starts, ends)))
             if len(grams):
                 self.names.append(name)
                 self.sets.append(grams)
@@ -121,16 +121,15 @@ class Matcher:
         starts, ends, bounds = spans(APART[own], offs)
         if len(starts) < 2 or not len(self.known):
             return out
-        grams = _bigrams(run_hashes(own, starts, ends))
+        grams = _bigrams(keyed_hashes(own, starts, ends))
         row = np.repeat(np.arange(len(offs) - 1), np.diff(bounds))
-        breaks = own == 10
-        twice = breaks.copy()
-        twice[1:] &= breaks[:-1]
-        twice[:1] = False
+        line = np.cumsum(own == 10)[starts]
+        # a line without words, whatever else stands in it, parts paragraphs
+        part = np.cumsum(np.concatenate([[0], np.diff(line) > 1]))
         hit = self.maybe[(grams & U(0xFFFF)).astype(np.int64)]
         at = np.flatnonzero(hit)
         hit[at] = self.known[np.minimum(np.searchsorted(self.known, grams[at]), len(self.known) - 1)] == grams[at]
-        for unit in (row, row + np.cumsum(twice)[starts], row + np.cumsum(breaks)[starts]):
+        for unit in (row, row + part, row + line):
             inside = unit[:-1] == unit[1:]
             number, held = np.unique(unit[:-1][hit & inside], return_counts=True)
             for u in number[held >= self.least]:
@@ -171,11 +170,12 @@ def oracle(templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float
     words = f"regexp_extract_all(translate({{}}, '{upper}', '{small}'), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+')"
     words = words.replace("{{", "{").replace("}}", "}")
     split = lambda x: words.replace("{}", x, 1)
+    gap = r"\n(?:[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\n)+"
     pairs = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
     return f"""
 WITH t AS (SELECT name, {pairs} AS b FROM (SELECT name, {split('body')} AS w FROM (VALUES {quoted}) v(name, body))),
 lines AS (
-  SELECT doc_id, unnest(list_distinct(list_concat([text], string_split(text, chr(10) || chr(10)), string_split(text, chr(10))))) AS u FROM documents WHERE text IS NOT NULL),
+  SELECT doc_id, unnest(list_distinct(list_concat([text], regexp_split_to_array(text, '{gap}'), string_split(text, chr(10))))) AS u FROM documents WHERE text IS NOT NULL),
 units AS (SELECT doc_id, {pairs} AS b FROM (SELECT doc_id, {split('u')} AS w FROM lines) WHERE len(w) > 1),
 scored AS (
   SELECT doc_id, name, 2 * len(list_intersect(units.b, t.b)) / (len(units.b) + len(t.b))::DOUBLE AS dice FROM units, t),
