@@ -63,7 +63,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: st
         rows = rows.unionByName(more)
     end = F.col("len") == 0
     span = F.when(~end, F.struct("at", "len"))
-    seen = rows.groupBy("id", "hash").agg(F.count_if(end).alias("n_rows"), F.max(F.when(end, F.col("at"))).cast("long").alias("n_words"), F.sort_array(F.collect_list(span)).alias("spans"), F.collect_set(F.when(~end, F.col("items"))).alias("sets"))
+    seen = rows.groupBy("id", "hash").agg(F.count_if(end).alias("n_rows"), F.max(F.when(end, F.col("at"))).cast("long").alias("n_words"), F.sort_array(F.collect_set(span)).alias("spans"), F.collect_set(F.when(~end, F.col("items"))).alias("sets"))
 
     def cover(state: Column, x: Column) -> Column:
         to = x["at"] + x["len"]
