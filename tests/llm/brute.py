@@ -7,6 +7,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -83,7 +84,6 @@ def bpe(docs):
 
 def token_files(docs):
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
     out, start = [], 0
     for d, t in sorted(docs, key=lambda r: r[0]):
         ids = own.encode(t or "", add_special_tokens=False).ids + [2]
@@ -110,11 +110,14 @@ def near_duplicates(docs, size=4, percent=80):
 
 
 def top_k(rows, k=20):
-    fine = [(i, [int(np.floor(64.0 * x)) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    def whole(x):
+        return int(Fraction(x) * 64 // 1)
+
+    fine = [(i, [whole(x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
     out = []
     for q, a in fine:
         if q % 20 == 0:
-            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in fine if i != q and len(a) == len(b))
+            scored = sorted((-min(max(sum(x * y for x, y in zip(a, b)), -(2**63)), 2**63 - 1), i) for i, b in fine if i != q and len(a) == len(b))
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return in_order(out)
 
@@ -149,12 +152,12 @@ def secrets(docs):
     return in_order(out)
 
 
-def lines(docs, size=9, least=10, percent=80):
+def lines(docs, size=9, percent=80):
     """(id, lines, removed, their numbers): of each component the first line by id (null first) and place stays."""
     places = defaultdict(list)
     for d, t in docs:
         for n, x in enumerate(low(t).split("\n")):
-            if len(x) >= least:
+            if re.search(r"[^\x20\x09-\x0D]", x):
                 places[frozenset(x[i : i + size] for i in range(max(1, len(x) - size + 1)))].append((d, n))
     sets = list(places)
     union, members, gone = similar(sets, percent), defaultdict(list), defaultdict(list)
@@ -179,7 +182,7 @@ def licenses(docs, templates, threshold):
     out = []
     for d, t in docs:
         best = (0.0, None)
-        for unit in {t, *(t or "").split("\n\n"), *(t or "").split("\n")} if t else ():
+        for unit in {t, *re.split("\n(?:[\x00-\x09\x0b-\x2f:-@\\[-`{-\x7f]*\n)+", t or ""), *(t or "").split("\n")} if t else ():
             if own := bigrams(unit):
                 for n, b in known:
                     dice = 2 * len(own & b) / (len(own) + len(b))
