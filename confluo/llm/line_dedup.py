@@ -23,8 +23,6 @@ a row that loses lines and keeps only blank ones, since all it held stands elsew
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,12 +44,6 @@ FILTER_BITS = 24
 HELD, AT_ONCE = 1 << 18, 1 << 12
 
 
-@cache
-def _ring() -> np.ndarray:
-    """The second permutation's numbers without their two lowest bits, which decide nothing but ties of unlike shingles."""
-    return (table(BANDS * ROWS, RING) >> 2).astype(np.uint16)
-
-
 class Lines:
     """The lines of a block of texts that aren't blank: texts they belong to, numbers in them, names, and shingles."""
 
@@ -92,8 +84,8 @@ class Lines:
         """Some lines' band keys, lines x bands."""
         hashes, first = self.shingles(rows)
         places = ((hashes >> U(20)) & U(RING - 1)).astype(np.int64)
-        out, a = np.empty((len(first), BANDS * ROWS), np.uint16), 0
-        view, stop = np.lib.stride_tricks.sliding_window_view(_ring(), BANDS * ROWS), np.append(first[1:], len(places))
+        out, a = np.empty((len(first), BANDS * ROWS), np.uint32), 0
+        view, stop = np.lib.stride_tricks.sliding_window_view(table(BANDS * ROWS, RING), BANDS * ROWS), np.append(first[1:], len(places))
         while a < len(first):  # so many shingles at a time that their coordinates stay in a processor's cache
             b = max(a + 1, int(np.searchsorted(first, first[a] + AT_ONCE)))
             out[a:b] = np.minimum.reduceat(view[places[first[a] : stop[b - 1]]], first[a:b] - first[a], axis=0)
