@@ -484,3 +484,16 @@ def test_the_language_stage(spark, sf_small):
     assert ids(both) == {r["doc_id"] for r in df.collect()}
     untaught = both.withColumn("lang", F.lit(None).cast("string"))
     assert ids(untaught) == {r["doc_id"] for r in both.collect()}
+
+
+def test_the_bound_of_a_query_reads_each_distance_once():
+    """Bounds come from pivots x candidates, and only rows that reach the k-th score are sorted: as exact as before."""
+    rng = np.random.default_rng(3)
+    far, own = rng.normal(size=(7, 50)).astype(np.float32), rng.normal(size=7).astype(np.float32)
+    assert (topk.widest(far, own) == np.abs(far.T - own).max(axis=1)).all()
+    assert (topk.widest(far[:0], own[:0]) == 0).all()
+    scores, ids = rng.integers(0, 9, 200), rng.permutation(200)
+    for k in (0, 1, 20, 199, 200, 300):
+        rows, best = topk.first(np.arange(200), scores, ids, k)
+        want = sorted(range(200), key=lambda j: (-scores[j], ids[j]))[:k]
+        assert rows.tolist() == want and best.tolist() == scores[want].tolist()
