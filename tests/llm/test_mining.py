@@ -116,6 +116,15 @@ def test_manifest(spark, levels):
     assert merkle.manifest(spark.createDataFrame([], schema), levels=levels).count() == 0
 
 
+def test_manifest_writes_its_rows_once(spark, monkeypatch):
+    """Each file that a task writes costs a call of the file system; the numbered leaves needn't be written again."""
+    names, once = [], merkle.written
+    monkeypatch.setattr(merkle, "written", lambda df, name: names.append((name, "changed" in df.columns)) or once(df, name))
+    df = spark.createDataFrame(manifest_rows(), "doc_id long, source string, lang string, n_chars long, text string")
+    assert digest(merkle.manifest(df), *MERKLE) == brute.merkle(manifest_rows())
+    assert [name for name, leaves in names if leaves] == ["numbered"]
+
+
 def test_versions_share_what_did_not_change():
     nodes = [brute.sha(str(k)) for k in range(13)]
     tree = merkle.Block(list(nodes), 13)
