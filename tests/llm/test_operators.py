@@ -497,3 +497,49 @@ def test_the_bound_of_a_query_reads_each_distance_once():
         rows, best = topk.first(np.arange(200), scores, ids, k)
         want = sorted(range(200), key=lambda j: (-scores[j], ids[j]))[:k]
         assert rows.tolist() == want and best.tolist() == scores[want].tolist()
+
+
+def test_keys_of_long_and_short_lines_miss_no_line_of_the_threshold():
+    rnd = np.random.default_rng(6)
+    for size, cut in ((88, 8), (108, 10), (124, 14), (400, 44)):  # around MANY different shingles; the other line lacks an end
+        one = rnd.integers(97, 123, (4000, size + 1), np.uint8)
+        two = one[:, cut:].copy()
+        keys = []
+        for part in (one, two):
+            part[:, -1] = 10
+            buf = part.ravel()[:-1]
+            lines = line_dedup.Lines(buf, np.array([0, len(buf)]))
+            found, names = lines.keys(np.arange(len(lines.name)), 80)
+            number = dict(zip(lines.name.tolist(), range(len(lines.name)), strict=True))
+            keys.append([set() for _ in number])
+            for k, n in zip(found.tolist(), names.tolist(), strict=True):
+                keys[-1][number[n]].add(k)
+        assert all(a & b for a, b in zip(*keys, strict=True)), size
+
+
+def test_most_lines_need_one_coordinate_a_shingle():
+    """Sixty coordinates for each shingle were half of the time of op10."""
+    rnd = np.random.default_rng(7)
+    hashes = rnd.integers(0, 2**64, 4000, np.uint64)
+    count = np.array([3500, 120, 80, 300])
+    size, least = line_dedup._binned(np.concatenate([hashes[:3500], np.repeat(hashes[3500:3510], 12), hashes[3510:3590], hashes[3590:3890]]), count, 100)
+    assert size.tolist() == [3500, 10, 80, 300]
+    assert (least[2] == line_dedup.NONE).all()
+    assert (least[1] != line_dedup.NONE).sum() == len(set((hashes[3500:3510] >> np.uint64(58)).tolist()))
+    assert (least[0, (least[0] >> np.uint64(38)).astype(int)] == least[0]).all()
+    full = line_dedup._filled(least[[1, 3]])
+    assert (full != line_dedup.NONE).all()
+
+
+def test_packed_rows_tie_the_lines_of_each_key():
+    rnd = np.random.default_rng(8)
+    keys, names = rnd.integers(-(2**63), 2**63, 500), rnd.integers(0, 9000, 2000)
+    keys = np.concatenate([keys, keys, rnd.integers(-(2**63), 2**63, 1000)])
+    batch = line_dedup.packed(keys, names)
+    assert len(set(batch["part"].to_pylist())) == len(batch)  # a row for each range of keys, not one for each key
+    got = set()
+    for rows in batch["rows"].to_pylist():
+        edges = line_dedup._linked(np.frombuffer(rows, np.int64))
+        got |= set(zip(edges["a"].to_pylist(), edges["b"].to_pylist(), strict=True))
+    pairs = zip(names[:500].tolist(), names[500:1000].tolist(), strict=True)
+    assert got == {(max(a, b), min(a, b)) for a, b in pairs if a != b}
