@@ -539,7 +539,31 @@ def test_packed_rows_tie_the_lines_of_each_key():
     assert len(set(batch["part"].to_pylist())) == len(batch)  # a row for each range of keys, not one for each key
     got = set()
     for rows in batch["rows"].to_pylist():
-        edges = line_dedup._linked(np.frombuffer(rows, np.int64))
-        got |= set(zip(edges["a"].to_pylist(), edges["b"].to_pylist(), strict=True))
+        a, b = line_dedup._linked(np.frombuffer(rows, np.int64))
+        got |= set(zip(a.tolist(), b.tolist(), strict=True))
     pairs = zip(names[:500].tolist(), names[500:1000].tolist(), strict=True)
     assert got == {(max(a, b), min(a, b)) for a, b in pairs if a != b}
+
+
+def test_copies_are_told_by_both_hashes():
+    own, more = np.array([5, 1, 5, 5, 2, 1, 5]), np.array([7, 3, 8, 7, 4, 9, 7])
+    a, b = line_dedup._twice(own, more)
+    assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(1, 3), (1, 9), (2, 4), (5, 7), (5, 7), (5, 8)]
+    a, b, many = line_dedup._distinct(a, b)
+    assert list(zip(a[many].tolist(), b[many].tolist(), strict=True)) == [(5, 7)]
+    assert all(len(x) == 0 for x in line_dedup._distinct(own[:0], more[:0]))
+
+
+def test_links_of_large_groups_are_those_of_all_pairs():
+    rnd = np.random.default_rng(9)
+    for common, percent in ((0, 80), (150, 80), (600, 80), (150, 50), (150, 100)):
+        shared = rnd.integers(0, 2**64, common, np.uint64)
+        sets = []
+        for _ in range(60):
+            own = np.concatenate([shared, rnd.integers(0, 2**64, int(rnd.integers(1, 200)), np.uint64)])
+            sets += [np.unique(own), np.unique(rnd.permutation(own)[: max(1, int(len(own) * rnd.uniform(0.7, 1)))])]
+        sets[7] = sets[7][:0]
+        met = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a in range(120) for b in range(a + 1, 120)}
+        brute = {(a, b) for (a, b), n in met.items() if n and 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n)}
+        assert set(zip(*(x.tolist() for x in minhash.links(sets, percent)), strict=True)) == brute
+        assert set(zip(*(x.tolist() for x in minhash.grouped_links(sets, np.array([120]), percent)), strict=True)) == brute
