@@ -81,3 +81,32 @@ def test_latest_snapshot_aggregates_by_hash_and_takes_one_row(spark):
     assert "SortAggregate" not in plan(df) and "HashAggregate" in plan(df)
     got = {r.sku: tuple(r)[2:] for r in df.collect()}
     assert got["A"] in {(3, 5, 50), (3, 6, 60)} and got["B"] == (None, None, None) and got["C"] == (2, None, 4)
+
+
+def test_star_join_shuffles_no_more_than_the_fact(spark, sf_small):
+    """A row's own key and the bounded dimensions' attributes were shuffled with every fact row."""
+    from confluo.plans import answers, legacy
+    from confluo.plans.star import build_star
+    from confluo.sources.binding import Landed
+
+    landed = Landed(spark, sf_small)
+    for star, fact in ((legacy.raw_star(landed), "erp_inventory"), (build_star(landed), "fact_sales")):
+        joined = answers.star_join(star, fact)
+        own, node = set(star[fact].columns), joined._jdf.queryExecution().optimizedPlan()
+        merges = []
+
+        def walk(node):
+            if node.nodeName() == "Join" and "strategy=merge" in node.toString().split("\n")[0]:
+                merges.append(node)
+            for i in range(node.children().size()):
+                walk(node.children().apply(i))
+
+        walk(node)
+        assert merges
+        left = [merges[0].children().apply(0).output().apply(i).name() for i in range(merges[0].children().apply(0).output().size())]
+        assert set(left) <= own, left
+        names = list(star[fact].columns)
+        for _, dim, dk in star.edges(fact):
+            names += [c for c in star[dim].columns if c not in names and c != dk]
+        assert joined.columns == names
+        assert joined.count() == star[fact].count()
